@@ -16,8 +16,6 @@ cached per (session scratch folder, table folder).
 from __future__ import annotations
 
 import hashlib
-from urllib.parse import unquote
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +23,7 @@ from ..operators.landing import land_all
 from ..plans.marts import build_star
 from ..session import workspace_dir
 from ..sources import fs
+from ..sources.sinks import write_named_text
 from . import formulas as fm
 
 
@@ -45,31 +44,8 @@ def _struct(fields: list[tuple[str, str]], rename: dict[str, str] | None = None)
     return F.struct(*[F.expr(expr).alias(rename.get(name, name)) for name, expr in fields])
 
 
-def _write_named(df: DataFrame, parts: list[str], staging: str, dest_for) -> int:
-    """Write one text file per value combination of ``parts`` and move each to its name."""
-    spark = df.sparkSession
-    (
-        df.repartition(*parts)
-        .sortWithinPartitions(*parts, "_order")
-        .select(*parts, "value")
-        .write.mode("overwrite")
-        .partitionBy(*parts)
-        .text(staging)
-    )
-    n = 0
-    for f in fs.list_files_recursive(spark, staging):
-        segs = f.rstrip("/").split("/")
-        vals = {}
-        for seg in segs:
-            if "=" in seg:
-                k, v = seg.split("=", 1)
-                vals[k] = unquote(v)
-        if not segs[-1].startswith("part-") or set(vals) != set(parts):
-            continue
-        fs.rename(spark, f, dest_for(vals))
-        n += 1
-    fs.delete(spark, staging)
-    return n
+def _write_named(df, parts, staging, dest_for):
+    return write_named_text(df, parts, staging, dest_for, order="_order")
 
 
 def write_landing(spark: SparkSession, sf_dir: str, root: str) -> None:
