@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     """Broadcast hint only behind a measured bound.
 
-    The side is persisted and counted once; below ``max_rows`` it is hinted for a
-    broadcast hash join, above it the plain frame is returned and the planner keeps a
-    shuffle join (AQE may still convert it at runtime from real statistics)."""
-    df = df.persist()
+    The side is checkpointed (written to the cluster's checkpoint folder, lineage cut,
+    never served from a stale cache entry) and counted; below ``max_rows`` it is hinted
+    for a broadcast hash join, above it the frame is returned as is and the planner keeps
+    a shuffle join (AQE may still convert it at runtime from real statistics)."""
+    from ..session import workspace_dir
+
+    workspace_dir(df.sparkSession)  # make sure a checkpoint folder exists (tests: a local one)
+    df = df.checkpoint(eager=True)
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
 

@@ -25,6 +25,7 @@ from ..functions.jsonx import jtext, parsed
 from ..sources import fs
 from ..sources import landing_files as lf
 from ..sources.tables import read_table, table_exists, write_snapshot
+from ..session import workspace_dir
 from .joins import broadcast_if_small
 
 log = logging.getLogger(__name__)
@@ -125,8 +126,12 @@ def _partition_dirs(spark: SparkSession, table_dir: str) -> dict[str, str]:
 
 def incoming_runs(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """(manifests, records) of this pass: one manifest per run (newest batch) and the
-    records of its sibling file; records carry the manifest's URI as provenance."""
-    manifests = lf.dedupe_run_batches(lf.scan_manifests(spark, root))
+    records of its sibling file; records carry the manifest's URI as provenance.
+
+    The winning manifests (one small row per run) are checkpointed: they feed the
+    missing-file check, the records join and the manifest snapshot from one scan."""
+    workspace_dir(spark)
+    manifests = lf.dedupe_run_batches(lf.scan_manifests(spark, root)).checkpoint(eager=True)
     lines = lf.scan_record_lines(spark, root)
     winners = broadcast_if_small(
         manifests.select("run_id", "batch", F.col("source_uri").alias("manifest_uri")), max_rows=5_000_000
@@ -155,7 +160,6 @@ def land_runs(
     (run_id, question_id), read back column-pruned); only then are run partitions
     swapped in, so a refused pass changes nothing."""
     manifests, records = incoming_runs(spark, root)
-    manifests = manifests.persist()
     missing = missing_records(spark, root, manifests)
     missing_ids = [r.run_id for r in missing.limit(20).collect()]
     if missing_ids:
@@ -208,7 +212,6 @@ def land_runs(
     n_records = spark.read.schema(SCORED_ANSWER_SCHEMA).parquet(answers_dir).where(
         F.col("run_id").isin(run_ids)
     ).count() if run_ids else 0
-    manifests.unpersist()
     return {"runs": len(run_ids), "records": n_records}
 
 
