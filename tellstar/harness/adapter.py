@@ -16,6 +16,7 @@ cached per (session scratch folder, table folder).
 from __future__ import annotations
 
 import hashlib
+import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -199,28 +200,26 @@ def write_landing(spark: SparkSession, sf_dir: str, root: str) -> None:
                  lambda v: f"{root}/reference/pricing/{v['provider']}.json")
 
 
+_LOCK = threading.RLock()
+
+
+def _once(spark: SparkSession, kind: str, sf_dir: str, build) -> str:
+    """Build a cached stage folder once per session scratch folder (thread-safe)."""
+    with _LOCK:
+        path = f"{workspace_dir(spark)}/{kind}/{_key(sf_dir)}"
+        if not fs.exists(spark, f"{path}/_READY"):
+            build(path)
+            fs.write_text(spark, f"{path}/_READY", "ok")
+        return path
+
+
 def landing_root(spark: SparkSession, sf_dir: str) -> str:
-    ws = workspace_dir(spark)
-    root = f"{ws}/landing/{_key(sf_dir)}"
-    if not fs.exists(spark, f"{root}/_READY"):
-        write_landing(spark, sf_dir, root)
-        fs.write_text(spark, f"{root}/_READY", "ok")
-    return root
+    return _once(spark, "landing", sf_dir, lambda p: write_landing(spark, sf_dir, p))
 
 
 def raw_root(spark: SparkSession, sf_dir: str) -> str:
-    ws = workspace_dir(spark)
-    raw = f"{ws}/raw/{_key(sf_dir)}"
-    if not fs.exists(spark, f"{raw}/_READY"):
-        land_all(spark, landing_root(spark, sf_dir), raw)
-        fs.write_text(spark, f"{raw}/_READY", "ok")
-    return raw
+    return _once(spark, "raw", sf_dir, lambda p: land_all(spark, landing_root(spark, sf_dir), p))
 
 
 def marts_root(spark: SparkSession, sf_dir: str) -> str:
-    ws = workspace_dir(spark)
-    marts = f"{ws}/marts/{_key(sf_dir)}"
-    if not fs.exists(spark, f"{marts}/_READY"):
-        build_star(spark, raw_root(spark, sf_dir), marts)
-        fs.write_text(spark, f"{marts}/_READY", "ok")
-    return marts
+    return _once(spark, "marts", sf_dir, lambda p: build_star(spark, raw_root(spark, sf_dir), p))

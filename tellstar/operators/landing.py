@@ -73,17 +73,19 @@ def null_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def pk_guard(keys: list[str], table: str):
-    """Validation callback: the written rows must satisfy PRIMARY KEY (keys)."""
+    """Validation callback: the written rows must satisfy PRIMARY KEY (keys).
+
+    One grouped pass over the key columns finds both repeated keys and NULL keys."""
 
     def check(written: DataFrame) -> None:
-        narrow = written.select(*keys)
-        dups = duplicate_keys(narrow, keys).limit(10).collect()
-        nulls = null_keys(narrow, keys).limit(10).collect()
-        if dups or nulls:
-            raise LoadError(
-                f"{table}: primary key {keys} violated; duplicates={[tuple(r) for r in dups]} "
-                f"nulls={[tuple(r) for r in nulls]}"
-            )
+        groups = written.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+        any_null = None
+        for k in keys:
+            c = F.col(k).isNull()
+            any_null = c if any_null is None else (any_null | c)
+        bad = groups.where((F.col("n_rows") > 1) | any_null).limit(10).collect()
+        if bad:
+            raise LoadError(f"{table}: primary key {keys} violated (duplicate or NULL): {[tuple(r) for r in bad]}")
 
     return check
 
@@ -124,15 +126,22 @@ def _partition_dirs(spark: SparkSession, table_dir: str) -> dict[str, str]:
     return out
 
 
-def incoming_runs(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+def incoming_runs(spark: SparkSession, root: str, manifests: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(manifests, records) of this pass: one manifest per run (newest batch) and the
     records of its sibling file; records carry the manifest's URI as provenance.
 
     The winning manifests (one small row per run) are checkpointed: they feed the
     missing-file check, the records join and the manifest snapshot from one scan."""
     workspace_dir(spark)
-    manifests = lf.dedupe_run_batches(lf.scan_manifests(spark, root)).checkpoint(eager=True)
-    lines = lf.scan_record_lines(spark, root)
+    if manifests is None:
+        manifests = lf.dedupe_run_batches(lf.scan_manifests(spark, root))
+        lines = lf.scan_record_lines(spark, root)
+    else:
+        # only the sibling records files of the given manifests are read
+        paths = [r.p for r in manifests.select(
+            F.regexp_replace("source_uri", r"\.manifest\.json$", lf.RECORDS_SUFFIX).alias("p")).collect()]
+        lines = lf.scan_record_lines(spark, root, paths=[p for p in paths if fs.exists(spark, p)])
+    manifests = manifests.checkpoint(eager=True)
     winners = broadcast_if_small(
         manifests.select("run_id", "batch", F.col("source_uri").alias("manifest_uri")), max_rows=5_000_000
     )
@@ -151,6 +160,7 @@ def land_runs(
     root: str,
     raw_dir: str,
     on_missing_records: str = "raise",
+    manifests: DataFrame | None = None,
 ) -> dict[str, int]:
     """K1: replace every incoming run (manifest + all answers) keyed by run_id.
 
@@ -158,8 +168,11 @@ def land_runs(
     its old answers, as a delete-then-insert would. The new answers are first written
     to a private staging folder and checked there (K6: unique non-null
     (run_id, question_id), read back column-pruned); only then are run partitions
-    swapped in, so a refused pass changes nothing."""
-    manifests, records = incoming_runs(spark, root)
+    swapped in, so a refused pass changes nothing.
+
+    ``manifests`` (run_id, batch, source_uri, payload) restricts the pass to those runs
+    (incremental landing); by default every run under ``root`` is landed."""
+    manifests, records = incoming_runs(spark, root, manifests)
     missing = missing_records(spark, root, manifests)
     missing_ids = [r.run_id for r in missing.limit(20).collect()]
     if missing_ids:
@@ -185,6 +198,7 @@ def land_runs(
     except LoadError:
         fs.delete(spark, staging)
         raise
+    n_records = staged.count()  # parquet footer metadata only
 
     # manifests: small (one row per run) -> rewrite as a new snapshot
     new_manifests = manifests.select("run_id", "source_uri", now.alias("loaded_at"), "payload")
@@ -209,9 +223,6 @@ def land_runs(
     fs.delete(spark, staging)
     if not fs.exists(spark, answers_dir):
         fs.mkdirs(spark, answers_dir)
-    n_records = spark.read.schema(SCORED_ANSWER_SCHEMA).parquet(answers_dir).where(
-        F.col("run_id").isin(run_ids)
-    ).count() if run_ids else 0
     return {"runs": len(run_ids), "records": n_records}
 
 

@@ -66,23 +66,47 @@ def relationships(child: DataFrame, c: str, parent: DataFrame, pc: str) -> DataF
     )
 
 
+def _column_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """All not_null / accepted_values checks of one relation in a single aggregate pass."""
+    exprs = []
+    for i, ch in enumerate(checks):
+        c = F.col(ch.column)
+        if ch.kind == "not_null":
+            e = F.count(F.when(c.isNull(), 1))
+        else:  # accepted_values: distinct offending non-NULL values
+            e = F.count_distinct(F.when(c.isNotNull() & ~c.isin(list(ch.values)), c))
+        exprs.append(e.cast("bigint").alias(f"f{i}"))
+    wide = df.agg(*exprs)
+    rows = F.array(*[
+        F.struct(F.lit(ch.kind).alias("check"), F.lit(ch.relation).alias("relation"),
+                 F.lit(ch.column).alias("column"), F.col(f"f{i}").alias("failures"))
+        for i, ch in enumerate(checks)
+    ])
+    return wide.select(F.inline(rows))
+
+
 def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
-    """Evaluate every check and union the tidy rows."""
-    out = None
+    """Evaluate every check and union the tidy rows.
+
+    Column-level checks (not_null, accepted_values) of a relation share one scan and one
+    aggregate; unique and relationships checks need their own grouping / anti join."""
+    parts: list[DataFrame] = []
+    by_rel: dict[str, list[Check]] = {}
     for ch in checks:
-        df = tables[ch.relation]
-        if ch.kind == "not_null":
-            r = not_null(df, ch.column)
+        if ch.kind in ("not_null", "accepted_values"):
+            by_rel.setdefault(ch.relation, []).append(ch)
         elif ch.kind == "unique":
-            r = unique(df, ch.column.split("|"))
-        elif ch.kind == "accepted_values":
-            r = accepted_values(df, ch.column, ch.values)
+            parts.append(_result(unique(tables[ch.relation], ch.column.split("|")), ch))
         elif ch.kind == "relationships":
-            r = relationships(df, ch.column, tables[ch.parent], ch.parent_column)
+            parts.append(_result(relationships(tables[ch.relation], ch.column, tables[ch.parent],
+                                               ch.parent_column), ch))
         else:
             raise ValueError(ch.kind)
-        r = _result(r, ch)
-        out = r if out is None else out.unionByName(r)
+    for rel, chs in by_rel.items():
+        parts.append(_column_checks(tables[rel], chs))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     return out
 
 

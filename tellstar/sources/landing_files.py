@@ -100,15 +100,19 @@ def dedupe_run_batches(manifests: DataFrame) -> DataFrame:
     return manifests.groupBy("run_id").agg(best).select("run_id", "m.batch", "m.source_uri", "m.payload")
 
 
-def scan_record_lines(spark: SparkSession, root: str) -> DataFrame:
-    """S3: non-blank lines of every ``<run_id>.jsonl`` outside ``reference/``.
+def scan_record_lines(spark: SparkSession, root: str, paths: list[str] | None = None) -> DataFrame:
+    """S3: non-blank lines of every ``<run_id>.jsonl`` outside ``reference/`` (or of the
+    given record files only).
 
     Columns: run_id, batch, records_uri, line_no (0-based among non-blank lines), payload
     (whitespace-stripped line)."""
+    if paths is not None and not paths:
+        return _empty(spark, "run_id string, batch string, records_uri string, line_no int, payload string")
+    reader = spark.read.option("pathGlobFilter", "*" + RECORDS_SUFFIX)
+    if paths is None:
+        reader = reader.option("recursiveFileLookup", "true")
     df = (
-        spark.read.option("pathGlobFilter", "*" + RECORDS_SUFFIX)
-        .option("recursiveFileLookup", "true")
-        .text(root)
+        (reader.text(root) if paths is None else reader.text(paths))
         .select(
             F.col("value"),
             F.col("_metadata.file_path").alias("records_uri"),

@@ -73,3 +73,24 @@ def test_upsert_replaces_same_key(spark, tree, raw_dir):
     assert prof.count() == 2
     payload = prof.where(F.col("corpus_build_id") == "smoke-30c621e8").first().payload
     assert json.loads(payload)["scale"] == "smoke-v2"
+
+
+def test_streaming_landing_matches_batch_landing(spark, tree, tmp_path):
+    from tellstar.streaming.landing_stream import start_landing_stream
+
+    raw_s = str(tmp_path / "raw_stream")
+    q = start_landing_stream(spark, tree, raw_s, str(tmp_path / "ckpt"))
+    q.awaitTermination(300)
+    sa = ld.read_raw(spark, raw_s, "scored_answer")
+    assert sa.count() == 7
+    assert ld.read_raw(spark, raw_s, "run_manifest").count() == 3
+    # a new run arriving later is landed by the next trigger, earlier runs are untouched
+    root = Path(tree)
+    (root / "20260603T000000Z").mkdir()
+    src = (root / NEW / "r2-sparql.manifest.json").read_text().replace("r2-sparql", "r4-new")
+    (root / "20260603T000000Z" / "r4-new.manifest.json").write_text(src)
+    (root / "20260603T000000Z" / "r4-new.jsonl").write_text(json.dumps(answer("q1", "graph_sparqlgen")) + "\n")
+    q = start_landing_stream(spark, tree, raw_s, str(tmp_path / "ckpt"))
+    q.awaitTermination(300)
+    per_run = {r.run_id: r["count"] for r in ld.read_raw(spark, raw_s, "scored_answer").groupBy("run_id").count().collect()}
+    assert per_run == {"r1-vector": 3, "r2-sparql": 2, "r3-closed": 2, "r4-new": 1}
