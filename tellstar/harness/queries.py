@@ -855,8 +855,10 @@ def q_sorted_ids(spark, sf):
 @reg("preview_limit", O("""SELECT scored_answer_sk, run_sk, score, total_cost_usd FROM fct
     ORDER BY scored_answer_sk LIMIT 100"""))
 def q_preview_limit(spark, sf):
-    f = _mart(spark, sf, "fct_scored_answer", doubles=False)
-    return f.select("scored_answer_sk", "run_sk", "score", "total_cost_usd").orderBy("scored_answer_sk").limit(100)
+    from ..plans.analyses import previews
+
+    p = previews(_pipe(spark, sf), adapter.marts_root(spark, sf))["fct_scored_answer"]
+    return p.select("scored_answer_sk", "run_sk", "score", "total_cost_usd")
 
 
 _O6_COLS = ["retriever", "mechanism", "neighborhood_hops", "top_k", "generator_provider", "generator_model_family",
@@ -867,8 +869,9 @@ _O6_COLS = ["retriever", "mechanism", "neighborhood_hops", "top_k", "generator_p
     f"SELECT DISTINCT {', '.join(_O6_COLS)} FROM enriched ORDER BY "
     + ", ".join(f"{c} NULLS LAST" for c in _O6_COLS) + " LIMIT 1000"))
 def q_condition_combinations(spark, sf):
-    d = _enriched(spark, sf).select(*_O6_COLS).distinct()
-    return d.orderBy(*[F.col(c).asc_nulls_last() for c in _O6_COLS]).limit(1000)
+    from ..plans.analyses import condition_combinations
+
+    return condition_combinations(_enriched(spark, sf))
 
 
 @reg("union_distinct", O("SELECT corpus_build_id FROM runs UNION SELECT corpus_build_id FROM profiles"))
@@ -1024,19 +1027,14 @@ def q_dq_idempotent(spark, sf):
 @reg("dq_grain_keys", O("""SELECT CAST(count(*) AS BIGINT) AS n_records,
     CAST(count(*) FILTER (WHERE question_id IS NULL OR retriever IS NULL) AS BIGINT) AS failures FROM sa"""))
 def q_dq_grain_keys(spark, sf):
-    a = st.stg_scored_answers(_pipe(spark, sf).raw("scored_answer"))
-    return a.agg(F.count(F.lit(1)).alias("n_records"),
-                 F.count(F.when(F.col("question_id").isNull() | F.col("retriever").isNull(), 1)).alias("failures"))
+    return dq.grain_keys(st.stg_scored_answers(_pipe(spark, sf).raw("scored_answer")))
 
 
 @reg("dq_mechanism_derivable", O("""SELECT CAST(count(*) AS BIGINT) AS n_records,
     CAST(count(*) FILTER (WHERE mechanism IS NULL OR mechanism NOT IN ('dense', 'neighborhood', 'sparqlgen', 'none'))
          AS BIGINT) AS failures FROM sa"""))
 def q_dq_mechanism(spark, sf):
-    t = st.stg_traversal(_pipe(spark, sf).raw("scored_answer"))
-    ok = F.col("mechanism").isin("dense", "neighborhood", "sparqlgen", "none")
-    return t.agg(F.count(F.lit(1)).alias("n_records"),
-                 F.count(F.when(~F.coalesce(ok, F.lit(False)), 1)).alias("failures"))
+    return dq.mechanism_derivable(st.stg_traversal(_pipe(spark, sf).raw("scored_answer")))
 
 
 @reg("dq_filename_key", O("""SELECT 'run_manifest' AS relation, CAST(count(*) FILTER (WHERE run_id IS NULL) AS BIGINT)
@@ -1044,14 +1042,9 @@ def q_dq_mechanism(spark, sf):
     UNION ALL SELECT 'corpus_profile', CAST(count(*) FILTER (WHERE corpus_build_id IS NULL) AS BIGINT) FROM profiles"""))
 def q_dq_filename_key(spark, sf):
     root = _landing(spark, sf)
-    m = lf.scan_manifests(spark, root)
-    c = lf.scan_corpus_profiles(spark, root)
-
-    def bad(df, key, field):
-        return df.agg(F.count(F.when(~F.col(key).eqNullSafe(jtext(parsed("payload"), field)), 1)).alias("failures"))
-
-    return bad(m, "run_id", "run_id").select(F.lit("run_manifest").alias("relation"), "failures").unionByName(
-        bad(c, "corpus_build_id", "corpus_build_id").select(F.lit("corpus_profile").alias("relation"), "failures"))
+    m = dq.filename_key(lf.scan_manifests(spark, root), "run_id", "run_id", "run_manifest")
+    c = dq.filename_key(lf.scan_corpus_profiles(spark, root), "corpus_build_id", "corpus_build_id", "corpus_profile")
+    return m.unionByName(c)
 
 
 # ================================================================== M: pipeline relations

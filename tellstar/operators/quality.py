@@ -138,3 +138,27 @@ def freshness(df: DataFrame, loaded_at: str, now: dt.datetime, warn_days: float
         age_h.alias("age_hours"),
         status.alias("status"),
     )
+
+
+# The traversal mechanisms every record must be attributable to.
+MECHANISMS = ("dense", "neighborhood", "sparqlgen", "none")
+
+
+def grain_keys(answers: DataFrame) -> DataFrame:
+    """Q9: every staged answer has its grain keys (question_id) and its condition (retriever)."""
+    bad = F.col("question_id").isNull() | F.col("retriever").isNull()
+    return answers.agg(F.count(F.lit(1)).alias("n_records"), F.count(F.when(bad, 1)).alias("failures"))
+
+
+def mechanism_derivable(traversal: DataFrame) -> DataFrame:
+    """Q10: the derived mechanism is one of the known four for every record."""
+    ok = F.coalesce(F.col("mechanism").isin(*MECHANISMS), F.lit(False))
+    return traversal.agg(F.count(F.lit(1)).alias("n_records"), F.count(F.when(~ok, 1)).alias("failures"))
+
+
+def filename_key(scan: DataFrame, key: str, payload_field: str, relation: str) -> DataFrame:
+    """Q11: the key inside each landed document equals the key taken from its file name."""
+    from ..functions.jsonx import jtext, parsed
+
+    differs = ~F.col(key).eqNullSafe(jtext(parsed("payload"), payload_field))
+    return scan.agg(F.count(F.when(differs, 1)).alias("failures")).select(F.lit(relation).alias("relation"), "failures")
