@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import logging
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -270,8 +271,11 @@ def land_pricing(spark: SparkSession, root: str, raw_dir: str) -> int:
 def land_all(spark: SparkSession, root: str, raw_dir: str, on_missing_records: str = "raise") -> dict[str, int]:
     """K5: shared inputs first, then every discovered run; returns the pass counts."""
     counts = {"runs": 0, "records": 0, "questions": 0, "corpus_profiles": 0, "pricing_snapshots": 0}
-    counts["questions"] = land_questions(spark, root, raw_dir)
-    counts["corpus_profiles"] = land_corpus_profiles(spark, root, raw_dir)
-    counts["pricing_snapshots"] = land_pricing(spark, root, raw_dir)
+    # the three shared inputs are independent small jobs: submit them together
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        q = pool.submit(land_questions, spark, root, raw_dir)
+        c = pool.submit(land_corpus_profiles, spark, root, raw_dir)
+        p = pool.submit(land_pricing, spark, root, raw_dir)
+        counts["questions"], counts["corpus_profiles"], counts["pricing_snapshots"] = q.result(), c.result(), p.result()
     counts.update(land_runs(spark, root, raw_dir, on_missing_records=on_missing_records))
     return counts

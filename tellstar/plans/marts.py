@@ -7,6 +7,8 @@ column-pruned reads, and writes each mart as a committed snapshot.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -265,7 +267,7 @@ class Pipeline:
         return int_scored_answers_enriched(self.raw("scored_answer"), self.questions(), self.runs(), self.pricing())
 
 
-def build_star(spark: SparkSession, raw_dir: str, marts_dir: str) -> dict[str, str]:
+def build_star(spark: SparkSession, raw_dir: str, marts_dir: str, parallelism: int = 4) -> dict[str, str]:
     """K8 + M9-M17: write every mart as a committed snapshot; returns mart -> folder."""
     p = Pipeline(spark, raw_dir)
     out = {}
@@ -275,7 +277,7 @@ def build_star(spark: SparkSession, raw_dir: str, marts_dir: str) -> dict[str, s
     pricing = p.pricing()
     fact = fct_scored_answer(enriched)
     check_contract(fact)
-    from ..operators.landing import null_keys, pk_guard
+    from ..operators.landing import null_keys
 
     builds = {
         "dim_run": lambda: dim_run(p.runs()),
@@ -287,14 +289,19 @@ def build_star(spark: SparkSession, raw_dir: str, marts_dir: str) -> dict[str, s
         "dim_corpus": lambda: dim_corpus(p.runs(), p.profiles()),
         "dim_token_pricing": lambda: dim_token_pricing(pricing),
     }
-    for name, build in builds.items():
-        out[name] = write_snapshot(build(), f"{marts_dir}/{name}")
 
     def fact_check(written: DataFrame) -> None:
         if null_keys(written.select("scored_answer_sk"), ["scored_answer_sk"]).limit(1).count():
             raise ContractError("fct_scored_answer.scored_answer_sk has NULLs")
 
-    out["fct_scored_answer"] = write_snapshot(fact, f"{marts_dir}/fct_scored_answer", check=fact_check)
+    jobs = {name: (lambda n=name, b=build: write_snapshot(b(), f"{marts_dir}/{n}")) for name, build in builds.items()}
+    jobs["fct_scored_answer"] = lambda: write_snapshot(fact, f"{marts_dir}/fct_scored_answer", check=fact_check)
+    # independent marts are submitted concurrently: small dimension jobs fill the cluster
+    # while the fact (the only large write) runs
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        futures = {name: pool.submit(job) for name, job in jobs.items()}
+        for name, fut in futures.items():
+            out[name] = fut.result()
     out["int_scored_answers_enriched"] = enriched_path
     return out
 
