@@ -1,6 +1,7 @@
 """Benchmark: the pipeline's stages on the driver tables; prints ONE JSON line.
 
-env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8)
+env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
+     BENCH_REPLICAS (default 1; scale-up only: each event becomes that many answers)
 
 Timed stages (seconds):
   land              K5  scan landing tree -> raw tables (parse keys, line numbers, PK guards, swaps)
@@ -41,7 +42,8 @@ def main() -> None:
         times[name] = round(time.perf_counter() - t0, 3)
         return out
 
-    root = timed("landing_files", lambda: adapter.landing_root(spark, sf_dir))
+    replicas = int(os.environ.get("BENCH_REPLICAS", "1"))
+    root = timed("landing_files", lambda: adapter.landing_root(spark, sf_dir, replicas))
     ws = workspace_dir(spark)
     run = uuid.uuid4().hex[:8]
     raw, marts = f"{ws}/bench-{run}/raw", f"{ws}/bench-{run}/marts"
@@ -84,6 +86,7 @@ def main() -> None:
         "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
         "cpus": cpus,
         "records": counts.get("records"),
+        "replicas": replicas,
     }))
 
 

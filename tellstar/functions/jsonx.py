@@ -65,3 +65,47 @@ def array_length_or_zero(v: Column, key: str) -> Column:
     """``jsonb_array_length(coalesce(x, '[]'))``: 0 when the key is absent."""
     arr = F.try_variant_get(v, _path(key), "array<variant>")
     return F.coalesce(F.size(arr), F.lit(0)).cast("int")
+
+
+# ---- typed struct extraction (the hot path of the answer grain)
+
+def text_schema(paths: list[str]):
+    """StructType with a STRING leaf for every dotted path (nested objects as structs).
+
+    ``from_json`` with such a schema reads each selected key as its JSON text (numbers
+    and booleans as written, objects/arrays as raw JSON) in one streaming pass, skipping
+    every other key: the same text ``->>`` yields, without building a VARIANT."""
+    from pyspark.sql import types as T
+
+    tree: dict = {}
+    for p in paths:
+        node = tree
+        parts = p.split(".")
+        for part in parts[:-1]:
+            node = node.setdefault(part, {})
+        node.setdefault(parts[-1], None)
+
+    def build(node: dict) -> T.StructType:
+        return T.StructType([
+            T.StructField(k, T.StringType() if v is None else build(v)) for k, v in node.items()
+        ])
+
+    return build(tree)
+
+
+def parsed_struct(payload: Column | str, schema, failfast: bool = False) -> Column:
+    opts = {"mode": "FAILFAST"} if failfast else {}
+    return F.from_json(_col(payload), schema, opts)
+
+
+def stext(j: Column, path: str) -> Column:
+    """Text of a dotted path inside a ``parsed_struct`` column (NULL when absent)."""
+    out = j
+    for part in path.split("."):
+        out = out.getField(part)
+    return out
+
+
+def styped(j: Column, path: str, spark_type: str) -> Column:
+    """Strict (ANSI) cast of the path's text."""
+    return stext(j, path).cast(spark_type)

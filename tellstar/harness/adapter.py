@@ -36,8 +36,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def events_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(fm.ev_sql("spark", "{ev}"), ev=table(spark, sf_dir, "events"))
+def events_base(spark: SparkSession, sf_dir: str, replicas: int = 1) -> DataFrame:
+    """Typed base rows; ``replicas`` > 1 (bench scale-up only) turns each event into that
+    many answers with distinct ids (``eid * replicas + r``)."""
+    ev = table(spark, sf_dir, "events")
+    if replicas > 1:
+        ev = ev.select(F.explode(F.sequence(F.lit(0), F.lit(replicas - 1))).alias("_r"), "*").withColumn(
+            "event_id", F.col("event_id") * replicas + F.col("_r")).drop("_r")
+    return spark.sql(fm.ev_sql("spark", "{ev}"), ev=ev)
 
 
 def _struct(fields: list[tuple[str, str]], rename: dict[str, str] | None = None) -> F.Column:
@@ -49,9 +55,9 @@ def _write_named(df, parts, staging, dest_for):
     return write_named_text(df, parts, staging, dest_for, order="_order")
 
 
-def write_landing(spark: SparkSession, sf_dir: str, root: str) -> None:
+def write_landing(spark: SparkSession, sf_dir: str, root: str, replicas: int = 1) -> None:
     root = root.rstrip("/")
-    ev = events_base(spark, sf_dir)
+    ev = events_base(spark, sf_dir, replicas)
 
     # ---- manifests (run = event type x day)
     runs = ev.select("et", "d", "ymd", "ymd_dash").distinct()
@@ -213,8 +219,9 @@ def _once(spark: SparkSession, kind: str, sf_dir: str, build) -> str:
         return path
 
 
-def landing_root(spark: SparkSession, sf_dir: str) -> str:
-    return _once(spark, "landing", sf_dir, lambda p: write_landing(spark, sf_dir, p))
+def landing_root(spark: SparkSession, sf_dir: str, replicas: int = 1) -> str:
+    key = sf_dir if replicas == 1 else f"{sf_dir}#x{replicas}"
+    return _once(spark, "landing", key, lambda p: write_landing(spark, sf_dir, p, replicas))
 
 
 def raw_root(spark: SparkSession, sf_dir: str) -> str:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.jsonx import jtext, parsed
+from ..functions.jsonx import parsed_struct, stext
 from ..sources import fs
 from ..sources import landing_files as lf
 from ..sources.tables import read_table, table_exists, write_snapshot
@@ -58,6 +58,12 @@ def read_raw(spark: SparkSession, raw_dir: str, table: str) -> DataFrame:
     return read_table(spark, path)
 
 
+def _question_id(payload: str):
+    """The record's question_id; a line that is not valid JSON fails the pass (FAILFAST),
+    like a loader that parses each line before inserting it."""
+    return stext(parsed_struct(payload, "question_id string", failfast=True), "question_id")
+
+
 # ---------------------------------------------------------------- guards (K6, K9)
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -148,7 +154,7 @@ def incoming_runs(spark: SparkSession, root: str, manifests: DataFrame | None =
     )
     records = lines.join(winners, ["run_id", "batch"]).select(
         "run_id",
-        jtext(parsed("payload"), "question_id").alias("question_id"),
+        _question_id("payload").alias("question_id"),
         "line_no",
         F.col("manifest_uri").alias("source_uri"),
         "payload",
@@ -235,7 +241,7 @@ def land_questions(spark: SparkSession, root: str, raw_dir: str) -> int:
         log.warning("no question bank; skipping question load")
         return 0
     q = lf.scan_questions(spark, root).select(
-        jtext(parsed("payload"), "question_id").alias("question_id"),
+        _question_id("payload").alias("question_id"),
         F.current_timestamp().alias("loaded_at"),
         "payload",
     )

@@ -1,7 +1,11 @@
 """Staging relations (M1-M6): typed, flattened views of the raw payloads, 1:1 with raw.
 
-Each payload is parsed once (``parse_json``) and every column is a VARIANT lookup plus
-a strict cast. Unknown keys are never selected, so producers may add keys freely.
+Each payload is parsed once per row. The answer grain (the large table) is read with
+``from_json`` and an explicit schema of text leaves: one streaming pass that materialises
+only the selected keys, each as the JSON text ``->>`` returns, followed by strict casts.
+Relations whose values are polymorphic (ground truth: string or array; the catalog's
+model map) are parsed into a VARIANT instead. Unknown keys are never selected, so
+producers may add keys freely.
 """
 
 from __future__ import annotations
@@ -9,7 +13,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.jsonx import array_length_or_zero, ground_truth_text, jsub, jtext, jtyped, parsed
+from ..functions.jsonx import (
+    array_length_or_zero,
+    ground_truth_text,
+    jsub,
+    jtext,
+    jtyped,
+    parsed,
+    parsed_struct,
+    stext,
+    styped,
+    text_schema,
+)
 from ..functions.keys import model_family
 from ..functions.scalars import hop_count, infer_mechanism, nullif_empty, usd_per_mtok
 
@@ -35,79 +50,97 @@ def stg_runs(raw_manifest: DataFrame) -> DataFrame:
     )
 
 
-def _answer_columns(v: Column) -> list[Column]:
-    resolved = jtext(v, "generator_model_resolved")
-    model_id = F.coalesce(resolved, jtext(v, "generator_model"))
+ANSWER_KEYS = [
+    "retriever", "scoring", "generator_provider", "generator_model", "generator_model_resolved",
+    "generator_temperature", "score", "passed", "judged", "verdict", "error", "input_tokens", "output_tokens",
+    "cache_read_input_tokens", "cache_creation_input_tokens", "context_tokens_proxy", "num_sources",
+    "retrieval_latency_ms", "generation_latency_ms",
+]
+TRAVERSAL_KEYS = [
+    "mechanism", "hops", "num_triples", "num_linked", "top_k", "num_chunks", "embed_model", "writer_model",
+    "writer_temperature", "writer_input_tokens", "writer_output_tokens", "sparql_valid", "num_rows", "endpoint",
+    "context_tokenizer",
+]
+ANSWER_SCHEMA = text_schema(ANSWER_KEYS + [f"traversal_info.{k}" for k in TRAVERSAL_KEYS])
+
+
+def _answer_columns(j: Column) -> list[Column]:
+    resolved = stext(j, "generator_model_resolved")
+    model_id = F.coalesce(resolved, stext(j, "generator_model"))
     return [
-        jtext(v, "retriever").alias("retriever"),
-        jtext(v, "scoring").alias("scoring"),
-        jtext(v, "generator_provider").alias("generator_provider"),
-        jtext(v, "generator_model").alias("generator_model"),
+        stext(j, "retriever").alias("retriever"),
+        stext(j, "scoring").alias("scoring"),
+        stext(j, "generator_provider").alias("generator_provider"),
+        stext(j, "generator_model").alias("generator_model"),
         resolved.alias("generator_model_resolved"),
         model_id.alias("generator_model_id"),
         model_family(model_id).alias("generator_model_family"),
-        jtyped(v, "generator_temperature", "double").alias("generator_temperature"),
-        jtyped(v, "score", "double").alias("score"),
-        jtyped(v, "passed", "boolean").alias("is_passed"),
-        jtyped(v, "judged", "boolean").alias("is_judged"),
-        jtext(v, "verdict").alias("verdict"),
-        nullif_empty(jtext(v, "error")).alias("error"),
-        jtyped(v, "input_tokens", "bigint").alias("generator_input_tokens"),
-        jtyped(v, "output_tokens", "bigint").alias("generator_output_tokens"),
-        jtyped(v, "cache_read_input_tokens", "bigint").alias("generator_cache_read_tokens"),
-        jtyped(v, "cache_creation_input_tokens", "bigint").alias("generator_cache_creation_tokens"),
-        jtyped(v, "context_tokens_proxy", "bigint").alias("context_tokens_proxy"),
-        jtyped(v, "num_sources", "int").alias("num_sources"),
-        jtyped(v, "retrieval_latency_ms", "double").alias("retrieval_latency_ms"),
-        jtyped(v, "generation_latency_ms", "double").alias("generation_latency_ms"),
+        styped(j, "generator_temperature", "double").alias("generator_temperature"),
+        styped(j, "score", "double").alias("score"),
+        styped(j, "passed", "boolean").alias("is_passed"),
+        styped(j, "judged", "boolean").alias("is_judged"),
+        stext(j, "verdict").alias("verdict"),
+        nullif_empty(stext(j, "error")).alias("error"),
+        styped(j, "input_tokens", "bigint").alias("generator_input_tokens"),
+        styped(j, "output_tokens", "bigint").alias("generator_output_tokens"),
+        styped(j, "cache_read_input_tokens", "bigint").alias("generator_cache_read_tokens"),
+        styped(j, "cache_creation_input_tokens", "bigint").alias("generator_cache_creation_tokens"),
+        styped(j, "context_tokens_proxy", "bigint").alias("context_tokens_proxy"),
+        styped(j, "num_sources", "int").alias("num_sources"),
+        styped(j, "retrieval_latency_ms", "double").alias("retrieval_latency_ms"),
+        styped(j, "generation_latency_ms", "double").alias("generation_latency_ms"),
     ]
 
 
-def _traversal_columns(v: Column) -> list[Column]:
+def _traversal_columns(j: Column) -> list[Column]:
     # a missing traversal_info behaves as {} : every lookup below is NULL then
     ti = "traversal_info"
-    writer = jtext(v, f"{ti}.writer_model")
+    writer = stext(j, f"{ti}.writer_model")
     return [
-        infer_mechanism(jtext(v, f"{ti}.mechanism"), jtext(v, "retriever")).alias("mechanism"),
-        jtyped(v, f"{ti}.hops", "int").alias("neighborhood_hops"),
-        jtyped(v, f"{ti}.num_triples", "int").alias("neighborhood_num_triples"),
-        jtyped(v, f"{ti}.num_linked", "int").alias("neighborhood_num_linked"),
-        jtyped(v, f"{ti}.top_k", "int").alias("top_k"),
-        jtyped(v, f"{ti}.num_chunks", "int").alias("dense_num_chunks"),
-        jtext(v, f"{ti}.embed_model").alias("embed_model"),
+        infer_mechanism(stext(j, f"{ti}.mechanism"), stext(j, "retriever")).alias("mechanism"),
+        styped(j, f"{ti}.hops", "int").alias("neighborhood_hops"),
+        styped(j, f"{ti}.num_triples", "int").alias("neighborhood_num_triples"),
+        styped(j, f"{ti}.num_linked", "int").alias("neighborhood_num_linked"),
+        styped(j, f"{ti}.top_k", "int").alias("top_k"),
+        styped(j, f"{ti}.num_chunks", "int").alias("dense_num_chunks"),
+        stext(j, f"{ti}.embed_model").alias("embed_model"),
         writer.alias("writer_model"),
         model_family(writer).alias("writer_model_family"),
-        jtyped(v, f"{ti}.writer_temperature", "double").alias("writer_temperature"),
-        jtyped(v, f"{ti}.writer_input_tokens", "bigint").alias("writer_input_tokens"),
-        jtyped(v, f"{ti}.writer_output_tokens", "bigint").alias("writer_output_tokens"),
-        jtyped(v, f"{ti}.sparql_valid", "boolean").alias("is_sparql_valid"),
-        jtyped(v, f"{ti}.num_rows", "int").alias("sparql_num_rows"),
-        jtext(v, f"{ti}.endpoint").alias("endpoint"),
-        jtext(v, f"{ti}.context_tokenizer").alias("context_tokenizer"),
+        styped(j, f"{ti}.writer_temperature", "double").alias("writer_temperature"),
+        styped(j, f"{ti}.writer_input_tokens", "bigint").alias("writer_input_tokens"),
+        styped(j, f"{ti}.writer_output_tokens", "bigint").alias("writer_output_tokens"),
+        styped(j, f"{ti}.sparql_valid", "boolean").alias("is_sparql_valid"),
+        styped(j, f"{ti}.num_rows", "int").alias("sparql_num_rows"),
+        stext(j, f"{ti}.endpoint").alias("endpoint"),
+        stext(j, f"{ti}.context_tokenizer").alias("context_tokenizer"),
     ]
 
 
+def _answers_parsed(raw_answers: DataFrame) -> DataFrame:
+    return raw_answers.withColumn("_j", parsed_struct("payload", ANSWER_SCHEMA))
+
+
 def stg_scored_answers(raw_answers: DataFrame) -> DataFrame:
     """M2: one row per (run, question), typed answer measures."""
-    v = F.col("_v")
-    return raw_answers.withColumn("_v", parsed("payload")).select(
-        "run_id", "question_id", *_answer_columns(v), "source_uri", "loaded_at"
+    j = F.col("_j")
+    return _answers_parsed(raw_answers).select(
+        "run_id", "question_id", *_answer_columns(j), "source_uri", "loaded_at"
     )
 
 
 def stg_traversal(raw_answers: DataFrame) -> DataFrame:
     """M3: the polymorphic traversal object as sparse, mechanism-prefixed columns."""
-    v = F.col("_v")
-    return raw_answers.withColumn("_v", parsed("payload")).select("run_id", "question_id", *_traversal_columns(v))
+    j = F.col("_j")
+    return _answers_parsed(raw_answers).select("run_id", "question_id", *_traversal_columns(j))
 
 
 def explode_answers(raw_answers: DataFrame) -> DataFrame:
     """M2 and M3 in one pass: a single parse per record yields both column sets.
 
     Replaces the 1:1 self-join of the two staging views on (run_id, question_id) (J2)."""
-    v = F.col("_v")
-    return raw_answers.withColumn("_v", parsed("payload")).select(
-        "run_id", "question_id", *_answer_columns(v), *_traversal_columns(v)
+    j = F.col("_j")
+    return _answers_parsed(raw_answers).select(
+        "run_id", "question_id", *_answer_columns(j), *_traversal_columns(j)
     )
 
 
