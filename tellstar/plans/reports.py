@@ -60,6 +60,28 @@ def analysis_frame(spark: SparkSession, marts_dir: str) -> DataFrame:
     )
 
 
+SERVING_TABLE = "_serving/analysis_frame"
+
+
+def materialize_analysis(spark: SparkSession, marts_dir: str) -> str:
+    """Write B1 once as a serving table (the fact joined with its dimensions).
+
+    Every report slices the same denormalised frame; computing the 5-way join once per
+    build instead of once per report removes the shuffle join against the question
+    dimension from every report query."""
+    from ..sources.tables import write_snapshot
+
+    return write_snapshot(analysis_frame(spark, marts_dir), f"{marts_dir.rstrip('/')}/{SERVING_TABLE}")
+
+
+def load_analysis(spark: SparkSession, marts_dir: str) -> DataFrame:
+    """The materialised B1 of a build when present, else computed from the marts."""
+    from ..sources.tables import latest_snapshot
+
+    snap = latest_snapshot(spark, f"{marts_dir.rstrip('/')}/{SERVING_TABLE}")
+    return spark.read.parquet(snap) if snap else analysis_frame(spark, marts_dir)
+
+
 # ---- filters
 
 def exclude_legacy(df: DataFrame) -> DataFrame:
