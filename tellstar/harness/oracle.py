@@ -161,6 +161,7 @@ def _ctes() -> list[tuple[str, str]]:
                 effective_date, source_note, 'usd_per_mtok', 'portkey'
               FROM catalog WHERE model_resolved NOT IN (SELECT model_resolved FROM overrides)"""),
         ("retriever_labels", seed_values("seed_retriever_labels")),
+        ("alias_seed", seed_values("seed_pricing_model_alias")),
         ("scoring_labels", seed_values("seed_scoring_labels")),
         ("type_labels", seed_values("seed_question_type_labels")),
         ("enriched", f"""SELECT a.*, r.run_ts, r.judge_model, r.corpus_build_id, r.harness_version,

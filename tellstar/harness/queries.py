@@ -1264,3 +1264,50 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
         F.round(F.col(f"`{f.name}`"), digits).alias(f.name) if isinstance(f.dataType, T.DoubleType)
         else F.col(f"`{f.name}`") for f in df.schema.fields
     ])
+
+
+# ================================================================== Q1-Q4: the whole declared suite
+
+_DECLARED_REL = {
+    "raw.run_manifest": "runs", "raw.scored_answer": "sa", "raw.question": "questions",
+    "raw.corpus_profile": "profiles", "raw.model_pricing": "(SELECT DISTINCT provider FROM catalog)",
+    "stg_runs": "runs", "stg_scored_answers": "sa", "stg_traversal": "sa", "stg_questions": "questions",
+    "stg_corpus_profile": "profiles", "stg_model_pricing": "catalog", "int_model_pricing": "pricing",
+    "fct_scored_answer": "fct", "seed_pricing_local_overrides": "overrides", "seed_pricing_model_alias": "alias_seed",
+    "seed_retriever_labels": "retriever_labels", "seed_scoring_labels": "scoring_labels",
+    "seed_question_type_labels": "type_labels",
+}
+
+
+def _declared_oracle() -> str:
+    from ..plans.declared_checks import DECLARED
+
+    def rel(r):
+        return _DECLARED_REL.get(r, r)
+
+    parts = []
+    for ch in DECLARED:
+        head = f"SELECT '{ch.kind}' AS \"check\", '{ch.relation}' AS relation, '{ch.column}' AS \"column\", "
+        c, src = ch.column, rel(ch.relation)
+        if ch.kind == "not_null":
+            body = f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS failures FROM {src} _t"
+        elif ch.kind == "unique":
+            body = (f"CAST(count(*) AS BIGINT) AS failures FROM (SELECT {c} FROM {src} _t WHERE {c} IS NOT NULL "
+                    f"GROUP BY {c} HAVING count(*) > 1) _x")
+        elif ch.kind == "accepted_values":
+            vals = ", ".join(str(v) if isinstance(v, int) else f"'{v}'" for v in ch.values)
+            body = (f"CAST(count(DISTINCT {c}) FILTER (WHERE {c} IS NOT NULL AND {c} NOT IN ({vals})) AS BIGINT) "
+                    f"AS failures FROM {src} _t")
+        else:
+            body = (f"CAST(count(*) AS BIGINT) AS failures FROM {src} _t WHERE {c} IS NOT NULL AND {c} NOT IN "
+                    f"(SELECT {ch.parent_column} FROM {rel(ch.parent)} WHERE {ch.parent_column} IS NOT NULL)")
+        parts.append(head + body)
+    return "\nUNION ALL\n".join(parts)
+
+
+@reg("dq_declared_suite", O(_declared_oracle()))
+def q_dq_declared_suite(spark, sf):
+    """Q1-Q4: all 86 declared tests (sources, staging, intermediate, marts, seeds) as one tidy frame."""
+    from ..plans.declared_checks import run_declared_checks
+
+    return run_declared_checks(spark, adapter.raw_root(spark, sf), adapter.marts_root(spark, sf))
