@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import hashlib
 import threading
+import time
+from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,10 +30,6 @@ from ..sources.sinks import write_named_text
 from . import formulas as fm
 
 
-def _key(sf_dir: str) -> str:
-    return hashlib.md5(sf_dir.rstrip("/").encode()).hexdigest()[:12]
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -207,16 +205,57 @@ def write_landing(spark: SparkSession, sf_dir: str, root: str, replicas: int = 1
 
 
 _LOCK = threading.RLock()
+_CODE_HASH: str | None = None
+
+
+def _code_hash() -> str:
+    """Fingerprint of this package's source, so a cache never outlives a code change."""
+    global _CODE_HASH
+    if _CODE_HASH is None:
+        h = hashlib.md5()
+        pkg = Path(__file__).resolve().parents[1]
+        for f in sorted(pkg.rglob("*.py")) + sorted(pkg.rglob("*.csv")):
+            h.update(f.read_bytes())
+        _CODE_HASH = h.hexdigest()[:12]
+    return _CODE_HASH
+
+
+def _cache_base(spark: SparkSession) -> str:
+    """Stable cache folder under the cluster's checkpoint folder (shared by every session
+    of the cluster); the per-context scratch folder when none is configured (tests)."""
+    conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if conf_dir:
+        return conf_dir.rstrip("/") + "/tellstar-cache"
+    return workspace_dir(spark) + "/cache"
+
 
+def _once(spark: SparkSession, kind: str, sf_dir: str, build, wait_s: int = 3600) -> str:
+    """Build a cached stage folder once; reused by later calls and other sessions.
 
-def _once(spark: SparkSession, kind: str, sf_dir: str, build) -> str:
-    """Build a cached stage folder once per session scratch folder (thread-safe)."""
+    The key fingerprints the input folder (file names, sizes, times) and the package
+    code. The first caller takes an exclusive lock file; concurrent callers wait for its
+    ``_READY`` marker."""
     with _LOCK:
-        path = f"{workspace_dir(spark)}/{kind}/{_key(sf_dir)}"
-        if not fs.exists(spark, f"{path}/_READY"):
-            build(path)
-            fs.write_text(spark, f"{path}/_READY", "ok")
-        return path
+        base_dir = sf_dir.split("#")[0]
+        key = hashlib.md5(f"{sf_dir}|{fs.stamp(spark, base_dir)}|{_code_hash()}".encode()).hexdigest()[:16]
+        path = f"{_cache_base(spark)}/{kind}/{key}"
+        ready = f"{path}/_READY"
+        if fs.exists(spark, ready):
+            return path
+        if fs.create_exclusive(spark, f"{path}/_LOCK", "building"):
+            try:
+                build(path)
+            except BaseException:
+                fs.delete(spark, path)  # release the lock and the partial build
+                raise
+            fs.write_text(spark, ready, "ok")
+            return path
+        deadline = time.time() + wait_s
+        while time.time() < deadline:
+            if fs.exists(spark, ready):
+                return path
+            time.sleep(2)
+        raise TimeoutError(f"{path} is locked by another builder and not ready after {wait_s}s")
 
 
 def landing_root(spark: SparkSession, sf_dir: str, replicas: int = 1) -> str:

@@ -83,3 +83,28 @@ def read_text(spark: SparkSession, path: str) -> str:
         return "\n".join(lines)
     finally:
         stream.close()
+
+
+def create_exclusive(spark: SparkSession, path: str, text: str = "") -> bool:
+    """Create ``path`` only if absent (atomic on HDFS/local): True when this call created it."""
+    fs_, p, _ = _fs(spark, path)
+    try:
+        out = fs_.create(p, False)
+    except Exception:  # noqa: BLE001 - FileAlreadyExistsException surfaces as a Py4J error
+        return False
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    return True
+
+
+def stamp(spark: SparkSession, path: str) -> str:
+    """Cheap content stamp of a folder: names, sizes and modification times of its files."""
+    fs_, p, _ = _fs(spark, path)
+    if not fs_.exists(p):
+        return "missing"
+    parts = []
+    for s in fs_.listStatus(p):
+        parts.append(f"{s.getPath().getName()}:{s.getLen()}:{s.getModificationTime()}")
+    return "|".join(sorted(parts))
