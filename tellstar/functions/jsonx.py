@@ -3,7 +3,7 @@
 A payload is parsed once per row with ``parse_json``; every field is then a cheap
 binary lookup with ``variant_get``. JSON null and a missing key both read as SQL NULL.
 Typed extraction goes through text and an ANSI cast, so malformed text fails the job
-instead of silently turning into NULL (the reference casts text the same way).
+instead of silently turning into NULL (the original SQL casts text the same way).
 """
 
 from __future__ import annotations

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values that must equal the reference for keys to line up:
+# Fixed values that must equal the original pipeline for keys to line up:
 #   null sentinel "∅", component separator "|", md5 hex digest,
 #   dated snapshot suffix pattern "-" followed by 8 digits at the end.
 NULL_SENTINEL = "∅"

@@ -24,7 +24,7 @@ def infer_mechanism(explicit: Column | str, retriever: Column | str) -> Column:
     """Explicit traversal mechanism, else inferred from the retriever.
 
     Uses SQL LIKE, so ``_`` in the pattern is a single-character wildcard, as in the
-    reference's CASE expression."""
+    original CASE expression."""
     r = _col(retriever)
     inferred = (
         F.when(r == "vector", "dense")

@@ -1,6 +1,6 @@
 """Incremental landing driven by Structured Streaming (K1 on arrival).
 
-The reference re-lands every run on a daily schedule. Here a file-source stream over the
+The original loader re-lands every run on a daily schedule. Here a file-source stream over the
 landing root picks up manifests as they arrive; each micro-batch lands exactly those runs
 (their sibling records files) with the same replace-by-run semantics as ``land_runs``.
 The stream's checkpoint records which files were processed, so a restarted or
