@@ -85,25 +85,77 @@ def _column_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     return wide.select(F.inline(rows))
 
 
+def _key_text(df: DataFrame, cols: list[str]):
+    """One text key per row (composite keys joined); NULL when any component is NULL."""
+    parts = [F.col(c).cast("string") for c in cols]
+    if len(parts) == 1:
+        return parts[0]
+    any_null = None
+    for c in cols:
+        n = F.col(c).isNull()
+        any_null = n if any_null is None else (any_null | n)
+    return F.when(~any_null, F.concat_ws("\u0001", *parts))
+
+
+def _unique_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
+    """Every unique check in one shuffle: (check id, key) pairs of all relations are
+    unioned and counted together; failures = keys seen more than once per check."""
+    keys = None
+    for i, ch in enumerate(checks):
+        df = tables[ch.relation]
+        k = df.select(F.lit(i).alias("cid"), _key_text(df, ch.column.split("|")).alias("k"))
+        keys = k if keys is None else keys.unionByName(k)
+    dup = (keys.where(F.col("k").isNotNull()).groupBy("cid", "k").agg(F.count(F.lit(1)).alias("n"))
+           .where(F.col("n") > 1).groupBy("cid").agg(F.count(F.lit(1)).alias("failures")))
+    return _with_ids(dup, checks)
+
+
+def _relationship_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
+    """Every relationships check in one shuffle: child keys (counted) and parent keys
+    (flagged) of all checks are grouped together; failures = child rows whose key has no
+    parent row in the same check."""
+    keys = None
+    for i, ch in enumerate(checks):
+        child = tables[ch.relation].select(F.lit(i).alias("cid"), F.col(ch.column).cast("string").alias("k"),
+                                           F.lit(1).alias("child"))
+        parent = tables[ch.parent].select(F.lit(i).alias("cid"), F.col(ch.parent_column).cast("string").alias("k"),
+                                          F.lit(0).alias("child"))
+        both = child.where(F.col("k").isNotNull()).unionByName(parent.where(F.col("k").isNotNull()))
+        keys = both if keys is None else keys.unionByName(both)
+    per_key = keys.groupBy("cid", "k").agg(F.sum("child").alias("n_child"), F.min("child").alias("min_side"))
+    orph = per_key.where(F.col("min_side") == 1).groupBy("cid").agg(F.sum("n_child").alias("failures"))
+    return _with_ids(orph, checks)
+
+
+def _with_ids(per_check: DataFrame, checks: list[Check]) -> DataFrame:
+    """Attach the check descriptions; a check without failing keys reports 0."""
+    spark = per_check.sparkSession
+    ids = spark.createDataFrame([(i, c.kind, c.relation, c.column) for i, c in enumerate(checks)],
+                                "cid int, check string, relation string, column string")
+    return F.broadcast(ids).join(per_check, "cid", "left").select(
+        "check", "relation", "column", F.coalesce(F.col("failures"), F.lit(0)).cast("bigint").alias("failures"))
+
+
 def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
     """Evaluate every check and union the tidy rows.
 
     Column-level checks (not_null, accepted_values) of a relation share one scan and one
-    aggregate; unique and relationships checks need their own grouping / anti join."""
+    aggregate; all unique checks share one shuffle, and all relationships checks another."""
     parts: list[DataFrame] = []
     by_rel: dict[str, list[Check]] = {}
+    uniques = [c for c in checks if c.kind == "unique"]
+    rels = [c for c in checks if c.kind == "relationships"]
     for ch in checks:
         if ch.kind in ("not_null", "accepted_values"):
             by_rel.setdefault(ch.relation, []).append(ch)
-        elif ch.kind == "unique":
-            parts.append(_result(unique(tables[ch.relation], ch.column.split("|")), ch))
-        elif ch.kind == "relationships":
-            parts.append(_result(relationships(tables[ch.relation], ch.column, tables[ch.parent],
-                                               ch.parent_column), ch))
-        else:
+        elif ch.kind not in ("unique", "relationships"):
             raise ValueError(ch.kind)
     for rel, chs in by_rel.items():
         parts.append(_column_checks(tables[rel], chs))
+    if uniques:
+        parts.append(_unique_checks(tables, uniques))
+    if rels:
+        parts.append(_relationship_checks(tables, rels))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
