@@ -71,3 +71,34 @@ def test_seeds_have_pinned_types(spark):
     assert alias.count() == 0 and dict(alias.dtypes)["model_resolved"] == "string"
     o = read_seed(spark, "seed_pricing_local_overrides")
     assert dict(o.dtypes)["input_usd_per_mtok"] == "decimal(14,6)"
+
+
+def test_missing_landing_root_raises(spark, tmp_path):
+    import pytest
+
+    with pytest.raises(FileNotFoundError):
+        lf.scan_manifests(spark, str(tmp_path / "nope"))
+
+
+def test_file_stem_is_the_key(spark, tree):
+    from tellstar.operators import quality as dq
+
+    m = dq.filename_key(lf.scan_manifests(spark, tree), "run_id", "run_id", "run_manifest").first()
+    c = dq.filename_key(lf.scan_corpus_profiles(spark, tree), "corpus_build_id", "corpus_build_id", "corpus").first()
+    assert m.failures == 0 and c.failures == 0
+
+
+def test_question_coverage_and_grain_keys(spark, tree, raw_dir):
+    from tellstar.operators import landing as ld
+    from tellstar.operators import quality as dq
+    from tellstar.plans.staging import stg_scored_answers, stg_traversal
+
+    ld.land_all(spark, tree, raw_dir)
+    a = ld.read_raw(spark, raw_dir, "scored_answer")
+    bank = ld.read_raw(spark, raw_dir, "question").select("question_id")
+    uncovered = a.join(bank, "question_id", "left_anti").select("run_id", "question_id").collect()
+    assert [(r.run_id, r.question_id) for r in uncovered] == [("r3-closed", "q5")]
+    g = dq.grain_keys(stg_scored_answers(a)).first()
+    assert (g.n_records, g.failures) == (7, 0)
+    m = dq.mechanism_derivable(stg_traversal(a)).first()
+    assert m.failures == 1  # the unseeded retriever has no derivable mechanism
