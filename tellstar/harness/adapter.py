@@ -267,5 +267,12 @@ def raw_root(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, "raw", sf_dir, lambda p: land_all(spark, landing_root(spark, sf_dir), p))
 
 
+def _build_marts(spark: SparkSession, sf_dir: str, path: str) -> None:
+    from ..plans.reports import materialize_analysis
+
+    build_star(spark, raw_root(spark, sf_dir), path)
+    materialize_analysis(spark, path)
+
+
 def marts_root(spark: SparkSession, sf_dir: str) -> str:
-    return _once(spark, "marts", sf_dir, lambda p: build_star(spark, raw_root(spark, sf_dir), p))
+    return _once(spark, "marts", sf_dir, lambda p: _build_marts(spark, sf_dir, p))
