@@ -51,9 +51,24 @@ def raw_path(raw_dir: str, table: str) -> str:
     return f"{raw_dir.rstrip('/')}/{table}"
 
 
+BUCKET_COL = "run_bucket"
+
+
+def run_bucket(run_id, buckets: int):
+    """Stable bucket of a run id (xxhash64, non-negative modulo)."""
+    return F.pmod(F.xxhash64(run_id), F.lit(buckets)).cast("int")
+
+
+def _bucketed(spark: SparkSession, path: str) -> bool:
+    return any(c.rstrip("/").rsplit("/", 1)[-1].startswith(BUCKET_COL + "=") for c in fs.list_dir(spark, path))
+
+
 def read_raw(spark: SparkSession, raw_dir: str, table: str) -> DataFrame:
     path = raw_path(raw_dir, table)
     if table == "scored_answer":
+        if _bucketed(spark, path):
+            schema = T.StructType(SCORED_ANSWER_SCHEMA.fields + [T.StructField(BUCKET_COL, T.IntegerType())])
+            return spark.read.schema(schema).parquet(path).select(*SCORED_ANSWER_SCHEMA.fieldNames())
         return spark.read.schema(SCORED_ANSWER_SCHEMA).parquet(path)
     return read_table(spark, path)
 
@@ -121,15 +136,15 @@ def missing_records(spark: SparkSession, root: str, manifests: DataFrame | None
 
 # ---------------------------------------------------------------- runs (K1)
 
-def _partition_dirs(spark: SparkSession, table_dir: str) -> dict[str, str]:
-    """run_id value -> folder, for the ``run_id=<escaped>`` children of a table folder."""
+def _partition_dirs(spark: SparkSession, table_dir: str, col: str = "run_id") -> dict[str, str]:
+    """partition value -> folder, for the ``<col>=<escaped>`` children of a table folder."""
     from urllib.parse import unquote
 
     out = {}
     for child in fs.list_dir(spark, table_dir):
         name = child.rstrip("/").rsplit("/", 1)[-1]
-        if name.startswith("run_id="):
-            out[unquote(name[len("run_id="):])] = child.rstrip("/")
+        if name.startswith(col + "="):
+            out[unquote(name[len(col) + 1:])] = child.rstrip("/")
     return out
 
 
@@ -168,6 +183,7 @@ def land_runs(
     raw_dir: str,
     on_missing_records: str = "raise",
     manifests: DataFrame | None = None,
+    buckets: int | None = None,
 ) -> dict[str, int]:
     """K1: replace every incoming run (manifest + all answers) keyed by run_id.
 
@@ -178,7 +194,11 @@ def land_runs(
     swapped in, so a refused pass changes nothing.
 
     ``manifests`` (run_id, batch, source_uri, payload) restricts the pass to those runs
-    (incremental landing); by default every run under ``root`` is landed."""
+    (incremental landing); by default every run under ``root`` is landed.
+
+    ``buckets`` switches the answers layout from one folder per run to ``buckets`` hash
+    buckets of runs (for very many runs): a pass rewrites only the buckets its runs hash
+    to (kept rows of other runs + the new rows), checked in staging, then swapped in."""
     manifests, records = incoming_runs(spark, root, manifests)
     missing = missing_records(spark, root, manifests)
     missing_ids = [r.run_id for r in missing.limit(20).collect()]
@@ -192,20 +212,38 @@ def land_runs(
     now = F.current_timestamp()
     answers_dir = raw_path(raw_dir, "scored_answer")
     staging = f"{raw_dir.rstrip('/')}/_staging/scored_answer-{uuid.uuid4().hex}"
-    (
-        records.withColumn("loaded_at", now)
-        .select("question_id", "line_no", "source_uri", "loaded_at", "payload", "run_id")
-        .write.mode("overwrite")
-        .partitionBy("run_id")
-        .parquet(staging)
-    )
-    staged = spark.read.schema(SCORED_ANSWER_SCHEMA).parquet(staging)
+    new_rows = records.withColumn("loaded_at", now).select(
+        "question_id", "line_no", "source_uri", "loaded_at", "payload", "run_id")
+    run_ids = [r.run_id for r in manifests.select("run_id").collect()]
+    part_col = BUCKET_COL if buckets else "run_id"
+    if buckets:
+        if fs.exists(spark, answers_dir) and fs.list_dir(spark, answers_dir) and not _bucketed(spark, answers_dir):
+            raise LoadError("answers are laid out by run_id; land with buckets=None or into a new raw folder")
+        incoming = manifests.select("run_id").withColumn(BUCKET_COL, run_bucket(F.col("run_id"), buckets))
+        affected = sorted({r[BUCKET_COL] for r in incoming.select(BUCKET_COL).distinct().collect()})
+        rows = new_rows.withColumn(BUCKET_COL, run_bucket(F.col("run_id"), buckets))
+        if _bucketed(spark, answers_dir):
+            kept = (
+                read_raw(spark, raw_dir, "scored_answer")
+                .withColumn(BUCKET_COL, run_bucket(F.col("run_id"), buckets))
+                .where(F.col(BUCKET_COL).isin(affected))
+                .join(broadcast_if_small(incoming.select("run_id"), max_rows=2_000_000), "run_id", "left_anti")
+            )
+            rows = kept.select(rows.columns).unionByName(rows)
+        rows.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(staging)
+        staged_schema = T.StructType(SCORED_ANSWER_SCHEMA.fields + [T.StructField(BUCKET_COL, T.IntegerType())])
+        staged = spark.read.schema(staged_schema).parquet(staging)
+        swap_keys = [str(b) for b in affected]
+    else:
+        new_rows.write.mode("overwrite").partitionBy("run_id").parquet(staging)
+        staged = spark.read.schema(SCORED_ANSWER_SCHEMA).parquet(staging)
+        swap_keys = run_ids
     try:
         pk_guard(["run_id", "question_id"], "scored_answer")(staged)
     except LoadError:
         fs.delete(spark, staging)
         raise
-    n_records = staged.count()  # parquet footer metadata only
+    n_records = staged.where(F.col("run_id").isin(run_ids)).count() if buckets else staged.count()
 
     # manifests: small (one row per run) -> rewrite as a new snapshot
     new_manifests = manifests.select("run_id", "source_uri", now.alias("loaded_at"), "payload")
@@ -217,16 +255,15 @@ def land_runs(
         merged = new_manifests
     write_snapshot(merged, mpath, check=pk_guard(["run_id"], "run_manifest"))
 
-    # answers: swap partitions of incoming runs (a run with no staged partition is cleared)
-    run_ids = [r.run_id for r in manifests.select("run_id").collect()]
-    staged_parts = _partition_dirs(spark, staging)
-    existing = _partition_dirs(spark, answers_dir)
-    for run_id in run_ids:
-        if run_id in existing:
-            fs.delete(spark, existing[run_id])
-        if run_id in staged_parts:
-            name = staged_parts[run_id].rstrip("/").rsplit("/", 1)[-1]
-            fs.rename(spark, staged_parts[run_id], f"{answers_dir}/{name}")
+    # answers: swap the partitions of this pass (a run or bucket with no staged rows is cleared)
+    staged_parts = _partition_dirs(spark, staging, part_col)
+    existing = _partition_dirs(spark, answers_dir, part_col)
+    for key in swap_keys:
+        if key in existing:
+            fs.delete(spark, existing[key])
+        if key in staged_parts:
+            name = staged_parts[key].rstrip("/").rsplit("/", 1)[-1]
+            fs.rename(spark, staged_parts[key], f"{answers_dir}/{name}")
     fs.delete(spark, staging)
     if not fs.exists(spark, answers_dir):
         fs.mkdirs(spark, answers_dir)
@@ -274,7 +311,8 @@ def land_pricing(spark: SparkSession, root: str, raw_dir: str) -> int:
     return upsert(spark, inc, raw_path(raw_dir, "model_pricing"), "provider", "model_pricing")
 
 
-def land_all(spark: SparkSession, root: str, raw_dir: str, on_missing_records: str = "raise") -> dict[str, int]:
+def land_all(spark: SparkSession, root: str, raw_dir: str, on_missing_records: str = "raise",
+             buckets: int | None = None) -> dict[str, int]:
     """K5: shared inputs first, then every discovered run; returns the pass counts."""
     counts = {"runs": 0, "records": 0, "questions": 0, "corpus_profiles": 0, "pricing_snapshots": 0}
     # the three shared inputs are independent small jobs: submit them together
@@ -283,5 +321,5 @@ def land_all(spark: SparkSession, root: str, raw_dir: str, on_missing_records: s
         c = pool.submit(land_corpus_profiles, spark, root, raw_dir)
         p = pool.submit(land_pricing, spark, root, raw_dir)
         counts["questions"], counts["corpus_profiles"], counts["pricing_snapshots"] = q.result(), c.result(), p.result()
-    counts.update(land_runs(spark, root, raw_dir, on_missing_records=on_missing_records))
+    counts.update(land_runs(spark, root, raw_dir, on_missing_records=on_missing_records, buckets=buckets))
     return counts

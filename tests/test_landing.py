@@ -94,3 +94,27 @@ def test_streaming_landing_matches_batch_landing(spark, tree, tmp_path):
     q.awaitTermination(300)
     per_run = {r.run_id: r["count"] for r in ld.read_raw(spark, raw_s, "scored_answer").groupBy("run_id").count().collect()}
     assert per_run == {"r1-vector": 3, "r2-sparql": 2, "r3-closed": 2, "r4-new": 1}
+
+
+def test_bucketed_layout_equals_run_layout_and_keeps_replace_semantics(spark, tree, tmp_path):
+    by_run, by_bucket = str(tmp_path / "raw_run"), str(tmp_path / "raw_bucket")
+    ld.land_all(spark, tree, by_run)
+    ld.land_all(spark, tree, by_bucket, buckets=4)
+    a = ld.read_raw(spark, by_run, "scored_answer").drop("loaded_at")
+    b = ld.read_raw(spark, by_bucket, "scored_answer").drop("loaded_at")
+    assert a.columns == b.columns
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert any("run_bucket=" in p.name for p in (tmp_path / "raw_bucket" / "scored_answer").iterdir())
+    # re-pass with r2 emptied and r3 gone from the source: r2 cleared, r3 kept, r1 replaced
+    root = Path(tree)
+    (root / NEW / "r2-sparql.jsonl").write_text("\n")
+    for f in (root / NEW).glob("r3-closed.*"):
+        f.unlink()
+    counts = ld.land_runs(spark, tree, by_bucket, buckets=4)
+    assert counts == {"runs": 2, "records": 3}
+    per_run = {r.run_id: r["count"] for r in ld.read_raw(spark, by_bucket, "scored_answer").groupBy("run_id").count().collect()}
+    assert per_run == {"r1-vector": 3, "r3-closed": 2}
+    again = ld.land_runs(spark, tree, by_bucket, buckets=4)
+    assert again == counts
+    with pytest.raises(ld.LoadError):
+        ld.land_runs(spark, tree, by_run, buckets=4)  # layouts are not mixed

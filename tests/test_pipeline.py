@@ -132,3 +132,12 @@ def test_alias_crosswalk(spark, star):
     assert stg["default"].model_resolved == "zero-model"
     assert stg[HAIKU].model_resolved == HAIKU
     assert read_seed(spark, "seed_pricing_model_alias").count() == 0
+
+
+def test_star_over_bucketed_raw_is_the_same(spark, tree, tmp_path):
+    r1, r2 = str(tmp_path / "r1"), str(tmp_path / "r2")
+    ld.land_all(spark, tree, r1)
+    ld.land_all(spark, tree, r2, buckets=3)
+    f1 = mt.fct_scored_answer(mt.Pipeline(spark, r1).enriched())
+    f2 = mt.fct_scored_answer(mt.Pipeline(spark, r2).enriched())
+    assert f1.exceptAll(f2).count() == 0 and f2.exceptAll(f1).count() == 0
