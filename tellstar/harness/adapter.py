@@ -9,8 +9,9 @@
 * the question bank (``reference/questions.jsonl``, written as a folder of parts)
 * one corpus profile per ``supplier`` row, and price catalogs grouped from ``part`` rows
 
-It does none of the pipeline's work: values come from ``formulas`` only. Outputs are
-cached per (session scratch folder, table folder).
+It does none of the pipeline's work: values come from ``formulas`` only. The landing
+tree, the raw landing and the marts built from it are cached under the cluster's
+checkpoint folder, keyed by a fingerprint of the input folder and of this package's code.
 """
 
 from __future__ import annotations

@@ -8,8 +8,9 @@ Raw layout under ``raw_dir``::
     corpus_profile/    versioned snapshot (upsert by corpus_build_id)
     model_pricing/     versioned snapshot (upsert by provider)
 
-Everything is set-based: all runs of a pass are scanned, parsed and written by one job,
-never by a driver loop over runs.
+Everything is set-based: all runs of a pass are scanned, parsed and written by one job.
+The driver never moves data; it only swaps the written partition folders into place
+(one rename per landed run or bucket, a metadata operation).
 """
 
 from __future__ import annotations

@@ -1,8 +1,10 @@
 """Marts (M9-M17): one fact and eight dimensions keyed by md5 surrogate keys.
 
 ``build_star`` materialises the enriched grain once (a written table cuts the lineage and
-survives executor loss), then derives every dimension and the fact from it with
-column-pruned reads, and writes each mart as a committed snapshot.
+survives executor loss). The fact and the dimensions observed on the answers (retriever
+condition, generator, writer, scoring) are column-pruned reads of that table; run,
+question, corpus and pricing dimensions come from their staging relations. Each mart is
+written as a committed snapshot; independent marts are submitted concurrently.
 """
 
 from __future__ import annotations
