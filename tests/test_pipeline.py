@@ -141,3 +141,17 @@ def test_star_over_bucketed_raw_is_the_same(spark, tree, tmp_path):
     f1 = mt.fct_scored_answer(mt.Pipeline(spark, r1).enriched())
     f2 = mt.fct_scored_answer(mt.Pipeline(spark, r2).enriched())
     assert f1.exceptAll(f2).count() == 0 and f2.exceptAll(f1).count() == 0
+
+
+def test_command_line_land_build_report(spark, tree, tmp_path, capsys):
+    from tellstar.__main__ import main
+
+    raw, marts = str(tmp_path / "raw"), str(tmp_path / "marts")
+    assert main(["land", "--landing", tree, "--raw", raw]) == 0
+    code = main(["build", "--raw", raw, "--marts", marts])
+    out = capsys.readouterr().out
+    assert "PASS=" in out and "freshness raw.run_manifest: pass" in out
+    assert code == 1  # the fixture's planted defects (unseeded retriever, orphan keys) fail declared tests
+    assert "FAIL accepted_values stg_scored_answers.retriever" in out
+    assert main(["report", "cost_per_correct", "--marts", marts]) == 0
+    assert "Text to SPARQL" in capsys.readouterr().out
