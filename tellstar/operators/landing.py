@@ -83,8 +83,16 @@ def _question_id(payload: str):
 # ---------------------------------------------------------------- guards (K6, K9)
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Key combinations present more than once, with their count."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)
+    """Key combinations present more than once, with their count.
+
+    A first aggregate over a 64-bit hash of the key finds candidate hashes (the shuffle
+    carries 8-byte hashes, not key strings); the exact grouping then runs only over the
+    rows whose hash repeats."""
+    narrow = df.select(*keys).withColumn("_h", F.xxhash64(*keys))
+    suspects = narrow.groupBy("_h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("_h")
+    suspects = broadcast_if_small(suspects, max_rows=1_000_000)
+    exact = narrow.join(suspects, "_h", "left_semi").groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    return exact.where(F.col("n_rows") > 1)
 
 
 def null_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -95,20 +103,32 @@ def null_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.where(cond)
 
 
-def pk_guard(keys: list[str], table: str):
-    """Validation callback: the written rows must satisfy PRIMARY KEY (keys).
+def key_violations(df: DataFrame, keys: list[str], limit: int = 10) -> list[tuple]:
+    """Up to ``limit`` key values that repeat or contain a NULL (exact).
 
-    One grouped pass over the key columns finds both repeated keys and NULL keys."""
+    The full pass shuffles only a 64-bit hash of the key plus two counters per distinct
+    hash (partial aggregation first), not the key strings. Hash values seen more than once
+    are then re-checked exactly on the original keys, so a hash collision can never report
+    a false duplicate; the exact pass touches only those candidate rows."""
+    any_null = None
+    for k in keys:
+        c = F.col(k).isNull()
+        any_null = c if any_null is None else (any_null | c)
+    narrow = df.select(*keys).withColumn("_h", F.xxhash64(*keys)).withColumn("_null", any_null.cast("int"))
+    per_hash = narrow.groupBy("_h").agg(F.count(F.lit(1)).alias("n"), F.max("_null").alias("has_null"))
+    suspects = per_hash.where((F.col("n") > 1) | (F.col("has_null") == 1)).select("_h")
+    suspects = broadcast_if_small(suspects, max_rows=1_000_000)
+    exact = narrow.join(suspects, "_h", "left_semi").groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    return [tuple(r) for r in exact.where((F.col("n_rows") > 1) | any_null).limit(limit).collect()]
+
+
+def pk_guard(keys: list[str], table: str):
+    """Validation callback: the written rows must satisfy PRIMARY KEY (keys)."""
 
     def check(written: DataFrame) -> None:
-        groups = written.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-        any_null = None
-        for k in keys:
-            c = F.col(k).isNull()
-            any_null = c if any_null is None else (any_null | c)
-        bad = groups.where((F.col("n_rows") > 1) | any_null).limit(10).collect()
+        bad = key_violations(written, keys)
         if bad:
-            raise LoadError(f"{table}: primary key {keys} violated (duplicate or NULL): {[tuple(r) for r in bad]}")
+            raise LoadError(f"{table}: primary key {keys} violated (duplicate or NULL): {bad}")
 
     return check
 
@@ -208,7 +228,7 @@ def land_runs(
             raise LoadError(f"records file missing for runs {missing_ids}")
         log.warning("skipping runs without a records file: %s", missing_ids)
         manifests = manifests.join(missing.select("run_id"), "run_id", "left_anti")
-        records = records.join(F.broadcast(missing.select("run_id")), "run_id", "left_anti")
+        records = records.join(broadcast_if_small(missing.select("run_id")), "run_id", "left_anti")
 
     now = F.current_timestamp()
     answers_dir = raw_path(raw_dir, "scored_answer")
