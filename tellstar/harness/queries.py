@@ -210,33 +210,54 @@ def q_load_mart(spark, sf):
 
 # ================================================================== K: sinks / landing
 
+def _fresh(spark, kind: str) -> str:
+    """A new folder under the session's scratch folder for a query that writes."""
+    import uuid
+
+    from ..session import workspace_dir
+
+    return f"{workspace_dir(spark)}/{kind}/{uuid.uuid4().hex}"
+
+
 @reg("land_runs", O("""
     SELECT run_id, CAST(count(*) AS BIGINT) AS n_records, min(line_no) AS min_line_no, max(line_no) AS max_line_no
     FROM sa GROUP BY run_id"""))
 def q_land_runs(spark, sf):
-    raw = _pipe(spark, sf).raw("scored_answer")
+    """K1 runs here: every run of the landing tree is landed into a fresh raw folder."""
+    raw_dir = _fresh(spark, "k1")
+    ld.land_runs(spark, _landing(spark, sf), raw_dir)
+    raw = ld.read_raw(spark, raw_dir, "scored_answer")
     return raw.groupBy("run_id").agg(F.count(F.lit(1)).alias("n_records"), F.min("line_no").alias("min_line_no"),
                                      F.max("line_no").alias("max_line_no"))
 
 
 @reg("land_questions", O("SELECT type_id, CAST(count(*) AS BIGINT) AS n_questions FROM questions GROUP BY type_id"))
 def q_land_questions(spark, sf):
-    raw = _pipe(spark, sf).raw("question")
+    """K2 runs here, into a fresh raw folder."""
+    raw_dir = _fresh(spark, "k2")
+    ld.land_questions(spark, _landing(spark, sf), raw_dir)
+    raw = ld.read_raw(spark, raw_dir, "question")
     t = raw.select(jtext(parsed("payload"), "type_id").alias("type_id"))
     return t.groupBy("type_id").agg(F.count(F.lit(1)).alias("n_questions"))
 
 
 @reg("land_corpus_profiles", O("SELECT corpus_build_id, 'reference/' || corpus_build_id || '.json' AS relative_uri FROM profiles"))
 def q_land_profiles(spark, sf):
+    """K3 runs here (upsert into a fresh raw folder)."""
     root = _landing(spark, sf)
-    raw = _pipe(spark, sf).raw("corpus_profile")
+    raw_dir = _fresh(spark, "k3")
+    ld.land_corpus_profiles(spark, root, raw_dir)
+    raw = ld.read_raw(spark, raw_dir, "corpus_profile")
     return raw.select("corpus_build_id", lf.relative_uri("source_uri", root).alias("relative_uri"))
 
 
 @reg("land_pricing", O("SELECT DISTINCT provider, 'reference/pricing/' || provider || '.json' AS relative_uri FROM catalog"))
 def q_land_pricing(spark, sf):
+    """K4 runs here (upsert into a fresh raw folder)."""
     root = _landing(spark, sf)
-    raw = _pipe(spark, sf).raw("model_pricing")
+    raw_dir = _fresh(spark, "k4")
+    ld.land_pricing(spark, root, raw_dir)
+    raw = ld.read_raw(spark, raw_dir, "model_pricing")
     return raw.select("provider", lf.relative_uri("source_uri", root).alias("relative_uri"))
 
 
@@ -246,7 +267,10 @@ def q_land_pricing(spark, sf):
            (SELECT CAST(count(*) AS BIGINT) FROM profiles) AS corpus_profiles,
            (SELECT CAST(count(DISTINCT provider) AS BIGINT) FROM catalog) AS pricing_snapshots"""))
 def q_land_all(spark, sf):
-    p = _pipe(spark, sf)
+    """K5 runs here into a fresh raw folder; the counts are read back from the tables."""
+    raw_dir = _fresh(spark, "k5")
+    ld.land_all(spark, _landing(spark, sf), raw_dir)
+    p = mt.Pipeline(spark, raw_dir)
     counts = [p.raw(t).agg(F.count(F.lit(1)).alias(n)) for t, n in (
         ("run_manifest", "runs"), ("scored_answer", "records"), ("question", "questions"),
         ("corpus_profile", "corpus_profiles"), ("model_pricing", "pricing_snapshots"))]
@@ -266,14 +290,18 @@ def q_pk_guard(spark, sf):
     SELECT provider, CAST(count(*) AS BIGINT) AS model_count, DATE '{fm.FETCHED_AT}' AS fetched_at,
            '{fm.CATALOG_REF}' AS ref FROM catalog GROUP BY provider"""))
 def q_snapshot_build(spark, sf):
-    from ..operators.pricing_snapshot import build_snapshots
+    """K7 runs here: catalogs are validated, wrapped with meta, written as
+    ``reference/pricing/<provider>.json`` under a fresh root and read back by the scan."""
+    from ..operators.pricing_snapshot import build_snapshots, write_snapshots
 
     raw = _pipe(spark, sf).raw("model_pricing")
     models = raw.select("provider", F.to_json(jsub(parsed("payload"), "models")).alias("models_json"))
-    snaps = build_snapshots(models, ref=fm.CATALOG_REF, fetched_at=fm.FETCHED_AT)
-    v = parsed("snapshot")
-    return snaps.select("provider", jtyped(v, "meta.model_count", "bigint").alias("model_count"),
-                        jtyped(v, "meta.fetched_at", "date").alias("fetched_at"), jtext(v, "meta.ref").alias("ref"))
+    root = _fresh(spark, "k7")
+    write_snapshots(build_snapshots(models, ref=fm.CATALOG_REF, fetched_at=fm.FETCHED_AT), root)
+    v = parsed("payload")
+    return lf.scan_pricing(spark, root).select(
+        "provider", jtyped(v, "meta.model_count", "bigint").alias("model_count"),
+        jtyped(v, "meta.fetched_at", "date").alias("fetched_at"), jtext(v, "meta.ref").alias("ref"))
 
 
 @reg("materialize", O("""
@@ -287,9 +315,12 @@ def q_snapshot_build(spark, sf):
     UNION ALL SELECT 'dim_token_pricing', count(*) FROM dim_token_pricing
     UNION ALL SELECT 'fct_scored_answer', count(*) FROM fct"""))
 def q_materialize(spark, sf):
+    """K8 runs here: every mart is built from the raw tables into a fresh folder and read back."""
+    marts_dir = _fresh(spark, "k8")
+    mt.build_star(spark, adapter.raw_root(spark, sf), marts_dir)
     out = None
     for name in mt.MARTS:
-        c = _mart(spark, sf, name, doubles=False).agg(F.count(F.lit(1)).alias("n_rows")).select(
+        c = read_table(spark, f"{marts_dir}/{name}").agg(F.count(F.lit(1)).alias("n_rows")).select(
             F.lit(name).alias("mart"), "n_rows")
         out = c if out is None else out.unionByName(c)
     return out
