@@ -87,10 +87,9 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
     A first aggregate over a 64-bit hash of the key finds candidate hashes (the shuffle
     carries 8-byte hashes, not key strings); the exact grouping then runs only over the
-    rows whose hash repeats."""
+    rows whose hash repeats (broadcast by AQE from the suspects' runtime size)."""
     narrow = df.select(*keys).withColumn("_h", F.xxhash64(*keys))
     suspects = narrow.groupBy("_h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("_h")
-    suspects = broadcast_if_small(suspects, max_rows=1_000_000)
     exact = narrow.join(suspects, "_h", "left_semi").groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
     return exact.where(F.col("n_rows") > 1)
 
@@ -116,8 +115,9 @@ def key_violations(df: DataFrame, keys: list[str], limit: int = 10) -> list[tupl
         any_null = c if any_null is None else (any_null | c)
     narrow = df.select(*keys).withColumn("_h", F.xxhash64(*keys)).withColumn("_null", any_null.cast("int"))
     per_hash = narrow.groupBy("_h").agg(F.count(F.lit(1)).alias("n"), F.max("_null").alias("has_null"))
+    # the suspects are a shuffle stage's output: AQE sees their real size and broadcasts
+    # them when small (the usual case), else keeps a shuffle join
     suspects = per_hash.where((F.col("n") > 1) | (F.col("has_null") == 1)).select("_h")
-    suspects = broadcast_if_small(suspects, max_rows=1_000_000)
     exact = narrow.join(suspects, "_h", "left_semi").groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
     return [tuple(r) for r in exact.where((F.col("n_rows") > 1) | any_null).limit(limit).collect()]
 

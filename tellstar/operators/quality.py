@@ -103,16 +103,14 @@ def _unique_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFra
     (check id, hash of key) pairs of all relations are unioned and counted together;
     only hashes seen more than once are re-checked exactly on the key text, so collisions
     cannot inflate a failure count. failures = key values seen more than once per check."""
-    from .joins import broadcast_if_small
-
     keys = None
     for i, ch in enumerate(checks):
         df = tables[ch.relation]
         k = df.select(F.lit(i).alias("cid"), _key_text(df, ch.column.split("|")).alias("k"))
         keys = k if keys is None else keys.unionByName(k)
     keys = keys.where(F.col("k").isNotNull()).withColumn("_h", F.xxhash64("k"))
+    # AQE broadcasts the (usually tiny) suspects from their runtime size
     suspects = keys.groupBy("cid", "_h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("cid", "_h")
-    suspects = broadcast_if_small(suspects, max_rows=1_000_000)
     dup = (keys.join(suspects, ["cid", "_h"], "left_semi").groupBy("cid", "k").agg(F.count(F.lit(1)).alias("n"))
            .where(F.col("n") > 1).groupBy("cid").agg(F.count(F.lit(1)).alias("failures")))
     return _with_ids(dup, checks)
