@@ -82,7 +82,7 @@ def main() -> None:
 
     pipeline = {k: v for k, v in times.items() if k != "landing_files"}
     print(json.dumps({
-        "metric": "pipeline_total_sec",
+        "metric": "end_to_end_sec",
         "value": round(sum(pipeline.values()), 3),
         "unit": "sec",
         "queries": times,

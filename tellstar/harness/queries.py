@@ -57,8 +57,8 @@ def _landing(spark, sf):
     return adapter.landing_root(spark, sf)
 
 
-def _pipe(spark, sf) -> mt.Pipeline:
-    return mt.Pipeline(spark, adapter.raw_root(spark, sf))
+def _pipe(spark, sf) -> mt.Relations:
+    return mt.Relations(spark, adapter.raw_root(spark, sf))
 
 
 def _mart(spark, sf, name, doubles=True):
@@ -270,7 +270,7 @@ def q_land_all(spark, sf):
     """K5 runs here into a fresh raw folder; the counts are read back from the tables."""
     raw_dir = _fresh(spark, "k5")
     ld.land_all(spark, _landing(spark, sf), raw_dir)
-    p = mt.Pipeline(spark, raw_dir)
+    p = mt.Relations(spark, raw_dir)
     counts = [p.raw(t).agg(F.count(F.lit(1)).alias(n)) for t, n in (
         ("run_manifest", "runs"), ("scored_answer", "records"), ("question", "questions"),
         ("corpus_profile", "corpus_profiles"), ("model_pricing", "pricing_snapshots"))]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from .marts import MARTS, Pipeline
+from .marts import MARTS, Relations
 from .staging import stg_scored_answers, stg_traversal
 
 PREVIEW_ROWS = 100
@@ -22,7 +22,7 @@ def preview(df: DataFrame, order_by: list[str], n: int = PREVIEW_ROWS) -> DataFr
     return df.orderBy(*[F.col(c).asc_nulls_last() for c in order_by]).limit(n)
 
 
-def previews(pipe: Pipeline, marts_dir: str, n: int = PREVIEW_ROWS) -> dict[str, DataFrame]:
+def previews(pipe: Relations, marts_dir: str, n: int = PREVIEW_ROWS) -> dict[str, DataFrame]:
     """O5 for every raw, staging, intermediate and mart relation."""
     sp = pipe.spark
     rel: dict[str, tuple[DataFrame, list[str]]] = {

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.quality import Check, run_checks
 from ..sources.seeds import read_seed
 from ..sources.tables import read_table
-from .marts import MARTS, Pipeline
+from .marts import MARTS, Relations
 from .staging import stg_scored_answers, stg_traversal
 
 # Accepted value lists of the declared tests.
@@ -93,7 +93,7 @@ SEEDS = ("seed_pricing_local_overrides", "seed_pricing_model_alias", "seed_retri
 
 
 def relations(spark: SparkSession, raw_dir: str, marts_dir: str) -> dict[str, DataFrame]:
-    p = Pipeline(spark, raw_dir)
+    p = Relations(spark, raw_dir)
     rel: dict[str, DataFrame] = {f"raw.{t}": p.raw(t) for t in
                                  ("run_manifest", "scored_answer", "question", "corpus_profile", "model_pricing")}
     rel.update({

@@ -240,7 +240,7 @@ def check_contract(df: DataFrame, contract: T.StructType = FACT_CONTRACT) -> Non
         raise ContractError(f"fact contract mismatch: {diff}")
 
 
-class Pipeline:
+class Relations:
     """The staging -> intermediate relations of one raw landing, as lazy DataFrames."""
 
     def __init__(self, spark: SparkSession, raw_dir: str):
@@ -271,7 +271,7 @@ class Pipeline:
 
 def build_star(spark: SparkSession, raw_dir: str, marts_dir: str, parallelism: int = 4) -> dict[str, str]:
     """K8 + M9-M17: write every mart as a committed snapshot; returns mart -> folder."""
-    p = Pipeline(spark, raw_dir)
+    p = Relations(spark, raw_dir)
     out = {}
     marts_dir = marts_dir.rstrip("/")
     enriched_path = write_snapshot(p.enriched(), f"{marts_dir}/_int/int_scored_answers_enriched")

@@ -27,7 +27,7 @@ def _by(df, *keys):
 
 def test_pricing_contract(spark, star):
     raw, _ = star
-    p = mt.Pipeline(spark, raw)
+    p = mt.Relations(spark, raw)
     stg = _by(p.stg_pricing(), "model_resolved")
     assert stg[HAIKU].input_usd_per_mtok == Decimal("1.000000")
     assert stg[HAIKU].cache_write_usd_per_mtok == Decimal("1.250000")
@@ -58,7 +58,7 @@ def test_null_aware_override_anti_join(spark):
 
 def test_enriched_costs_golden(spark, star):
     raw, _ = star
-    e = _by(mt.Pipeline(spark, raw).enriched(), "run_id", "question_id")
+    e = _by(mt.Relations(spark, raw).enriched(), "run_id", "question_id")
     r1q1 = e[("r1-vector", "q1")]
     assert r1q1.generator_cost_usd == Decimal("0.002155000000")
     assert r1q1.generator_pricing_sk is not None
@@ -128,7 +128,7 @@ def test_contract_violation_is_detected(spark, star):
 def test_alias_crosswalk(spark, star):
     raw, _ = star
     alias = spark.createDataFrame([("default", "zero-model")], "portkey_model_key string, model_resolved string")
-    stg = _by(stg_model_pricing(mt.Pipeline(spark, raw).raw("model_pricing"), alias), "portkey_model_key")
+    stg = _by(stg_model_pricing(mt.Relations(spark, raw).raw("model_pricing"), alias), "portkey_model_key")
     assert stg["default"].model_resolved == "zero-model"
     assert stg[HAIKU].model_resolved == HAIKU
     assert read_seed(spark, "seed_pricing_model_alias").count() == 0
@@ -138,8 +138,8 @@ def test_star_over_bucketed_raw_is_the_same(spark, tree, tmp_path):
     r1, r2 = str(tmp_path / "r1"), str(tmp_path / "r2")
     ld.land_all(spark, tree, r1)
     ld.land_all(spark, tree, r2, buckets=3)
-    f1 = mt.fct_scored_answer(mt.Pipeline(spark, r1).enriched())
-    f2 = mt.fct_scored_answer(mt.Pipeline(spark, r2).enriched())
+    f1 = mt.fct_scored_answer(mt.Relations(spark, r1).enriched())
+    f2 = mt.fct_scored_answer(mt.Relations(spark, r2).enriched())
     assert f1.exceptAll(f2).count() == 0 and f2.exceptAll(f1).count() == 0
 
 

@@ -29,7 +29,7 @@ def built(spark, tree, tmp_path):
 def test_no_python_evaluation_anywhere(spark, built):
     raw, marts = built
     af = rp.analysis_frame(spark, marts)
-    for df in (mt.Pipeline(spark, raw).enriched(), rp.report_headline(af), rp.report_latency_split(af),
+    for df in (mt.Relations(spark, raw).enriched(), rp.report_headline(af), rp.report_latency_split(af),
                rp.report_ground_truth(mt.load_mart(spark, marts, "dim_question"))):
         p = _plan(df)
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p and "PythonUDF" not in p
@@ -55,7 +55,7 @@ def test_hot_groups_use_aggregates_not_windows(spark, tree):
 
 def test_payload_parsed_once_per_row(spark, built):
     raw, _ = built
-    df = st.explode_answers(mt.Pipeline(spark, raw).raw("scored_answer"))
+    df = st.explode_answers(mt.Relations(spark, raw).raw("scored_answer"))
     optimized = df._jdf.queryExecution().optimizedPlan().toString()
     assert optimized.count("from_json") == 1 and optimized.count("parse_json") == 0
 

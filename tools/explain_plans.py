@@ -50,7 +50,7 @@ def main() -> None:
     spark = local_session(8)
     root = adapter.landing_root(spark, sf)
     raw, marts = adapter.raw_root(spark, sf), adapter.marts_root(spark, sf)
-    p = mt.Pipeline(spark, raw)
+    p = mt.Relations(spark, raw)
     af = rp.analysis_frame(spark, marts)
     _, records = ld.incoming_runs(spark, root)
     plans = {
