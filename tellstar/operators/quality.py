@@ -148,16 +148,16 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
     Column-level checks (not_null, accepted_values) of a relation share one scan and one
     aggregate; all unique checks share one shuffle, and all relationships checks another."""
     parts: list[DataFrame] = []
-    by_rel: dict[str, list[Check]] = {}
+    by_frame: dict[int, list[Check]] = {}  # relations backed by the same frame share a pass
     uniques = [c for c in checks if c.kind == "unique"]
     rels = [c for c in checks if c.kind == "relationships"]
     for ch in checks:
         if ch.kind in ("not_null", "accepted_values"):
-            by_rel.setdefault(ch.relation, []).append(ch)
+            by_frame.setdefault(id(tables[ch.relation]), []).append(ch)
         elif ch.kind not in ("unique", "relationships"):
             raise ValueError(ch.kind)
-    for rel, chs in by_rel.items():
-        parts.append(_column_checks(tables[rel], chs))
+    for chs in by_frame.values():
+        parts.append(_column_checks(tables[chs[0].relation], chs))
     if uniques:
         parts.append(_unique_checks(tables, uniques))
     if rels:
