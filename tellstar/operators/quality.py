@@ -32,13 +32,6 @@ class Check:
     args: dict = field(default_factory=dict)
 
 
-def _result(df: DataFrame, check: Check) -> DataFrame:
-    return df.select(
-        F.lit(check.kind).alias("check"),
-        F.lit(check.relation).alias("relation"),
-        F.lit(check.column).alias("column"),
-        F.col("failures").cast("bigint").alias("failures"),
-    )
 
 
 def not_null(df: DataFrame, c: str) -> DataFrame:

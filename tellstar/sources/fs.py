@@ -21,9 +21,6 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def is_dir(spark: SparkSession, path: str) -> bool:
-    fs, p, _ = _fs(spark, path)
-    return bool(fs.exists(p) and fs.getFileStatus(p).isDirectory())
 
 
 def list_dir(spark: SparkSession, path: str) -> list[str]:
