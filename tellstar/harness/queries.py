@@ -274,10 +274,7 @@ def q_land_all(spark, sf):
     counts = [p.raw(t).agg(F.count(F.lit(1)).alias(n)) for t, n in (
         ("run_manifest", "runs"), ("scored_answer", "records"), ("question", "questions"),
         ("corpus_profile", "corpus_profiles"), ("model_pricing", "pricing_snapshots"))]
-    out = counts[0].withColumn("_one", F.lit(1))
-    for c in counts[1:]:
-        out = out.join(c.withColumn("_one", F.lit(1)), "_one")
-    return out.drop("_one")
+    return agg.side_by_side(*counts)
 
 
 @reg("raw_pk_guard", O("""

@@ -18,6 +18,7 @@ from ..operators.aggregates import (
     drop_null_keys,
     first_row_per_group,
     group_sizes,
+    side_by_side,
 )
 from ..operators.reshape import unpivot
 from .marts import load_mart
@@ -137,10 +138,8 @@ def best_retriever(df: DataFrame) -> DataFrame:
 
 
 def report_headline(df: DataFrame) -> DataFrame:
-    """B2: the four KPIs in one row (two one-row aggregates side by side)."""
-    k = headline_kpis(df).withColumn("_one", F.lit(1))
-    b = best_retriever(df).withColumn("_one", F.lit(1))
-    return k.join(b, "_one").drop("_one")
+    """B2: the four KPIs in one row (two one-row aggregates side by side, no join)."""
+    return side_by_side(headline_kpis(df), best_retriever(df))
 
 
 def report_cost_per_correct(df: DataFrame) -> DataFrame:
