@@ -274,6 +274,12 @@ def build_star(spark: SparkSession, raw_dir: str, marts_dir: str, parallelism: i
     p = Relations(spark, raw_dir)
     out = {}
     marts_dir = marts_dir.rstrip("/")
+    # the cost joins match on model_resolved alone: a repeated model would fan fact rows out
+    from ..operators.landing import key_violations
+
+    repeated = key_violations(p.pricing(), ["model_resolved"])
+    if repeated:
+        raise ContractError(f"pricing contract: model_resolved must be unique before the cost join: {repeated}")
     enriched_path = write_snapshot(p.enriched(), f"{marts_dir}/_int/int_scored_answers_enriched")
     enriched = spark.read.parquet(enriched_path)
     pricing = p.pricing()

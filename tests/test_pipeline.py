@@ -155,3 +155,18 @@ def test_command_line_land_build_report(spark, tree, tmp_path, capsys):
     assert "FAIL accepted_values stg_scored_answers.retriever" in out
     assert main(["report", "cost_per_correct", "--marts", marts]) == 0
     assert "Text to SPARQL" in capsys.readouterr().out
+
+
+def test_price_fan_out_is_refused(spark, tree, tmp_path):
+    import json
+    from pathlib import Path
+
+    from .fixtures import PRICING
+
+    second = json.loads(json.dumps(PRICING))
+    second["meta"]["provider"] = "mirror"
+    (Path(tree) / "reference" / "pricing" / "mirror.json").write_text(json.dumps(second))
+    raw = str(tmp_path / "raw")
+    ld.land_all(spark, tree, raw)
+    with pytest.raises(mt.ContractError):
+        mt.build_star(spark, raw, str(tmp_path / "marts"))
