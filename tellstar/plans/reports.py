@@ -250,3 +250,27 @@ PRICING_DISPLAY_NAMES = {
 def display_pricing(df: DataFrame) -> DataFrame:
     """Column subset renamed for display."""
     return df.select(*[F.col(c).alias(n) for c, n in PRICING_DISPLAY_NAMES.items()])
+
+
+def dashboard(spark: SparkSession, marts_dir: str) -> dict[str, DataFrame]:
+    """Every block of the report page as a lazy frame, in page order, plus the data behind
+    the captions (writers pooled, writer families, harness versions, price sources)."""
+    af = load_analysis(spark, marts_dir)
+    pricing = load_mart(spark, marts_dir, "dim_token_pricing")
+    return {
+        "headline": report_headline(af),
+        "cost_per_correct": report_cost_per_correct(af),
+        "ground_truth": report_ground_truth(load_mart(spark, marts_dir, "dim_question")),
+        "accuracy_matrix": report_accuracy_matrix(af),
+        "accuracy_matrix_writers": writers_pooled(af),
+        "writer_matrix": report_writer_matrix(af),
+        "writer_families": distinct_sorted_list(sparql_only(af), "writer_model_family"),
+        "latency_split": report_latency_split(af),
+        "pricing_reference": display_pricing(report_pricing_reference(pricing)),
+        "pricing_sources": distinct_sorted_list(pricing, "pricing_source"),
+        "token_usage": report_token_usage(af),
+        "harness_evolution": report_harness_evolution(af),
+        "harness_versions": distinct_sorted_list(harness_slice(af), "harness_version"),
+        "harness_version_count": harness_versions(af),
+        "writer_series": report_writer_series(af),
+    }

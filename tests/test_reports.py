@@ -108,3 +108,15 @@ def test_materialized_analysis_frame_equals_computed(spark, tree, tmp_path):
     served = rp.load_analysis(spark, marts)
     assert served.exceptAll(computed).count() == 0 and computed.exceptAll(served).count() == 0
     assert "Join" not in served._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_dashboard_blocks(spark, tree, tmp_path):
+    raw, marts = str(tmp_path / "raw"), str(tmp_path / "marts")
+    ld.land_all(spark, tree, raw)
+    mt.build_star(spark, raw, marts)
+    rp.materialize_analysis(spark, marts)
+    d = rp.dashboard(spark, marts)
+    assert d["pricing_sources"].first()[0] == "override, portkey"
+    assert d["harness_version_count"].first().version_count == 1
+    assert d["headline"].count() == 1
+    assert "Model" in d["pricing_reference"].columns
