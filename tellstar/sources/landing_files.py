@@ -48,6 +48,14 @@ def _rel(file_path: Column, root: str) -> Column:
     return F.when(bare.startswith(prefix), F.substring(bare, len(prefix) + 1, 1 << 30)).otherwise(bare)
 
 
+# whitespace stripped around a JSON-Lines record (a line of only whitespace is skipped)
+LINE_WHITESPACE = " \t\r\n\x0b\x0c"
+
+
+def strip_line(c: Column | str) -> Column:
+    return F.btrim(F.col(c) if isinstance(c, str) else c, F.lit(LINE_WHITESPACE))
+
+
 def _stem(file_path: Column, suffix: str) -> Column:
     esc = suffix.replace(".", r"\.")
     return F.regexp_extract(file_path, rf"([^/]+){esc}$", 1)
@@ -123,7 +131,7 @@ def scan_record_lines(spark: SparkSession, root: str, paths: list[str] | None =
     lines = (
         df.withColumn("_rel", rel)
         .where(_not_reference(F.col("_rel")))
-        .withColumn("payload", F.trim(F.col("value")))
+        .withColumn("payload", strip_line("value"))
         .where(F.col("payload") != "")
     )
     numbered = line_numbers(lines, "records_uri", "_block")
@@ -152,7 +160,7 @@ def scan_questions(spark: SparkSession, root: str) -> DataFrame:
         return _empty(spark, "payload string")
     return (
         spark.read.text(path)
-        .select(F.trim(F.col("value")).alias("payload"))
+        .select(strip_line("value").alias("payload"))
         .where(F.col("payload") != "")
     )
 

@@ -102,3 +102,15 @@ def test_question_coverage_and_grain_keys(spark, tree, raw_dir):
     assert (g.n_records, g.failures) == (7, 0)
     m = dq.mechanism_derivable(stg_traversal(a)).first()
     assert m.failures == 1  # the unseeded retriever has no derivable mechanism
+
+
+def test_whitespace_only_lines_are_skipped(spark, tree):
+    from pathlib import Path
+
+    from .fixtures import NEW
+
+    p = Path(tree) / NEW / "r2-sparql.jsonl"
+    p.write_text("\t\n" + p.read_text() + " \t \r\n")
+    r = lf.scan_record_lines(spark, tree).where(F.col("run_id") == "r2-sparql").collect()
+    assert sorted(x.line_no for x in r) == [0, 1]
+    assert all(x.payload.startswith("{") for x in r)
