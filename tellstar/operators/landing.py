@@ -80,6 +80,13 @@ def _question_id(payload: str):
     return stext(parsed_struct(payload, "question_id string", failfast=True), "question_id")
 
 
+def valid_json(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """Rows unchanged, but a document that is not valid JSON fails the job (FAILFAST), as a
+    loader that parses each file before storing it would. Kept as a filter so the
+    optimizer cannot prune the parse away."""
+    return df.where(parsed_struct(payload, "_unused string", failfast=True).isNotNull())
+
+
 # ---------------------------------------------------------------- guards (K6, K9)
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -139,7 +146,7 @@ def missing_records(spark: SparkSession, root: str, manifests: DataFrame | None
     File presence comes from a content-free ``binaryFile`` listing, so an empty records
     file counts as present (it lands zero answers) and only a truly absent file is flagged."""
     if manifests is None:
-        manifests = lf.dedupe_run_batches(lf.scan_manifests(spark, root))
+        manifests = lf.dedupe_run_batches(valid_json(lf.scan_manifests(spark, root)))
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*" + lf.RECORDS_SUFFIX)
@@ -177,7 +184,7 @@ def incoming_runs(spark: SparkSession, root: str, manifests: DataFrame | None =
     missing-file check, the records join and the manifest snapshot from one scan."""
     workspace_dir(spark)
     if manifests is None:
-        manifests = lf.dedupe_run_batches(lf.scan_manifests(spark, root))
+        manifests = lf.dedupe_run_batches(valid_json(lf.scan_manifests(spark, root)))
         lines = lf.scan_record_lines(spark, root)
     else:
         # only the sibling records files of the given manifests are read
@@ -319,14 +326,14 @@ def upsert(spark: SparkSession, incoming: DataFrame, path: str, key: str, table:
 
 
 def land_corpus_profiles(spark: SparkSession, root: str, raw_dir: str) -> int:
-    inc = lf.scan_corpus_profiles(spark, root).select(
+    inc = valid_json(lf.scan_corpus_profiles(spark, root)).select(
         "corpus_build_id", "source_uri", F.current_timestamp().alias("loaded_at"), "payload"
     )
     return upsert(spark, inc, raw_path(raw_dir, "corpus_profile"), "corpus_build_id", "corpus_profile")
 
 
 def land_pricing(spark: SparkSession, root: str, raw_dir: str) -> int:
-    inc = lf.scan_pricing(spark, root).select(
+    inc = valid_json(lf.scan_pricing(spark, root)).select(
         "provider", "source_uri", F.current_timestamp().alias("loaded_at"), "payload"
     )
     return upsert(spark, inc, raw_path(raw_dir, "model_pricing"), "provider", "model_pricing")

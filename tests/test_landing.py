@@ -118,3 +118,12 @@ def test_bucketed_layout_equals_run_layout_and_keeps_replace_semantics(spark, tr
     assert again == counts
     with pytest.raises(ld.LoadError):
         ld.land_runs(spark, tree, by_run, buckets=4)  # layouts are not mixed
+
+
+def test_malformed_documents_fail_the_load(spark, tree, tmp_path):
+    (Path(tree) / NEW / "r2-sparql.manifest.json").write_text('{"run_id": "r2-sparql", oops')
+    with pytest.raises(Exception):
+        ld.land_runs(spark, tree, str(tmp_path / "raw1"))
+    (Path(tree) / "reference" / "broken-0000.json").write_text("not json")
+    with pytest.raises(Exception):
+        ld.land_corpus_profiles(spark, tree, str(tmp_path / "raw2"))
