@@ -315,7 +315,12 @@ def land_questions(spark: SparkSession, root: str, raw_dir: str) -> int:
 
 
 def upsert(spark: SparkSession, incoming: DataFrame, path: str, key: str, table: str) -> int:
-    """K3/K4: incoming rows replace rows with the same key; other rows are kept."""
+    """K3/K4: incoming rows replace rows with the same key; other rows are kept.
+
+    Incoming documents (one small row per file) are checkpointed first, so the files are
+    scanned once for the merge, the write and the returned count."""
+    workspace_dir(spark)
+    incoming = incoming.checkpoint(eager=True)
     if table_exists(spark, path):
         old = read_table(spark, path)
         merged = old.join(incoming.select(key), key, "left_anti").unionByName(incoming)

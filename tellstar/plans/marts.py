@@ -274,15 +274,20 @@ def build_star(spark: SparkSession, raw_dir: str, marts_dir: str, parallelism: i
     p = Relations(spark, raw_dir)
     out = {}
     marts_dir = marts_dir.rstrip("/")
-    # the cost joins match on model_resolved alone: a repeated model would fan fact rows out
+    # the price relation is small and used three times (guard, cost join, dimension):
+    # parse the catalogs once and cut its lineage
     from ..operators.landing import key_violations
+    from ..session import workspace_dir
 
-    repeated = key_violations(p.pricing(), ["model_resolved"])
+    workspace_dir(spark)
+    pricing = p.pricing().checkpoint(eager=True)
+    # the cost joins match on model_resolved alone: a repeated model would fan fact rows out
+    repeated = key_violations(pricing, ["model_resolved"])
     if repeated:
         raise ContractError(f"pricing contract: model_resolved must be unique before the cost join: {repeated}")
-    enriched_path = write_snapshot(p.enriched(), f"{marts_dir}/_int/int_scored_answers_enriched")
+    enriched_df = int_scored_answers_enriched(p.raw("scored_answer"), p.questions(), p.runs(), pricing)
+    enriched_path = write_snapshot(enriched_df, f"{marts_dir}/_int/int_scored_answers_enriched")
     enriched = spark.read.parquet(enriched_path)
-    pricing = p.pricing()
     fact = fct_scored_answer(enriched)
     check_contract(fact)
     from ..operators.landing import null_keys
