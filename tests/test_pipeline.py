@@ -155,6 +155,10 @@ def test_command_line_land_build_report(spark, tree, tmp_path, capsys):
     assert "FAIL accepted_values stg_scored_answers.retriever" in out
     assert main(["report", "cost_per_correct", "--marts", marts]) == 0
     assert "Text to SPARQL" in capsys.readouterr().out
+    from tellstar.__main__ import REPORTS
+
+    for name in REPORTS:
+        assert main(["report", name, "--marts", marts, "--rows", "3"]) == 0
 
 
 def test_price_fan_out_is_refused(spark, tree, tmp_path):
