@@ -181,6 +181,10 @@ def question_fields(dia: str) -> list[tuple[str, str]]:
     ]
 
 
+# The bank deliberately lacks the questions of one user class, so some answers point at a
+# question the bank does not have (what the coverage check, the NULL-key grouping and the
+# label fallback exist for). It shapes the input only: every event is still an answer and
+# every query runs over all of them.
 QUESTION_PRESENT = "(u % 13 <> 12)"
 # ground truth shape by k % 5: 0 scalar, 1 two elements, 2 empty array, 3 ["", null, x], 4 [null]
 # seeds: absent when k % 3 = 0, else an array of k % 4 elements
