@@ -38,13 +38,16 @@ def manifest_stream(spark: SparkSession, root: str) -> DataFrame:
 
 
 def start_landing_stream(spark: SparkSession, root: str, raw_dir: str, checkpoint: str,
-                         available_now: bool = True, on_missing_records: str = "raise") -> StreamingQuery:
-    """Land runs as their manifests arrive; ``available_now`` drains what exists and stops."""
+                         available_now: bool = True, on_missing_records: str = "raise",
+                         buckets: int | None = None) -> StreamingQuery:
+    """Land runs as their manifests arrive; ``available_now`` drains what exists and stops.
+    ``buckets`` selects the hash-bucketed answers layout (see ``land_runs``)."""
 
     def land_batch(batch: DataFrame, epoch_id: int) -> None:
         winners = lf.dedupe_run_batches(batch)
         if winners.limit(1).count():
-            land_runs(spark, root, raw_dir, on_missing_records=on_missing_records, manifests=winners)
+            land_runs(spark, root, raw_dir, on_missing_records=on_missing_records, manifests=winners,
+                      buckets=buckets)
 
     writer = manifest_stream(spark, root).writeStream.foreachBatch(land_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
