@@ -7,20 +7,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import decontaminate, simhash, substring
 from .folds import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of repeated 50-word windows removed, the smallest doc_id's copy kept."""
+    return substring.report(table(spark, sf_dir, "documents"), window=50).drop("spans")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash components: 4-word shingles, links at 4 or fewer differing bits."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, bits=4)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contamination of every document by 13-word phrases of the benchmark items."""
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13, share=20).drop("spans")
+
+
 REGISTRY: dict[str, Query] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op8_simhash": op8_simhash,
+    "op9_decontamination": op9_decontamination,
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
