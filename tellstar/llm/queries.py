@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, simhash, substring
+from . import bpe, decontaminate, packing, simhash, substring
 from .folds import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +19,12 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.report(table(spark, sf_dir, "documents"), window=50).drop("spans")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 4096 ids."""
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer, capacity=4096, end=2, with_ids=False)
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash components: 4-word shingles, links at 4 or fewer differing bits."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, bits=4)
@@ -29,10 +36,17 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13, share=20).drop("spans")
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE token counts of every document, and those over 1024 tokens."""
+    return bpe.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+
+
 REGISTRY: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op4_packing": op4_packing,
     "op8_simhash": op8_simhash,
     "op9_decontamination": op9_decontamination,
+    "op10_token_counts": op10_token_counts,
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
