@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, packing, simhash, substring
+from . import bpe, decontaminate, packing, sharding, simhash, substring, topk
 from .folds import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,22 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer, capacity=4096, end=2, with_ids=False)
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 highest integer inner products of every vector whose vec_id is divisible by 50."""
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
+#: Names of the shards that op7 fills.
+SHARDS = [f"shard-{i:03d}" for i in range(256)]
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Placement of every document on 256 shards by a table of 65,537 slots."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.octet_length("text").cast("long").alias("n_bytes"))
+    found = sharding.placed(docs, "doc_id", SHARDS)
+    return found.select("doc_id", "source", "n_bytes", F.col("_slot").alias("slot"), F.col("_shard_id").alias("shard_id"), F.col("_shard").alias("shard"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash components: 4-word shingles, links at 4 or fewer differing bits."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, bits=4)
@@ -44,10 +60,20 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op4_packing": op4_packing,
+    "op5_topk": op5_topk,
+    "op7_sharding": op7_sharding,
     "op8_simhash": op8_simhash,
     "op9_decontamination": op9_decontamination,
     "op10_token_counts": op10_token_counts,
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_topk": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+                   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+              FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+        r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+}
