@@ -237,13 +237,16 @@ def removals(docs: DataFrame, window: int = 50) -> DataFrame:
     the text that the places belong to (rows may repeat a doc_id with another text)."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = 4 * max(parts, docs.rdd.getNumPartitions())
-    whole = texts(docs).where("doc_id is not null")
-    joined = whole.join(anchors(docs, window, buckets), "doc_id").select("doc_id", "text", "hits")
+    buckets = max(parts, docs.rdd.getNumPartitions())
+    # the texts by doc_id are joined twice; with a name of its own for the key (which the optimiser
+    # keeps as it is on both sides) the two joins share one exchange of the texts
+    whole = texts(docs).where("doc_id is not null").select(F.col("doc_id").alias("text_id"), "text")
+    met = anchors(docs, window, buckets)
+    joined = whole.join(met, whole["text_id"] == met["doc_id"]).select(F.col("text_id").alias("doc_id"), "text", "hits")
     dealt = candidates(joined, window, buckets, parts).repartition("part").sortWithinPartitions("part", "doc_id")
     again = dealt.mapInArrow(_seen_before, "doc_id long, mark long, places binary")
     found = again.groupBy("doc_id").agg(F.collect_list(F.struct("mark", "places")).alias("found"))
-    return whole.join(found, "doc_id", "left").select("doc_id", "text", "found")
+    return whole.join(found, whole["text_id"] == found["doc_id"], "left").select(F.col("text_id").alias("doc_id"), "text", "found")
 
 
 def removed_words(part: Chunk, words: Words, window: int) -> np.ndarray:
