@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .fmindex import FmIndex
-from .text import ALNUM_WORD, Chunk, Words, each_in, map_chunks, record, texts
+from .text import ALNUM_WORD, Chunk, Words, carried, each_in, map_chunks, record, restored, schema_of, texts
 
 #: Benchmark text searched in one pass; a larger benchmark is searched block by block.
 BLOCK_BYTES = 32 << 20
@@ -79,7 +79,7 @@ def marked(docs: DataFrame, benchmark: DataFrame, window: int = 13, *keep: str)
     empty text has no words; an empty benchmark hits nothing; items without id take no part.
     """
     frame = texts(docs, *keep).withColumns({"n_words": F.lit(0).cast("long"), "spans": F.lit(b""), "items": F.array().cast("array<string>")})
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields)
+    schema = schema_of(frame)
     for phrases in blocks(benchmark, window):
         shared = docs.sparkSession.sparkContext.broadcast(phrases)
         frame = map_chunks(frame, lambda parts, shared=shared: (_mark(part, shared) for part in parts), schema)
@@ -146,20 +146,13 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: int =
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: int = 20) -> DataFrame:
     """``docs`` without the contaminated documents; the rows that stay are unchanged."""
-    original = docs.columns
-    names = [f"_keep{i}" for i in range(len(original))]
-    source = docs.select(docs["doc_id"], docs["text"], *[F.col(f"`{c}`").alias(n) for c, n in zip(original, names) if c != "text"])
-    keep = [n for c, n in zip(original, names) if c != "text"] + ["_null"]
-    found = marked(source.withColumn("_null", F.col("text").isNull()), benchmark, window, *keep)
+    frame, names = carried(docs)
+    found = marked(frame, benchmark, window, *names[1:])
 
-    def dirty(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def stays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_hit = np.array([int(np.diff(np.frombuffer(x, np.int64).reshape(-1, 2)).sum()) for x in batch.column("spans").to_pylist()], np.int64)
-            stays = ~((n_hit > 0) & (share * n_hit >= batch.column("n_words").to_numpy()))
-            yield batch.select(["text", *keep]).filter(pa.array(stays))
-
-    kept = found.select("text", *keep, "n_words", "spans")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields if f.name in ("text", *keep))
-    rest = kept.mapInArrow(dirty, schema)
-    text = F.when(~F.col("_null"), F.col("text").cast("string")).alias("text")
-    return rest.select(*[text if c == "text" else F.col(n).alias(c) for c, n in zip(original, names)])
+            keep = ~((n_hit > 0) & (share * n_hit >= batch.column("n_words").to_numpy()))
+            yield batch.select(names).filter(pa.array(keep))
+
+    return restored(found.mapInArrow(stays, schema_of(found, *names)), docs)

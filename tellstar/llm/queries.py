@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, packing, sharding, simhash, substring, topk
+from . import bpe, decontaminate, packing, quality, sharding, simhash, substring, topk, toxicity
 from .folds import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.report(table(spark, sf_dir, "documents"), window=50).drop("spans")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of every document by the additive model."""
+    return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 4096 ids."""
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
@@ -30,6 +35,11 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of every document by the weakly supervised classifier."""
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.5)
+
+
 #: Names of the shards that op7 fills.
 SHARDS = [f"shard-{i:03d}" for i in range(256)]
 
@@ -59,8 +69,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_quality": op2_quality,
     "op4_packing": op4_packing,
     "op5_topk": op5_topk,
+    "op6_toxicity": op6_toxicity,
     "op7_sharding": op7_sharding,
     "op8_simhash": op8_simhash,
     "op9_decontamination": op9_decontamination,

@@ -169,6 +169,26 @@ def map_chunks(frame: DataFrame, fn: Callable[[Iterator[Chunk]], Iterator[pa.Rec
     return frame.mapInArrow(run, schema)
 
 
+def carried(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``docs`` as a frame for ``map_chunks`` that also carries every original column under a
+    name of its own, and those names (``restored`` gives the columns back)."""
+    names = [f"_keep{i}" for i in range(len(docs.columns))]
+    own = docs.select(F.col("doc_id"), F.col("text"), F.col("text").isNull().alias("_null"), *[
+        F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names) if c != "text"])
+    keep = ["_null"] + [n for c, n in zip(docs.columns, names) if c != "text"]
+    return texts(own, *keep), ["text", *keep]
+
+
+def restored(frame: DataFrame, docs: DataFrame) -> DataFrame:
+    """The rows of a ``carried`` frame as rows of ``docs``."""
+    text = F.when(~F.col("_null"), F.col("text").cast("string"))
+    return frame.select(*[(text if c == "text" else F.col(f"_keep{i}")).alias(c) for i, c in enumerate(docs.columns)])
+
+
+def schema_of(frame: DataFrame, *names: str) -> str:
+    return ", ".join(f"`{n}` {frame.schema[n].dataType.simpleString()}" for n in names or frame.columns)
+
+
 def record(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(columns)
 
