@@ -27,6 +27,9 @@ from pyspark.sql import functions as F
 
 from .text import PLAIN_WORD, Chunk, Words, each_in, map_chunks, record, rolling, texts
 
+#: Least number of hash buckets; with more than twice as many input partitions, half of these
+#: (a bucket then has the hashes of two partitions' texts).
+BUCKETS = 64
 LOW = np.uint64(0xFFFFFFFF)
 
 
@@ -235,9 +238,7 @@ def removals(docs: DataFrame, window: int = 50) -> DataFrame:
     """(doc_id, text binary, found array<struct<mark, places>>): the first words of the windows
     to remove from each row with a doc_id, null where there are none. ``mark`` is the crc32 of
     the text that the places belong to (rows may repeat a doc_id with another text)."""
-    spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(parts, docs.rdd.getNumPartitions())
+    buckets = parts = max(BUCKETS, docs.rdd.getNumPartitions() // 2)
     # the texts by doc_id are joined twice; with a name of its own for the key (which the optimiser
     # keeps as it is on both sides) the two joins share one exchange of the texts
     whole = texts(docs).where("doc_id is not null").select(F.col("doc_id").alias("text_id"), "text")
