@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, packing, quality, sharding, simhash, substring, topk, toxicity
+from . import bpe, decontaminate, hmm, packing, quality, sharding, simhash, substring, topk, toxicity
 from .folds import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
 
 
+def op3_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and hidden Markov scores of every document, trained on nine tenths of them."""
+    return hmm.scores(table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 4096 ids."""
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
@@ -70,6 +75,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_quality": op2_quality,
+    "op3_hmm": op3_hmm,
     "op4_packing": op4_packing,
     "op5_topk": op5_topk,
     "op6_toxicity": op6_toxicity,
