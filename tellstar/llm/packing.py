@@ -11,65 +11,120 @@ two, which need no padding. Nothing is shuffled, and a task holds one block's id
 from __future__ import annotations
 
 import heapq
+import json
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .text import Chunk, each_in, map_chunks, record, texts
+from .text import LOWER, PLAIN_WORD, Chunk, Words, byte_class, each_in, map_chunks, record, texts
 
 #: Sequences that a block of pieces fills.
 WINDOWS = 256
-#: Words remembered by a task; the memory is emptied when it is full.
-REMEMBERED = 400_000
+#: Units remembered by a worker process (about 40 bytes each); the memory is emptied when full.
+REMEMBERED = 2_000_000
+#: Fixed value: the pattern of the tokenizer whose units can be encoded one by one.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Bytes that part units: ASCII letters and digits from other printable ASCII but the apostrophe.
+LETTER = byte_class((0x30, 0x39), (0x61, 0x7A))
+MARK = byte_class((0x21, 0x26), (0x28, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E))
 
 
 class Ids:
-    """Token ids of texts by the tokenizer's library; words between ASCII white space, which the
-    tokenizer never joins, are encoded once while they are remembered."""
+    """Token ids of whole texts by the tokenizer's library.
+
+    Where the tokenizer file lower-cases, drops white space and splits by WORD_PATTERN, its ids
+    of a text are those of the text's units: runs without ASCII white space, parted between
+    letters and marks (never at an apostrophe or beside a byte over 0x7F). Each unit is encoded
+    once while its hash is remembered. Other tokenizers, and texts that hold the string of a
+    special token, are encoded as they are."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        steps = [x["type"] for x in (spec.get("normalizer") or {}).get("normalizers", [])]
+        first = ((spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+        self.by_unit = steps == ["NFC", "Replace", "Lowercase"] and first.get("pattern") == {"Regex": WORD_PATTERN} and first.get("behavior") == "Removed"
+        self.special = [t["content"].lower().encode() for t in spec["added_tokens"]]
         self._empty()
 
     def _empty(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.flat = np.empty(0, np.uint32)
-        self.sizes = np.empty(0, np.int64)
+        self.hash = np.empty(0, np.uint64)
         self.first = np.empty(0, np.int64)
+        self.size = np.empty(0, np.int64)
+        self.flat = np.empty(0, np.uint32)
 
-    def _learn(self, words: set[bytes]) -> None:
-        words = list(words)
-        found = [e.ids for e in self.library.encode_batch([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        self.known.update(zip(words, range(len(self.sizes), len(self.sizes) + len(words))))
-        self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.flat = np.concatenate([self.flat, np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum()))])
-
-    def of(self, batch: list[bytes], end: int) -> list[np.ndarray]:
-        """Each text's ids and the end id."""
-        words = [t.split() for t in batch]
-        new = set().union(*words).difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED:
-            self._empty()
-            new = set().union(*words)
-        if new:
-            self._learn(new)
-        out, get = [], self.known.__getitem__
-        for own in words:
-            at = np.fromiter(map(get, own), np.int64, len(own))
-            out.append(np.append(self.flat[each_in(self.first[at], self.sizes[at])], np.uint32(end)))
+    def _encode(self, batch: list[bytes]) -> list[list[int]]:
+        return [e.ids for e in self.library.encode_batch([t.decode("utf-8", "replace") for t in batch], add_special_tokens=False)]
+
+    def _learn(self, hashes: np.ndarray, units: list[bytes]) -> None:
+        found = self._encode(units)
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        first = len(self.flat) + np.cumsum(size) - size
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum()))])
+        at = np.searchsorted(self.hash, hashes)
+        self.hash, self.first, self.size = (np.insert(x, at, y) for x, y in ((self.hash, hashes), (self.first, first), (self.size, size)))
+
+    def of(self, part: Chunk, end: int) -> list[np.ndarray]:
+        """The ids of each text, and the end id behind them."""
+        direct = [i for i in range(len(part)) if not self.by_unit]
+        low = LOWER[part.data]
+        if self.by_unit and b"<|" in (raw := low.tobytes()):
+            direct = [i for i in range(len(part)) if any(x in raw[part.bounds[i]:part.bounds[i + 1]] for x in self.special)]
+        units = Units(low, part.bounds)
+        hashes = units.hashes()
+        distinct, where, of = np.unique(hashes, return_index=True, return_inverse=True)
+        for _ in range(2):
+            at = np.searchsorted(self.hash, distinct)
+            new = self.hash[np.minimum(at, len(self.hash) - 1)] != distinct if len(self.hash) else np.ones(len(distinct), bool)
+            if not new.any():
+                break
+            if len(self.hash) and len(self.hash) + int(new.sum()) > REMEMBERED:
+                self._empty()
+                continue
+            self._learn(distinct[new], [units.get(i) for i in where[new]])
+        at = np.searchsorted(self.hash, distinct)[of] if len(distinct) else np.empty(0, np.int64)
+        sizes = self.size[at]
+        ids = self.flat[each_in(self.first[at], sizes)]
+        ends = np.concatenate(([0], np.cumsum(sizes)))[units.first]
+        out = [np.append(ids[a:b], np.uint32(end)) for a, b in zip(ends[:-1], ends[1:])]
+        for i, own in zip(direct, self._encode([part.bytes_of(i) for i in direct]) if direct else []):
+            out[i] = np.array([*own, end], np.uint32)
         return out
 
 
+class Units(Words):
+    """Runs without ASCII white space, parted between letters and marks (lower-cased bytes)."""
+
+    def __init__(self, data: np.ndarray, bounds: np.ndarray):
+        super().__init__(data, bounds, PLAIN_WORD)
+        letter, mark = LETTER[data], MARK[data]
+        cut = np.flatnonzero((letter[1:] & mark[:-1]) | (mark[1:] & letter[:-1])) + 1
+        cut = cut[~np.isin(cut, bounds)]  # a text's first byte starts a unit anyway
+        self.start = np.sort(np.concatenate([self.start, cut]))
+        self.end = np.sort(np.concatenate([self.end, cut]))
+        self.first = np.searchsorted(self.start, bounds)
+
+
+_ids: dict[str, Ids] = {}
+
+
+def ids_of(path: str) -> Ids:
+    """The worker process's tokenizer and what it remembers, kept from task to task."""
+    if path not in _ids:
+        _ids[path] = Ids(path)
+    return _ids[path]
+
+
 def differencing(sizes: np.ndarray, k: int) -> np.ndarray:
     """The window (0 to k - 1) of each item, by multiway largest differencing.
 
@@ -189,7 +244,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end: int = 2, pi
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
     def run(parts: Iterator[Chunk]) -> Iterator[pa.RecordBatch]:
-        ids = Ids(tokenizer)
+        ids = ids_of(tokenizer)
         packer = Packer(TaskContext.get().partitionId() << 32, capacity, piece)
         names: dict[int, int | None] = {}
         held: dict[int, np.ndarray] = {}
@@ -210,7 +265,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end: int = 2, pi
 
         for part in parts:
             found = []
-            for name, own in zip(part.column("doc_id").to_pylist(), ids.of([part.bytes_of(i) for i in range(len(part))], end)):
+            for name, own in zip(part.column("doc_id").to_pylist(), ids.of(part, end)):
                 names[count], held[count] = name, own
                 found += packer.add(count, len(own))
                 count += 1
