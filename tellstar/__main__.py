@@ -1,6 +1,8 @@
 """Command line: ``spark-submit -m tellstar <command> ...`` or ``python -m tellstar <command> ...``.
 
   land    --landing ROOT --raw RAW [--buckets N]   land every run + shared inputs (K5)
+          (every command takes --scratch DIR before its name: a folder that all executors
+          share; needed on a cluster whose spark.checkpoint.dir is not set)
   build   --raw RAW --marts MARTS [--now ISO]      star schema + serving table + declared tests
                                                    + source freshness; exit 1 on test failures
   report  NAME --marts MARTS                       show one report (B2-B11)
@@ -19,16 +21,18 @@ REPORTS = ("headline", "cost_per_correct", "accuracy_matrix", "writer_matrix", "
            "pricing_reference", "token_usage", "harness_evolution", "writer_series")
 
 
-def _spark() -> SparkSession:
+def _spark(a) -> SparkSession:
     spark = SparkSession.builder.appName("tellstar").getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
+    if a.scratch:
+        spark.sparkContext.setCheckpointDir(a.scratch)
     return spark
 
 
 def cmd_land(a) -> int:
     from .operators.landing import land_all
 
-    counts = land_all(_spark(), a.landing, a.raw, on_missing_records=a.on_missing, buckets=a.buckets)
+    counts = land_all(_spark(a), a.landing, a.raw, on_missing_records=a.on_missing, buckets=a.buckets)
     print(json.dumps(counts))
     return 0
 
@@ -42,7 +46,7 @@ def cmd_build(a) -> int:
     from .plans.marts import build_star
     from .plans.reports import materialize_analysis
 
-    spark = _spark()
+    spark = _spark(a)
     build_star(spark, a.raw, a.marts)
     materialize_analysis(spark, a.marts)
     results = run_declared_checks(spark, a.raw, a.marts).collect()
@@ -60,7 +64,7 @@ def cmd_report(a) -> int:
     from .plans import marts as mt
     from .plans import reports as rp
 
-    spark = _spark()
+    spark = _spark(a)
     if a.name == "ground_truth":
         df = rp.report_ground_truth(mt.load_mart(spark, a.marts, "dim_question"))
     elif a.name == "pricing_reference":
@@ -73,6 +77,7 @@ def cmd_report(a) -> int:
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="tellstar")
+    p.add_argument("--scratch", default=None, help="shared scratch folder (default: spark.checkpoint.dir)")
     sub = p.add_subparsers(dest="command", required=True)
     land = sub.add_parser("land")
     land.add_argument("--landing", required=True)

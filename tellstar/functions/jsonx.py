@@ -49,21 +49,46 @@ def is_json_array(sub: Column) -> Column:
     return F.schema_of_variant(sub).startswith("ARRAY")
 
 
-def ground_truth_text(v: Column, key: str = "ground_truth", sep: str = ", ") -> Column:
+_EXPONENT = r"^-?\d+(\.\d+)?[eE][+-]?\d+$"
+_STRING = r'("(?:[^"\\]|\\.)*")'
+
+
+def value_text(raw: Column) -> Column:
+    """Text of a JSON value that is no string, as a numeric JSON column shows it: numbers keep
+    their digits (``3.10``) with exponents written out (``1e5``: ``100000``); arrays and objects
+    have one blank behind each comma and colon (numbers inside them stay as written)."""
+    digits = F.length(F.regexp_extract(raw, r"\.(\d+)", 1))
+    scale = F.greatest(digits - F.regexp_extract(raw, r"[eE]([+-]?\d+)$", 1).try_cast("int"), F.lit(0))
+    exact = raw.try_cast("decimal(38,18)").cast("string")
+    whole, part = F.substring_index(exact, ".", 1), F.substring_index(exact, ".", -1)
+    number = F.when(exact.isNull() | (scale > 18), F.raise_error(F.concat(F.lit("number out of range: "), raw))).when(
+        scale > 0, F.concat(whole, F.lit("."), part.substr(F.lit(1), scale))).otherwise(whole)
+    tight = F.regexp_replace(raw, _STRING + r"|\s+", "$1")
+    spaced = F.regexp_replace(F.regexp_replace(tight, _STRING + "|([,:])", "$1$2\x01"), "([,:])\x01", "$1 ")
+    return F.when(raw.rlike(_EXPONENT), number).when(raw.rlike(r"^\s*[\[{]"), F.replace(spaced, F.lit("\x01"), F.lit(""))).otherwise(raw)
+
+
+def ground_truth_text(v: Column, key: str = "ground_truth", sep: str = ", ", payload: Column | str = "payload") -> Column:
     """Readable ground truth: array elements joined in order (NULL elements skipped,
-    NULL when nothing is left, as an aggregate over zero rows), else the scalar text."""
+    NULL when nothing is left, as an aggregate over zero rows), else the scalar text.
+    Numbers are read from the payload's text, where VARIANT would rewrite them."""
     sub = jsub(v, key)
-    arr = F.try_variant_get(v, _path(key), "array<string>")
+    is_text = lambda x: F.schema_of_variant(x) == "STRING"
+    raws = F.from_json(_col(payload), f"`{key}` array<string>").getField(key)
+    kinds = F.try_variant_get(v, _path(key), "array<variant>")
+    arr = F.zip_with(raws, kinds, lambda t, x: F.when(is_text(x), t).otherwise(value_text(t)))
     non_null = F.size(F.filter(arr, lambda x: x.isNotNull()))
     return (
         F.when(is_json_array(sub), F.when(non_null > 0, F.array_join(arr, sep)))
-        .otherwise(jtext(v, key))
+        .when(is_text(sub), jtext(v, key))
+        .otherwise(value_text(F.from_json(_col(payload), f"`{key}` string").getField(key)))
     )
 
 
 def array_length_or_zero(v: Column, key: str) -> Column:
-    """``jsonb_array_length(coalesce(x, '[]'))``: 0 when the key is absent."""
-    arr = F.try_variant_get(v, _path(key), "array<variant>")
+    """``jsonb_array_length(coalesce(x, '[]'))``: 0 when the key is absent, an error when the
+    value is there and no array."""
+    arr = F.variant_get(v, _path(key), "array<variant>")
     return F.coalesce(F.size(arr), F.lit(0)).cast("int")
 
 
@@ -93,9 +118,17 @@ def text_schema(paths: list[str]):
     return build(tree)
 
 
-def parsed_struct(payload: Column | str, schema, failfast: bool = False) -> Column:
-    opts = {"mode": "FAILFAST"} if failfast else {}
-    return F.from_json(_col(payload), schema, opts)
+def parsed_struct(payload: Column | str, schema) -> Column:
+    return F.from_json(_col(payload), schema)
+
+
+def strict_struct(payload: Column | str, fields: str) -> Column:
+    """Some fields (``"name: string, ..."``) of a text that must be one JSON object in strict
+    syntax: no single quotes, nothing behind it. Else the job fails. The text is parsed as the
+    only element of an array, which anything behind it would break or add to."""
+    text = _col(payload)
+    one = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<struct<{fields}>>", {"mode": "FAILFAST", "allowSingleQuotes": "false"})
+    return F.when(F.size(one) == 1, one[0]).otherwise(F.raise_error(F.concat(F.lit("not one JSON document: "), F.substring(text, 1, 80))))
 
 
 def stext(j: Column, path: str) -> Column:

@@ -197,19 +197,19 @@ def profile_fields(dia: str) -> list[tuple[str, str]]:
     return [
         ("corpus_build_id", corpus_id("s_suppkey", dia)),
         ("scale", f"CASE WHEN {smoke} THEN 'smoke' ELSE 'full' END"),
-        ("measured_at", f"'2026-06-' || lpad(CAST(1 + s_suppkey % 28 AS {s}), 2, '0') || 'T14:40:37+0200'"),
+        ("measured_at", f"'2026-06-' || lpad(CAST(1 + s_suppkey % 28 AS {s}), 2, '0') || 'T10:20:30+0200'"),
         ("graph_ttl_bytes", "CAST(s_suppkey * 1000 + 17 AS BIGINT)"),
         ("graph_ttl_sha256", "md5(s_name)"),
         ("graph_triples", f"CASE WHEN {smoke} THEN NULL ELSE CAST(s_suppkey * 100 + 1 AS BIGINT) END"),
         ("graph_nodes", f"CASE WHEN {smoke} THEN NULL ELSE CAST(s_suppkey * 10 + 2 AS BIGINT) END"),
         ("graph_edges", f"CASE WHEN {smoke} THEN NULL ELSE CAST(s_suppkey * 50 + 3 AS BIGINT) END"),
-        ("vector_store_bytes", "CAST(s_suppkey * 7919 + 774308 AS BIGINT)"),
+        ("vector_store_bytes", "CAST(s_suppkey * 7919 + 654321 AS BIGINT)"),
         ("vector_n_chunks", "CAST(s_suppkey * 3 + 1 AS BIGINT)"),
         ("vector_n_abstracts", "CAST(s_suppkey + 15 AS BIGINT)"),
-        ("vector_n_words", "CAST(s_suppkey * 40 + 3402 AS BIGINT)"),
+        ("vector_n_words", "CAST(s_suppkey * 40 + 2718 AS BIGINT)"),
         ("vector_embed_model", "'sentence-transformers/all-MiniLM-L6-v2'"),
-        ("vector_chunk_size", "180"),
-        ("vector_chunk_overlap", "30"),
+        ("vector_chunk_size", "256"),
+        ("vector_chunk_overlap", "48"),
     ]
 
 

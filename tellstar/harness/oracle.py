@@ -132,7 +132,7 @@ def _ctes() -> list[tuple[str, str]]:
             CAST(CASE WHEN k % 3 = 0 THEN 0 ELSE k % 4 END AS INTEGER) AS num_seed_entities, eid, u, k
             FROM ev WHERE {fm.QUESTION_PRESENT}"""),
         ("profiles", f"""SELECT {pf['corpus_build_id']} AS corpus_build_id, {pf['scale']} AS corpus_scale,
-            CAST('2026-06-' || lpad(CAST(1 + s_suppkey % 28 AS varchar), 2, '0') || ' 12:40:37' AS TIMESTAMP)
+            CAST('2026-06-' || lpad(CAST(1 + s_suppkey % 28 AS varchar), 2, '0') || ' 08:20:30' AS TIMESTAMP)
                 AS corpus_measured_at,
             {pf['graph_triples']} AS triple_count, {pf['graph_nodes']} AS node_count,
             {pf['graph_edges']} AS edge_count, {pf['graph_ttl_bytes']} AS ttl_bytes,

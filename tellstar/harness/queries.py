@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -323,9 +323,14 @@ def q_materialize(spark, sf):
     return out
 
 
-@reg("missing_records", O("SELECT run_id, 'x' AS batch FROM runs WHERE FALSE"))
+@reg("missing_records", O(f"""SELECT run_id || '-lost' AS run_id, '{NEW}' AS batch FROM runs
+    WHERE right(run_id, 1) IN ('0', '2', '4', '6', '8')"""))
 def q_missing_records(spark, sf):
-    return ld.missing_records(spark, _landing(spark, sf)).select("run_id", "batch")
+    """K9 on the landed manifests and as many more, of runs that have no records file."""
+    root = _landing(spark, sf)
+    there = lf.dedupe_run_batches(ld.valid_json(lf.scan_manifests(spark, root)))
+    lost = there.where(F.substring("run_id", -1, 1).isin(*"02468")).withColumn("run_id", F.concat("run_id", F.lit("-lost")))
+    return ld.missing_records(spark, root, there.unionByName(lost)).select("run_id", "batch")
 
 
 # ================================================================== P: projections / scalar functions
@@ -609,7 +614,7 @@ _CELLS_ALL = """SELECT display_label, type_id, type_display_label, sort_order, C
 
 @reg("group_dropna", O(_CELLS_ALL, ("avg_tokens", "accuracy")))
 def q_group_dropna(spark, sf):
-    return agg.accuracy_cells(_af(spark, sf), "display_label", "type_id")
+    return agg.pass_rates(_af(spark, sf), rp.RETRIEVER_BY_TYPE)
 
 
 # ================================================================== J: joins
@@ -765,7 +770,7 @@ def q_ordered_string_agg(spark, sf):
 
 @reg("accuracy_cells", O(_CELLS_ALL, ("avg_tokens", "accuracy")))
 def q_accuracy_cells(spark, sf):
-    return agg.accuracy_cells(_af(spark, sf), "display_label", "type_id")
+    return agg.pass_rates(_af(spark, sf), rp.RETRIEVER_BY_TYPE)
 
 
 _A7 = """SELECT CAST(count(*) AS BIGINT) AS scored, coalesce(avg(passed), 0.0) AS pass_rate,
@@ -860,19 +865,38 @@ def q_ordinality(spark, sf):
 
 # ================================================================== O / U / R: order, limits, sets, reshape
 
-@reg("canonical_axis_order", O("SELECT DISTINCT display_label, sort_order FROM af ORDER BY sort_order NULLS LAST"))
+def _placed(df):
+    """The frame with each row's place in the order that it has (compared as a value)."""
+    place = F.row_number().over(Window.orderBy(F.monotonically_increasing_id()))
+    return df.withColumn("place", place.cast("bigint"))
+
+
+def _place(order: str) -> str:
+    return f"row_number() OVER (ORDER BY {order}) AS place"
+
+
+@reg("canonical_axis_order", O(f"""SELECT *, {_place('sort_order NULLS LAST, display_label NULLS LAST')}
+    FROM (SELECT DISTINCT display_label, sort_order FROM af) x"""))
 def q_canonical_axis(spark, sf):
-    return agg.ordered(_af(spark, sf).select("display_label", "sort_order").distinct(), "sort_order")
+    axis = agg.ordered(_af(spark, sf).select("display_label", "sort_order").distinct(), "sort_order", "display_label")
+    return _placed(axis)
 
 
-@reg("sort_by_sort_order", O(f"SELECT display_label, sort_order FROM ({_B3_FULL}) x ORDER BY sort_order"))
+@reg("question_type_axis", O(f"""SELECT *, {_place('rank, type_display_label')} FROM (
+    SELECT DISTINCT type_id, type_display_label, CAST(dense_rank() OVER (ORDER BY type_id) AS INTEGER) AS rank
+    FROM af WHERE type_id IS NOT NULL) x"""))
+def q_question_type_axis(spark, sf):
+    return _placed(rp.question_type_axis(_af(spark, sf)))
+
+
+@reg("sort_by_sort_order", O(f"SELECT display_label, sort_order, {_place('sort_order')} FROM ({_B3_FULL}) x"))
 def q_sort_by_sort_order(spark, sf):
-    return rp.report_cost_per_correct(_af(spark, sf)).select("display_label", "sort_order")
+    return _placed(rp.report_cost_per_correct(_af(spark, sf)).select("display_label", "sort_order"))
 
 
-@reg("pricing_reference_sort", O(f"{_B8} ORDER BY provider, model_resolved", _B8_D))
+@reg("pricing_reference_sort", O(f"SELECT *, {_place('provider, model_resolved')} FROM ({_B8}) x", _B8_D))
 def q_pricing_reference_sort(spark, sf):
-    return rp.report_pricing_reference(_mart(spark, sf, "dim_token_pricing"))
+    return _placed(rp.report_pricing_reference(_mart(spark, sf, "dim_token_pricing")))
 
 
 @reg("sorted_ids", O("SELECT run_id FROM runs ORDER BY run_id"))
@@ -889,6 +913,31 @@ def q_preview_limit(spark, sf):
     return p.select("scored_answer_sk", "run_sk", "score", "total_cost_usd")
 
 
+# relation of each preview: its rows in the oracle, and the total order
+_PREVIEWS = {
+    "raw_run_manifest": ("runs", ["run_id"]), "raw_scored_answer": ("sa", ["run_id", "question_id"]), "raw_question": ("questions", ["question_id"]),
+    "stg_runs": ("runs", ["run_id"]), "stg_scored_answers": ("sa", ["run_id", "question_id"]), "stg_traversal": ("sa", ["run_id", "question_id"]),
+    "stg_questions": ("questions", ["question_id"]), "int_scored_answers_enriched": ("enriched", ["run_id", "question_id"]),
+    "dim_run": ("dim_run", ["run_sk"]), "dim_question": ("dim_question", ["question_sk"]), "dim_retriever_cond": ("dim_retriever_cond", ["retriever_cond_sk"]),
+    "dim_generator": ("dim_generator", ["generator_sk"]), "dim_writer": ("dim_writer", ["writer_sk"]), "dim_scoring": ("dim_scoring", ["scoring_sk"]),
+    "dim_corpus": ("dim_corpus", ["corpus_sk"]), "dim_token_pricing": ("pricing", ["pricing_sk"]),
+}
+
+
+def _reg_preview(name: str, rows: str, keys: list[str]) -> None:
+    cols = ", ".join(keys)
+
+    @reg(f"preview_{name}", O(f"SELECT {cols}, {_place(cols)} FROM {rows} ORDER BY {cols} LIMIT 100"))
+    def q_preview(spark, sf):
+        from ..plans.analyses import previews
+
+        return _placed(previews(_pipe(spark, sf), adapter.marts_root(spark, sf))[name].select(*keys))
+
+
+for _name, (_rows, _keys) in _PREVIEWS.items():
+    _reg_preview(_name, _rows, _keys)
+
+
 _O6_COLS = ["retriever", "mechanism", "neighborhood_hops", "top_k", "generator_provider", "generator_model_family",
             "writer_model_family", "harness_version"]
 

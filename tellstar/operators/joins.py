@@ -24,10 +24,15 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
 def null_aware_anti_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """SQL ``left_key NOT IN (SELECT right_key FROM right)``.
 
-    Three-valued semantics: a NULL probe value is dropped, and any NULL on the build
-    side drops every row. Expressed with an IN-subquery so Catalyst plans its
-    null-aware anti join instead of a plain ``left_anti``."""
-    return left.where(~F.col(left_key).isin(right.select(right_key)))
+    Three-valued semantics: a NULL probe value is dropped, and any NULL on the right side
+    drops every row. The right side's distinct keys are tested for NULL by one small job, then
+    joined by a plain ``left_anti`` whose build side the planner sizes (a null-aware anti join
+    would be broadcast whatever its size)."""
+    keys = right.select(F.col(right_key).alias("_k")).distinct()
+    if keys.where(F.col("_k").isNull()).limit(1).count():
+        return left.limit(0)
+    known = left.where(F.col(left_key).isNotNull())
+    return known.join(keys, known[left_key] == keys["_k"], "left_anti")
 
 
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:

@@ -2,15 +2,19 @@
 
 Raw layout under ``raw_dir``::
 
-    run_manifest/      versioned snapshot, one row per run_id
-    scored_answer/     parquet partitioned by run_id (replace-by-run = swap partition folders)
+    run_manifest/      versioned snapshot, one row per run_id; ``landing_pass`` names the pass
+                       whose answers are the run's
+    scored_answer/     landing_pass=<id>/ parquet files, one folder per pass
     question/          versioned snapshot (full refresh)
     corpus_profile/    versioned snapshot (upsert by corpus_build_id)
     model_pricing/     versioned snapshot (upsert by provider)
 
-Everything is set-based: all runs of a pass are scanned, parsed and written by one job.
-The driver never moves data; it only swaps the written partition folders into place
-(one rename per landed run or bucket, a metadata operation).
+Everything is set-based: all runs of a pass are scanned, parsed and written by one job, into a
+folder that no manifest names yet. The commit of the next manifest snapshot (one rename) makes
+the manifests and the answers of the pass visible together; until then, and if anything fails
+before it, readers see the old rows. Nothing is deleted by a pass: rows of replaced runs stay in
+their old pass folders, unseen, until ``vacuum_answers`` removes folders that no kept manifest
+version names. The driver makes no call per run.
 """
 
 from __future__ import annotations
@@ -23,10 +27,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.jsonx import parsed_struct, stext
+from ..functions.jsonx import stext, strict_struct
 from ..sources import fs
 from ..sources import landing_files as lf
-from ..sources.tables import read_table, table_exists, write_snapshot
+from ..sources.tables import latest_version, read_table, table_exists, write_snapshot
 from ..session import workspace_dir
 from .joins import broadcast_if_small
 
@@ -52,39 +56,52 @@ def raw_path(raw_dir: str, table: str) -> str:
     return f"{raw_dir.rstrip('/')}/{table}"
 
 
-BUCKET_COL = "run_bucket"
-
-
-def run_bucket(run_id, buckets: int):
-    """Stable bucket of a run id (xxhash64, non-negative modulo)."""
-    return F.pmod(F.xxhash64(run_id), F.lit(buckets)).cast("int")
-
-
-def _bucketed(spark: SparkSession, path: str) -> bool:
-    return any(c.rstrip("/").rsplit("/", 1)[-1].startswith(BUCKET_COL + "=") for c in fs.list_dir(spark, path))
+PASS_COL = "landing_pass"
+#: Lines of one run that stay together when a pass deals its rows to files.
+LINES_TOGETHER = 100_000
 
 
 def read_raw(spark: SparkSession, raw_dir: str, table: str) -> DataFrame:
+    """A raw table's live rows. Answers are live if the newest manifest snapshot names their pass
+    for their run (a semi join with one narrow row per run, whose side the planner sizes)."""
     path = raw_path(raw_dir, table)
-    if table == "scored_answer":
-        if _bucketed(spark, path):
-            schema = T.StructType(SCORED_ANSWER_SCHEMA.fields + [T.StructField(BUCKET_COL, T.IntegerType())])
-            return spark.read.schema(schema).parquet(path).select(*SCORED_ANSWER_SCHEMA.fieldNames())
-        return spark.read.schema(SCORED_ANSWER_SCHEMA).parquet(path)
-    return read_table(spark, path)
+    if table == "run_manifest":
+        return read_table(spark, path).drop(PASS_COL)
+    if table != "scored_answer":
+        return read_table(spark, path)
+    schema = T.StructType([*SCORED_ANSWER_SCHEMA.fields, T.StructField(PASS_COL, T.StringType())])
+    if not table_exists(spark, raw_path(raw_dir, "run_manifest")):
+        return spark.createDataFrame([], SCORED_ANSWER_SCHEMA)
+    live = read_table(spark, raw_path(raw_dir, "run_manifest")).select("run_id", PASS_COL)
+    rows = spark.read.schema(schema).parquet(path)
+    return rows.join(live, ["run_id", PASS_COL], "left_semi").select(*SCORED_ANSWER_SCHEMA.fieldNames())
+
+
+def vacuum_answers(spark: SparkSession, raw_dir: str) -> int:
+    """Deletes the pass folders that no kept manifest version names; returns how many. Call it
+    when no landing pass is running (a pass's folder has no name before its commit)."""
+    from ..sources.tables import _versions
+
+    named: set[str] = set()
+    for _, folder in _versions(spark, raw_path(raw_dir, "run_manifest")):
+        named |= {r[0] for r in spark.read.parquet(folder).select(PASS_COL).distinct().collect()}
+    old = [c for c in fs.list_dir(spark, raw_path(raw_dir, "scored_answer")) if f"{PASS_COL}=" in c and c.rstrip("/").rsplit("=", 1)[1] not in named]
+    for folder in old:
+        fs.delete(spark, folder)
+    return len(old)
 
 
 def _question_id(payload: str):
     """The record's question_id; a line that is not valid JSON fails the pass (FAILFAST),
     like a loader that parses each line before inserting it."""
-    return stext(parsed_struct(payload, "question_id string", failfast=True), "question_id")
+    return stext(strict_struct(payload, "question_id: string"), "question_id")
 
 
 def valid_json(df: DataFrame, payload: str = "payload") -> DataFrame:
     """Rows unchanged, but a document that is not valid JSON fails the job (FAILFAST), as a
     loader that parses each file before storing it would. Kept as a filter so the
     optimizer cannot prune the parse away."""
-    return df.where(parsed_struct(payload, "_unused string", failfast=True).isNotNull())
+    return df.where(strict_struct(payload, "_unused: string").isNotNull())
 
 
 # ---------------------------------------------------------------- guards (K6, K9)
@@ -154,27 +171,15 @@ def missing_records(spark: SparkSession, root: str, manifests: DataFrame | None
         .load(root)
         .select(F.col("path"))
     )
-    rel = lf.relative_uri("path", root)
-    present = files.select(
-        lf._stem(F.col("path"), lf.RECORDS_SUFFIX).alias("run_id"),
-        F.regexp_extract(rel, r"^(.*)/[^/]+$", 1).alias("batch"),
-    ).distinct()
-    return manifests.join(present, ["run_id", "batch"], "left_anti").select("run_id", "batch", "source_uri")
+    return manifests.join(_present(files, root), ["run_id", "batch"], "left_anti").select("run_id", "batch", "source_uri")
 
 
-# ---------------------------------------------------------------- runs (K1)
-
-def _partition_dirs(spark: SparkSession, table_dir: str, col: str = "run_id") -> dict[str, str]:
-    """partition value -> folder, for the ``<col>=<escaped>`` children of a table folder."""
-    from urllib.parse import unquote
+def _present(files: DataFrame, root: str) -> DataFrame:
+    """(run_id, batch) of records files; ``binaryFile`` paths are plain characters already."""
+    return files.select(lf._stem(F.col("path"), lf.RECORDS_SUFFIX).alias("run_id"), lf.folder_of(lf.relative_uri("path", root)).alias("batch")).distinct()
 
-    out = {}
-    for child in fs.list_dir(spark, table_dir):
-        name = child.rstrip("/").rsplit("/", 1)[-1]
-        if name.startswith(col + "="):
-            out[unquote(name[len(col) + 1:])] = child.rstrip("/")
-    return out
 
+# ---------------------------------------------------------------- runs (K1)
 
 def incoming_runs(spark: SparkSession, root: str, manifests: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(manifests, records) of this pass: one manifest per run (newest batch) and the
@@ -184,14 +189,13 @@ def incoming_runs(spark: SparkSession, root: str, manifests: DataFrame | None =
     missing-file check, the records join and the manifest snapshot from one scan."""
     workspace_dir(spark)
     if manifests is None:
-        manifests = lf.dedupe_run_batches(valid_json(lf.scan_manifests(spark, root)))
+        manifests = lf.dedupe_run_batches(valid_json(lf.scan_manifests(spark, root))).checkpoint(eager=True)
         lines = lf.scan_record_lines(spark, root)
     else:
-        # only the sibling records files of the given manifests are read
-        paths = [r.p for r in manifests.select(
-            F.regexp_replace("source_uri", r"\.manifest\.json$", lf.RECORDS_SUFFIX).alias("p")).collect()]
-        lines = lf.scan_record_lines(spark, root, paths=[p for p in paths if fs.exists(spark, p)])
-    manifests = manifests.checkpoint(eager=True)
+        # only the batch folders of the given manifests are read, whole
+        manifests = lf.dedupe_run_batches(valid_json(manifests)).checkpoint(eager=True)
+        folders = [r.batch for r in manifests.select("batch").distinct().collect()]
+        lines = lf.scan_record_lines(spark, root, paths=[f"{root.rstrip('/')}/{b}" if b else root for b in folders])
     winners = broadcast_if_small(
         manifests.select("run_id", "batch", F.col("source_uri").alias("manifest_uri")), max_rows=5_000_000
     )
@@ -215,19 +219,28 @@ def land_runs(
 ) -> dict[str, int]:
     """K1: replace every incoming run (manifest + all answers) keyed by run_id.
 
-    Runs absent from this pass keep their rows. A run that now has zero answers loses
-    its old answers, as a delete-then-insert would. The new answers are first written
-    to a private staging folder and checked there (K6: unique non-null
-    (run_id, question_id), read back column-pruned); only then are run partitions
-    swapped in, so a refused pass changes nothing.
+    Runs absent from this pass keep their rows. A run that now has zero answers loses its old
+    ones, as a delete-then-insert would. The new answers go to a folder of this pass and are
+    checked there (K6: unique non-null (run_id, question_id), read back column-pruned). Then one
+    commit of the manifest snapshot shows manifests and answers together; a refused or failed
+    pass leaves all old rows readable and raises. Two passes at once cannot both commit: the
+    later one raises and can be repeated.
 
     ``manifests`` (run_id, batch, source_uri, payload) restricts the pass to those runs
-    (incremental landing); by default every run under ``root`` is landed.
-
-    ``buckets`` switches the answers layout from one folder per run to ``buckets`` hash
-    buckets of runs (for very many runs): a pass rewrites only the buckets its runs hash
-    to (kept rows of other runs + the new rows), checked in staging, then swapped in."""
+    (incremental landing); by default every run under ``root`` is landed. A run whose landed
+    manifest is from a newer batch is left as it is.
+
+    ``buckets`` deals the rows to that many files by run (lines of a very long run to several),
+    for many runs that are read one by one; by default each task writes what it has read."""
+    mpath, answers_dir = raw_path(raw_dir, "run_manifest"), raw_path(raw_dir, "scored_answer")
+    base = latest_version(spark, mpath)
+    old = read_table(spark, mpath) if table_exists(spark, mpath) else None
     manifests, records = incoming_runs(spark, root, manifests)
+    if old is not None:
+        landed = old.select("run_id", lf.folder_of(lf.relative_uri("source_uri", root)).alias("_landed"))
+        newer = manifests.join(landed, "run_id").where(F.col("_landed") > F.col("batch")).select("run_id")
+        manifests = manifests.join(newer, "run_id", "left_anti").checkpoint(eager=True)
+        records = records.join(manifests.select("run_id"), "run_id", "left_semi")
     missing = missing_records(spark, root, manifests)
     missing_ids = [r.run_id for r in missing.limit(20).collect()]
     if missing_ids:
@@ -235,67 +248,28 @@ def land_runs(
             raise LoadError(f"records file missing for runs {missing_ids}")
         log.warning("skipping runs without a records file: %s", missing_ids)
         manifests = manifests.join(missing.select("run_id"), "run_id", "left_anti")
-        records = records.join(broadcast_if_small(missing.select("run_id")), "run_id", "left_anti")
-
-    now = F.current_timestamp()
-    answers_dir = raw_path(raw_dir, "scored_answer")
-    staging = f"{raw_dir.rstrip('/')}/_staging/scored_answer-{uuid.uuid4().hex}"
-    new_rows = records.withColumn("loaded_at", now).select(
-        "question_id", "line_no", "source_uri", "loaded_at", "payload", "run_id")
-    run_ids = [r.run_id for r in manifests.select("run_id").collect()]
-    part_col = BUCKET_COL if buckets else "run_id"
+        records = records.join(missing.select("run_id"), "run_id", "left_anti")
+
+    now, this_pass = F.current_timestamp(), uuid.uuid4().hex
+    folder = f"{answers_dir}/{PASS_COL}={this_pass}"
+    rows = records.withColumn("loaded_at", now).select(*SCORED_ANSWER_SCHEMA.fieldNames())
     if buckets:
-        if fs.exists(spark, answers_dir) and fs.list_dir(spark, answers_dir) and not _bucketed(spark, answers_dir):
-            raise LoadError("answers are laid out by run_id; land with buckets=None or into a new raw folder")
-        incoming = manifests.select("run_id").withColumn(BUCKET_COL, run_bucket(F.col("run_id"), buckets))
-        affected = sorted({r[BUCKET_COL] for r in incoming.select(BUCKET_COL).distinct().collect()})
-        rows = new_rows.withColumn(BUCKET_COL, run_bucket(F.col("run_id"), buckets))
-        if _bucketed(spark, answers_dir):
-            kept = (
-                read_raw(spark, raw_dir, "scored_answer")
-                .withColumn(BUCKET_COL, run_bucket(F.col("run_id"), buckets))
-                .where(F.col(BUCKET_COL).isin(affected))
-                .join(broadcast_if_small(incoming.select("run_id"), max_rows=2_000_000), "run_id", "left_anti")
-            )
-            rows = kept.select(rows.columns).unionByName(rows)
-        rows.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(staging)
-        staged_schema = T.StructType(SCORED_ANSWER_SCHEMA.fields + [T.StructField(BUCKET_COL, T.IntegerType())])
-        staged = spark.read.schema(staged_schema).parquet(staging)
-        swap_keys = [str(b) for b in affected]
-    else:
-        new_rows.write.mode("overwrite").partitionBy("run_id").parquet(staging)
-        staged = spark.read.schema(SCORED_ANSWER_SCHEMA).parquet(staging)
-        swap_keys = run_ids
+        rows = rows.repartition(buckets, "run_id", F.floor(F.col("line_no") / LINES_TOGETHER))
     try:
+        rows.write.parquet(folder)
+        staged = spark.read.schema(SCORED_ANSWER_SCHEMA).parquet(folder)
         pk_guard(["run_id", "question_id"], "scored_answer")(staged)
-    except LoadError:
-        fs.delete(spark, staging)
-        raise
-    n_records = staged.where(F.col("run_id").isin(run_ids)).count() if buckets else staged.count()
-
-    # manifests: small (one row per run) -> rewrite as a new snapshot
-    new_manifests = manifests.select("run_id", "source_uri", now.alias("loaded_at"), "payload")
-    mpath = raw_path(raw_dir, "run_manifest")
-    if table_exists(spark, mpath):
-        old = read_table(spark, mpath)
-        merged = old.join(new_manifests.select("run_id"), "run_id", "left_anti").unionByName(new_manifests)
-    else:
+        n_records = staged.count()
+        new_manifests = manifests.select("run_id", "source_uri", now.alias("loaded_at"), "payload", F.lit(this_pass).alias(PASS_COL))
         merged = new_manifests
-    write_snapshot(merged, mpath, check=pk_guard(["run_id"], "run_manifest"))
-
-    # answers: swap the partitions of this pass (a run or bucket with no staged rows is cleared)
-    staged_parts = _partition_dirs(spark, staging, part_col)
-    existing = _partition_dirs(spark, answers_dir, part_col)
-    for key in swap_keys:
-        if key in existing:
-            fs.delete(spark, existing[key])
-        if key in staged_parts:
-            name = staged_parts[key].rstrip("/").rsplit("/", 1)[-1]
-            fs.rename(spark, staged_parts[key], f"{answers_dir}/{name}")
-    fs.delete(spark, staging)
-    if not fs.exists(spark, answers_dir):
-        fs.mkdirs(spark, answers_dir)
-    return {"runs": len(run_ids), "records": n_records}
+        if old is not None:
+            merged = old.join(new_manifests.select("run_id"), "run_id", "left_anti").unionByName(new_manifests)
+        target = write_snapshot(merged, mpath, check=pk_guard(["run_id"], "run_manifest"), base=base)
+    except BaseException:
+        fs.delete(spark, folder)  # no manifest names it
+        raise
+    n_runs = spark.read.parquet(target).where(F.col(PASS_COL) == this_pass).count()
+    return {"runs": n_runs, "records": n_records}
 
 
 # ---------------------------------------------------------------- shared inputs (K2-K4)

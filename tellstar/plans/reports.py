@@ -7,17 +7,17 @@ drawing is not part of this package.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import coalesce_sum, guarded_ratio, not_in_or_null, passed_flag, starts_with_or_false
 from ..operators.aggregates import (
-    accuracy_cells,
     count_distinct,
     distinct_sorted_list,
     drop_null_keys,
     first_row_per_group,
     group_sizes,
+    pass_rates,
     side_by_side,
 )
 from ..operators.reshape import unpivot
@@ -30,6 +30,11 @@ LEGACY_RETRIEVERS = ["graph_neighborhood"]
 SPARQL_RETRIEVER = "graph_sparqlgen"
 NO_VALUE = "—"
 UNANSWERABLE = "— (unanswerable)"
+# grouping columns of the matrices: the axes, and the labels and sort keys that depend on them
+QUESTION_TYPE = ["type_id", "type_display_label"]
+RETRIEVER_BY_TYPE = ["display_label", "sort_order", *QUESTION_TYPE]
+WRITER_BY_TYPE = ["writer_model_family", *QUESTION_TYPE]
+HARNESS_BY_TYPE = ["harness_version", *QUESTION_TYPE]
 
 
 def analysis_frame(spark: SparkSession, marts_dir: str) -> DataFrame:
@@ -83,6 +88,12 @@ def load_analysis(spark: SparkSession, marts_dir: str) -> DataFrame:
     return spark.read.parquet(snap) if snap else analysis_frame(spark, marts_dir)
 
 
+def question_type_axis(df: DataFrame) -> DataFrame:
+    """O1: the question types that occur, in the order of their ids, with the rank of each."""
+    types = drop_null_keys(df, ["type_id"]).select(*QUESTION_TYPE).distinct()
+    return types.withColumn("rank", F.dense_rank().over(Window.orderBy("type_id"))).orderBy("rank", "type_display_label")
+
+
 # ---- filters
 
 def exclude_legacy(df: DataFrame) -> DataFrame:
@@ -161,12 +172,12 @@ def report_cost_per_correct(df: DataFrame) -> DataFrame:
 
 def report_accuracy_matrix(df: DataFrame) -> DataFrame:
     """Accuracy by retriever x question type, fixed generator, legacy excluded."""
-    return accuracy_cells(exclude_legacy(fixed_generator(df)), "display_label", "type_id")
+    return pass_rates(exclude_legacy(fixed_generator(df)), RETRIEVER_BY_TYPE)
 
 
 def report_writer_matrix(df: DataFrame) -> DataFrame:
     """Accuracy by writer family x question type, SPARQL retriever only."""
-    return accuracy_cells(sparql_only(df), "writer_model_family", "type_id")
+    return pass_rates(sparql_only(df), WRITER_BY_TYPE)
 
 
 def latency_split(df: DataFrame) -> DataFrame:
@@ -211,12 +222,12 @@ def report_pricing_reference(dim_pricing: DataFrame) -> DataFrame:
 
 def report_token_usage(df: DataFrame) -> DataFrame:
     """Avg tokens and accuracy per retriever x type (fixed generator, no legacy)."""
-    return accuracy_cells(exclude_legacy(fixed_generator(df)), "display_label", "type_id")
+    return pass_rates(exclude_legacy(fixed_generator(df)), RETRIEVER_BY_TYPE)
 
 
 def report_harness_evolution(df: DataFrame) -> DataFrame:
     """Accuracy and avg tokens per harness version x type, on the harness slice."""
-    return accuracy_cells(harness_slice(df), "harness_version", "type_id")
+    return pass_rates(harness_slice(df), HARNESS_BY_TYPE)
 
 
 def harness_versions(df: DataFrame) -> DataFrame:
@@ -226,7 +237,7 @@ def harness_versions(df: DataFrame) -> DataFrame:
 
 def report_writer_series(df: DataFrame) -> DataFrame:
     """The SPARQL slice as writer-family series over question types."""
-    return accuracy_cells(sparql_only(df), "writer_model_family", "type_id")
+    return pass_rates(sparql_only(df), WRITER_BY_TYPE)
 
 
 def writers_pooled(df: DataFrame) -> DataFrame:

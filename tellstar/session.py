@@ -30,10 +30,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def workspace_dir(spark: SparkSession) -> str:
     """Shared scratch folder of the cluster.
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only when the
-    session has none -- local tests -- a fresh folder is created and registered, so
-    ``DataFrame.checkpoint()`` and written intermediate tables land in the same place.
-    """
+    Read from the context's checkpoint folder or ``spark.checkpoint.dir``. Only a session that
+    runs in one process (master ``local``, as in tests) gets a folder of its own when it has
+    none; on a cluster a machine-local folder would be a different one on every node, so a
+    missing setting is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -41,7 +41,8 @@ def workspace_dir(spark: SparkSession) -> str:
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
-        return conf_dir.rstrip("/")
-    local = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    sc.setCheckpointDir(local)
-    return (sc.getCheckpointDir() or local).rstrip("/")
+        return (sc.getCheckpointDir() or conf_dir).rstrip("/")
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError(f"master {sc.master}: set spark.checkpoint.dir to a folder that all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    return sc.getCheckpointDir().rstrip("/")

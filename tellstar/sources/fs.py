@@ -52,6 +52,30 @@ def rename(spark: SparkSession, src: str, dst: str) -> bool:
     return bool(fs.rename(p, d))
 
 
+def rename_new(spark: SparkSession, src: str, dst: str) -> None:
+    """Rename to a name that must not exist yet; raises if it does or if the rename fails (never
+    moves ``src`` into an existing folder)."""
+    fs, p, jvm = _fs(spark, src)
+    d = jvm.org.apache.hadoop.fs.Path(dst)
+    fs.mkdirs(d.getParent())
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), fs.getConf())
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    context.rename(fs.makeQualified(p), fs.makeQualified(d), options)
+
+
+def hidden_files(spark: SparkSession, path: str, suffixes: tuple[str, ...], most: int = 10) -> list[str]:
+    """Up to ``most`` files with one of the suffixes that Spark's readers skip, because the file
+    or a folder above it (below ``path``) begins with ``_`` or ``.``."""
+    fs, p, _ = _fs(spark, path)
+    base = str(fs.makeQualified(p).toString()).rstrip("/") + "/"
+    found, it = [], fs.listFiles(p, True)
+    while it.hasNext() and len(found) < most:
+        name = str(it.next().getPath().toString())
+        if name.endswith(suffixes) and any(x.startswith(("_", ".")) for x in name[len(base):].split("/")):
+            found.append(name)
+    return found
+
+
 def delete(spark: SparkSession, path: str, recursive: bool = True) -> bool:
     fs, p, _ = _fs(spark, path)
     return bool(fs.delete(p, recursive))
@@ -87,8 +111,10 @@ def create_exclusive(spark: SparkSession, path: str, text: str = "") -> bool:
     fs_, p, _ = _fs(spark, path)
     try:
         out = fs_.create(p, False)
-    except Exception:  # noqa: BLE001 - FileAlreadyExistsException surfaces as a Py4J error
-        return False
+    except Exception:  # a Py4J error; only "it exists" means that another call was first
+        if fs_.exists(p):
+            return False
+        raise
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
@@ -96,6 +122,14 @@ def create_exclusive(spark: SparkSession, path: str, text: str = "") -> bool:
     return True
 
 
+def age_seconds(spark: SparkSession, path: str) -> float:
+    """Seconds since the file was written."""
+    import time
+
+    fs_, p, _ = _fs(spark, path)
+    return time.time() - fs_.getFileStatus(p).getModificationTime() / 1000
+
+
 def stamp(spark: SparkSession, path: str) -> str:
     """Cheap content stamp of a folder: names, sizes and modification times of its files."""
     fs_, p, _ = _fs(spark, path)

@@ -41,13 +41,29 @@ def _path_only(p: str) -> str:
     return re.sub(_SCHEME, "", p).rstrip("/")
 
 
-def _rel(file_path: Column, root: str) -> Column:
-    """Path of a file relative to the landing root, scheme stripped on both sides."""
-    bare = F.regexp_replace(file_path, _SCHEME, "")
+def file_uri() -> Column:
+    """The file's URI in plain characters: Spark's metadata column is percent-encoded."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def _rel(uri: Column, root: str) -> Column:
+    """Path of a file (plain characters) below the landing root, scheme stripped on both sides."""
+    bare = F.regexp_replace(uri, _SCHEME, "")
     prefix = _path_only(root) + "/"
     return F.when(bare.startswith(prefix), F.substring(bare, len(prefix) + 1, 1 << 30)).otherwise(bare)
 
 
+def folder_of(rel: Column) -> Column:
+    return F.regexp_extract(rel, r"^(.*)/[^/]+$", 1)
+
+
+def refuse_hidden(spark: SparkSession, root: str) -> None:
+    """Raises if a landing file has a name that Spark's readers would skip without a word."""
+    skipped = fs.hidden_files(spark, root, (MANIFEST_SUFFIX, RECORDS_SUFFIX, JSON_SUFFIX))
+    if skipped:
+        raise ValueError(f"landing files or folders must not begin with '_' or '.': {skipped}")
+
+
 # whitespace stripped around a JSON-Lines record (a line of only whitespace is skipped)
 LINE_WHITESPACE = " \t\r\n\x0b\x0c"
 
@@ -62,6 +78,7 @@ def _stem(file_path: Column, suffix: str) -> Column:
 
 
 def _not_reference(rel: Column) -> Column:
+    """Tested on the part below the root only: the root itself may lie below such a folder."""
     return ~(rel.startswith(REFERENCE_SUBDIR + "/") | rel.contains("/" + REFERENCE_SUBDIR + "/"))
 
 
@@ -71,7 +88,7 @@ def _whole_files(spark: SparkSession, path: str, glob: str, recursive: bool) ->
         reader = reader.option("recursiveFileLookup", "true")
     # ``wholetext`` must be the keyword: the text() default would override an option()
     return reader.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("source_uri"), F.col("value").alias("payload")
+        file_uri().alias("source_uri"), F.col("value").alias("payload")
     )
 
 
@@ -85,6 +102,7 @@ def scan_manifests(spark: SparkSession, root: str) -> DataFrame:
     Columns: run_id (file stem), batch (folder relative to root), source_uri, payload."""
     if not fs.exists(spark, root):
         raise FileNotFoundError(f"landing root does not exist: {root}")
+    refuse_hidden(spark, root)
     df = _whole_files(spark, root, "*" + MANIFEST_SUFFIX, recursive=True)
     rel = _rel(F.col("source_uri"), root)
     return (
@@ -92,7 +110,7 @@ def scan_manifests(spark: SparkSession, root: str) -> DataFrame:
         .where(_not_reference(F.col("_rel")))
         .select(
             _stem(F.col("source_uri"), MANIFEST_SUFFIX).alias("run_id"),
-            F.regexp_extract(F.col("_rel"), r"^(.*)/[^/]+$", 1).alias("batch"),
+            folder_of(F.col("_rel")).alias("batch"),
             "source_uri",
             "payload",
         )
@@ -102,10 +120,12 @@ def scan_manifests(spark: SparkSession, root: str) -> DataFrame:
 def dedupe_run_batches(manifests: DataFrame) -> DataFrame:
     """One manifest per run_id; the newest batch folder wins.
 
-    A max over a struct led by ``batch`` is an ordinary aggregate: partial per task,
-    so a run copied into many batches never gathers in one task."""
-    best = F.max(F.struct("batch", "source_uri", "payload")).alias("m")
-    return manifests.groupBy("run_id").agg(best).select("run_id", "m.batch", "m.source_uri", "m.payload")
+    Only run, batch and URI are aggregated; the winners' payloads are joined back, so a run
+    copied into many batches neither gathers in one task nor carries its documents along."""
+    newest = manifests.groupBy("run_id").agg(F.max(F.struct("batch", "source_uri")).alias("m")).select(
+        F.col("run_id").alias("_run"), F.col("m.batch").alias("_batch"), F.col("m.source_uri").alias("_uri"))
+    same = manifests["run_id"].eqNullSafe(newest["_run"]) & manifests["batch"].eqNullSafe(newest["_batch"]) & manifests["source_uri"].eqNullSafe(newest["_uri"])
+    return manifests.join(newest, same, "left_semi").select("run_id", "batch", "source_uri", "payload")
 
 
 def scan_record_lines(spark: SparkSession, root: str, paths: list[str] | None = None) -> DataFrame:
@@ -123,7 +143,7 @@ def scan_record_lines(spark: SparkSession, root: str, paths: list[str] | None =
         (reader.text(root) if paths is None else reader.text(paths))
         .select(
             F.col("value"),
-            F.col("_metadata.file_path").alias("records_uri"),
+            file_uri().alias("records_uri"),
             F.col("_metadata.file_block_start").alias("_block"),
         )
     )
@@ -137,7 +157,7 @@ def scan_record_lines(spark: SparkSession, root: str, paths: list[str] | None =
     numbered = line_numbers(lines, "records_uri", "_block")
     return numbered.select(
         _stem(F.col("records_uri"), RECORDS_SUFFIX).alias("run_id"),
-        F.regexp_extract(F.col("_rel"), r"^(.*)/[^/]+$", 1).alias("batch"),
+        folder_of(F.col("_rel")).alias("batch"),
         "records_uri",
         "line_no",
         "payload",

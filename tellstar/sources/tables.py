@@ -2,8 +2,10 @@
 
 ``write_snapshot`` never overwrites the folder a reader may be scanning: a new snapshot is
 written to a private temporary folder, optionally validated by reading it back (cheap,
-column-pruned parquet), and only then renamed to the next ``v<N>`` version. Readers pick
-the newest committed version. Older versions beyond ``keep`` are removed afterwards.
+column-pruned parquet), and only then renamed to the next ``v<N>`` version, a name that must
+be new: of two writers that began from the same version one fails and nothing of it shows.
+Readers pick the newest committed version. A commit removes no version younger than
+``KEEP_SECONDS``, so a reader that is scanning an older one is left in peace.
 """
 
 from __future__ import annotations
@@ -16,6 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import fs
 
+#: Older versions are removed by a later commit only once they are this old.
+KEEP_SECONDS = 24 * 3600
+
 _VERSION = re.compile(r"/v(\d{6})/?$")
 
 
@@ -33,6 +38,12 @@ def latest_snapshot(spark: SparkSession, path: str) -> str | None:
     return vs[-1][1] if vs else None
 
 
+def latest_version(spark: SparkSession, path: str) -> int:
+    """Number of the newest committed version (0: none)."""
+    vs = _versions(spark, path.rstrip("/"))
+    return vs[-1][0] if vs else 0
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     return latest_snapshot(spark, path) is not None or fs.exists(spark, path.rstrip("/") + "/_SUCCESS")
 
@@ -43,10 +54,15 @@ def write_snapshot(
     partition_by: list[str] | None = None,
     check: Callable[[DataFrame], None] | None = None,
     keep: int = 2,
+    base: int | None = None,
 ) -> str:
-    """Write ``df`` as the next version of the table at ``path`` and return its folder."""
+    """Write ``df`` as the next version of the table at ``path`` and return its folder.
+
+    ``base`` is the version that ``df`` was made from (default: the newest one now); if another
+    writer has committed after it, this raises and changes nothing."""
     spark = df.sparkSession
     path = path.rstrip("/")
+    base = latest_version(spark, path) if base is None else base
     tmp = f"{path}/_tmp-{uuid.uuid4().hex}"
     writer = df.write.mode("overwrite")
     if partition_by:
@@ -58,12 +74,15 @@ def write_snapshot(
         except Exception:
             fs.delete(spark, tmp)
             raise
-    all_versions = [int(m.group(1)) for c in fs.list_dir(spark, path) if (m := _VERSION.search(c))]
-    target = f"{path}/v{(max(all_versions) + 1) if all_versions else 1:06d}"
-    if not fs.rename(spark, tmp, target):
-        raise OSError(f"could not commit snapshot {tmp} -> {target}")
+    target = f"{path}/v{base + 1:06d}"
+    try:
+        fs.rename_new(spark, tmp, target)
+    except Exception as e:
+        fs.delete(spark, tmp)
+        raise OSError(f"could not commit {target} (written by another writer meanwhile?)") from e
     for _, old in _versions(spark, path)[:-keep]:
-        fs.delete(spark, old)
+        if fs.age_seconds(spark, f"{old}/_SUCCESS") > KEEP_SECONDS:
+            fs.delete(spark, old)
     return target
 
 

@@ -96,10 +96,10 @@ def test_fact_and_dimensions(spark, star):
     writers = mt.load_mart(spark, marts, "dim_writer").collect()
     assert any(r.writer_model is None and r.writer_temperature is None for r in writers)
     corpus = _by(mt.load_mart(spark, marts, "dim_corpus"), "corpus_build_id")
-    assert set(corpus) == {None, "full-2c102cb0", "smoke-30c621e8", "unknown-abc123"}
+    assert set(corpus) == {None, "full-aa00bb11", "smoke-cc22dd33", "unknown-abc123"}
     assert corpus[None].corpus_sha == "" and corpus[None].corpus_scale == ""
     assert corpus["unknown-abc123"].corpus_scale == "unknown" and corpus["unknown-abc123"].paper_count is None
-    assert corpus["smoke-30c621e8"].triple_count is None
+    assert corpus["smoke-cc22dd33"].triple_count is None
     q = _by(mt.load_mart(spark, marts, "dim_question"), "question_id")
     assert q["q1"].ground_truth_answer_text == "A, B" and q["q1"].num_seed_entities == 2
     assert q["q3"].ground_truth_answer_text is None and q["q3"].question_hop_count == 3

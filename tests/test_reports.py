@@ -25,7 +25,7 @@ def row(i, ret, label, order, t="01_x", passed=1, cost=0.01, rl=10.0, gl=20.0, f
 
 def test_accuracy_cells_drop_null_keys(spark):
     df = _af(spark, [row(1, "vector", "V", 2), row(2, "vector", "V", 2, passed=0), row(3, "hybrid", None, None)])
-    cells = agg.accuracy_cells(df, "display_label", "type_id").collect()
+    cells = agg.pass_rates(df, ["display_label", "type_id"]).collect()
     assert len(cells) == 1
     c = cells[0]
     assert (c.total, c.passed, c.accuracy, c.avg_tokens) == (2, 1, 0.5, 100.0)

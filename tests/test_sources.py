@@ -57,7 +57,7 @@ def test_line_numbers_across_many_splits(spark, tmp_path):
 def test_questions_profiles_pricing(spark, tree, tmp_path):
     assert lf.scan_questions(spark, tree).count() == 4
     assert sorted(r.corpus_build_id for r in lf.scan_corpus_profiles(spark, tree).collect()) == [
-        "full-2c102cb0", "smoke-30c621e8"]
+        "full-aa00bb11", "smoke-cc22dd33"]
     assert [r.provider for r in lf.scan_pricing(spark, tree).collect()] == ["anthropic"]
     bare = write_tree(tmp_path / "noq", with_questions=False)
     assert lf.scan_questions(spark, str(bare)).count() == 0
