@@ -53,10 +53,22 @@ _EXPONENT = r"^-?\d+(\.\d+)?[eE][+-]?\d+$"
 _STRING = r'("(?:[^"\\]|\\.)*")'
 
 
-def value_text(raw: Column) -> Column:
-    """Text of a JSON value that is no string, as a numeric JSON column shows it: numbers keep
-    their digits (``3.10``) with exponents written out (``1e5``: ``100000``); arrays and objects
-    have one blank behind each comma and colon (numbers inside them stay as written)."""
+_MARK = "\ue000"  # a private-use character: stands before a number that was made a string
+
+
+def _numbers_quoted(payload: Column) -> Column:
+    """The JSON text with every number as a string behind _MARK, since readers of JSON text
+    rewrite numbers (``3.10`` to ``3.1``) but leave strings alone."""
+    fenced = F.regexp_replace(payload, _STRING + r"|(-?\d[0-9.eE+-]*)", f"$1{_MARK}$2{_MARK}")
+    return F.regexp_replace(F.replace(fenced, F.lit(_MARK * 2), F.lit("")), f"{_MARK}([^{_MARK}]+){_MARK}", f'"{_MARK}$1"')
+
+
+def value_text(quoted: Column) -> Column:
+    """Text of a JSON value that is no string (from ``_numbers_quoted``), as a numeric JSON column
+    shows it: numbers keep their digits (``3.10``) with exponents written out (``1e5``:
+    ``100000``); arrays and objects have one blank behind each comma and colon (numbers inside
+    them stay as written)."""
+    raw = F.replace(F.regexp_replace(quoted, f'"{_MARK}([^"]*)"', "$1"), F.lit(_MARK), F.lit(""))
     digits = F.length(F.regexp_extract(raw, r"\.(\d+)", 1))
     scale = F.greatest(digits - F.regexp_extract(raw, r"[eE]([+-]?\d+)$", 1).try_cast("int"), F.lit(0))
     exact = raw.try_cast("decimal(38,18)").cast("string")
@@ -74,14 +86,15 @@ def ground_truth_text(v: Column, key: str = "ground_truth", sep: str = ", ", pay
     Numbers are read from the payload's text, where VARIANT would rewrite them."""
     sub = jsub(v, key)
     is_text = lambda x: F.schema_of_variant(x) == "STRING"
-    raws = F.from_json(_col(payload), f"`{key}` array<string>").getField(key)
+    quoted = _numbers_quoted(_col(payload))
+    raws = F.from_json(quoted, f"`{key}` array<string>").getField(key)
     kinds = F.try_variant_get(v, _path(key), "array<variant>")
     arr = F.zip_with(raws, kinds, lambda t, x: F.when(is_text(x), t).otherwise(value_text(t)))
     non_null = F.size(F.filter(arr, lambda x: x.isNotNull()))
     return (
         F.when(is_json_array(sub), F.when(non_null > 0, F.array_join(arr, sep)))
         .when(is_text(sub), jtext(v, key))
-        .otherwise(value_text(F.from_json(_col(payload), f"`{key}` string").getField(key)))
+        .otherwise(value_text(F.from_json(quoted, f"`{key}` string").getField(key)))
     )
 
 
