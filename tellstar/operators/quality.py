@@ -16,7 +16,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,26 +59,7 @@ def relationships(child: DataFrame, c: str, parent: DataFrame, pc: str) -> DataF
     )
 
 
-def _column_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """All not_null / accepted_values checks of one relation in a single aggregate pass."""
-    exprs = []
-    for i, ch in enumerate(checks):
-        c = F.col(ch.column)
-        if ch.kind == "not_null":
-            e = F.count(F.when(c.isNull(), 1))
-        else:  # accepted_values: distinct offending non-NULL values
-            e = F.count_distinct(F.when(c.isNotNull() & ~c.isin(list(ch.values)), c))
-        exprs.append(e.cast("bigint").alias(f"f{i}"))
-    wide = df.agg(*exprs)
-    rows = F.array(*[
-        F.struct(F.lit(ch.kind).alias("check"), F.lit(ch.relation).alias("relation"),
-                 F.lit(ch.column).alias("column"), F.col(f"f{i}").alias("failures"))
-        for i, ch in enumerate(checks)
-    ])
-    return wide.select(F.inline(rows))
-
-
-def _key_text(df: DataFrame, cols: list[str]):
+def _key_text(cols: list[str]) -> Column:
     """One text key per row (composite keys joined); NULL when any component is NULL."""
     parts = [F.col(c).cast("string") for c in cols]
     if len(parts) == 1:
@@ -90,40 +71,18 @@ def _key_text(df: DataFrame, cols: list[str]):
     return F.when(~any_null, F.concat_ws("\u0001", *parts))
 
 
-def _unique_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
-    """Every unique check in one shuffle of 64-bit key hashes.
-
-    (check id, hash of key) pairs of all relations are unioned and counted together;
-    only hashes seen more than once are re-checked exactly on the key text, so collisions
-    cannot inflate a failure count. failures = key values seen more than once per check."""
-    keys = None
-    for i, ch in enumerate(checks):
-        df = tables[ch.relation]
-        k = df.select(F.lit(i).alias("cid"), _key_text(df, ch.column.split("|")).alias("k"))
-        keys = k if keys is None else keys.unionByName(k)
-    keys = keys.where(F.col("k").isNotNull()).withColumn("_h", F.xxhash64("k"))
-    # AQE broadcasts the (usually tiny) suspects from their runtime size
-    suspects = keys.groupBy("cid", "_h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("cid", "_h")
-    dup = (keys.join(suspects, ["cid", "_h"], "left_semi").groupBy("cid", "k").agg(F.count(F.lit(1)).alias("n"))
-           .where(F.col("n") > 1).groupBy("cid").agg(F.count(F.lit(1)).alias("failures")))
-    return _with_ids(dup, checks)
-
-
-def _relationship_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
-    """Every relationships check in one shuffle: child keys (counted) and parent keys
-    (flagged) of all checks are grouped together; failures = child rows whose key has no
-    parent row in the same check."""
-    keys = None
-    for i, ch in enumerate(checks):
-        child = tables[ch.relation].select(F.lit(i).alias("cid"), F.col(ch.column).cast("string").alias("k"),
-                                           F.lit(1).alias("child"))
-        parent = tables[ch.parent].select(F.lit(i).alias("cid"), F.col(ch.parent_column).cast("string").alias("k"),
-                                          F.lit(0).alias("child"))
-        both = child.where(F.col("k").isNotNull()).unionByName(parent.where(F.col("k").isNotNull()))
-        keys = both if keys is None else keys.unionByName(both)
-    per_key = keys.groupBy("cid", "k").agg(F.sum("child").alias("n_child"), F.min("child").alias("min_side"))
-    orph = per_key.where(F.col("min_side") == 1).groupBy("cid").agg(F.sum("n_child").alias("failures"))
-    return _with_ids(orph, checks)
+def _watched(ch: Check) -> Column:
+    """The key text that a row of the checked relation brings into the count (NULL: none)."""
+    c = F.col(ch.column) if ch.kind != "unique" else None
+    if ch.kind == "not_null":
+        return F.when(c.isNull(), F.lit(""))
+    if ch.kind == "accepted_values":
+        return F.when(~c.isin(list(ch.values)), c.cast("string"))
+    if ch.kind == "relationships":
+        return c.cast("string")
+    if ch.kind == "unique":
+        return _key_text(ch.column.split("|"))
+    raise ValueError(ch.kind)
 
 
 def _with_ids(per_check: DataFrame, checks: list[Check]) -> DataFrame:
@@ -136,29 +95,38 @@ def _with_ids(per_check: DataFrame, checks: list[Check]) -> DataFrame:
 
 
 def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
-    """Evaluate every check and union the tidy rows.
-
-    Column-level checks (not_null, accepted_values) of a relation share one scan and one
-    aggregate; all unique checks share one shuffle, and all relationships checks another."""
-    parts: list[DataFrame] = []
-    by_frame: dict[int, list[Check]] = {}  # relations backed by the same frame share a pass
-    uniques = [c for c in checks if c.kind == "unique"]
-    rels = [c for c in checks if c.kind == "relationships"]
-    for ch in checks:
-        if ch.kind in ("not_null", "accepted_values"):
-            by_frame.setdefault(id(tables[ch.relation]), []).append(ch)
-        elif ch.kind not in ("unique", "relationships"):
-            raise ValueError(ch.kind)
-    for chs in by_frame.values():
-        parts.append(_column_checks(tables[chs[0].relation], chs))
-    if uniques:
-        parts.append(_unique_checks(tables, uniques))
-    if rels:
-        parts.append(_relationship_checks(tables, rels))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Evaluate every check: one scan per relation, one shuffle for all of them.
+
+    A relation's rows are turned, in one projection, into (check, key) pairs: the key of a unique
+    check, the foreign key or parent key of a relationship, and only for offending rows an
+    unaccepted value or a NULL's mark. The pairs of all relations are counted together (partial
+    counts before the shuffle, so a hot key or a foreign key with few values is cheap), and the
+    failures of each check follow from its keys' counts. Relations backed by the same frame share
+    its scan. Keys are grouped by their text, so no hash can report a false duplicate."""
+    frames: dict[int, DataFrame] = {}
+    brought: dict[int, list[Column]] = {}
+
+    def bring(relation: str, cid: int, key: Column, parent: int) -> None:
+        df = tables[relation]
+        frames[id(df)] = df
+        brought.setdefault(id(df), []).append(F.struct(F.lit(cid).alias("cid"), key.alias("k"), F.lit(parent).alias("parent")))
+
+    for cid, ch in enumerate(checks):
+        bring(ch.relation, cid, _watched(ch), 0)
+        if ch.kind == "relationships":
+            bring(ch.parent, cid, F.col(ch.parent_column).cast("string"), 1)
+    pairs = None
+    for name, df in frames.items():
+        own = df.select(F.inline(F.array(*brought[name]))).where(F.col("k").isNotNull())
+        pairs = own if pairs is None else pairs.unionByName(own)
+    keys = pairs.groupBy("cid", "k").agg(F.sum(1 - F.col("parent")).alias("n"), F.max("parent").alias("parent"))
+
+    def of(kind: str) -> Column:
+        return F.col("cid").isin([i for i, ch in enumerate(checks) if ch.kind == kind])
+
+    failed = (F.when(of("not_null"), F.col("n")).when(of("accepted_values"), F.lit(1))
+              .when(of("unique"), (F.col("n") > 1).cast("int")).otherwise(F.when(F.col("parent") == 0, F.col("n")).otherwise(0)))
+    return _with_ids(keys.groupBy("cid").agg(F.sum(failed).alias("failures")), checks)
 
 
 def contract_report(df: DataFrame, contract: T.StructType, key: str) -> DataFrame:

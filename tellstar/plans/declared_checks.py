@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.quality import Check, run_checks
 from ..sources.seeds import read_seed
-from ..sources.tables import read_table
+from ..sources.tables import read_table, table_exists
 from .marts import MARTS, Relations
 from .staging import explode_answers
 
@@ -93,14 +93,22 @@ SEEDS = ("seed_pricing_local_overrides", "seed_pricing_model_alias", "seed_retri
 
 
 def relations(spark: SparkSession, raw_dir: str, marts_dir: str) -> dict[str, DataFrame]:
+    """Every relation the declared tests name.
+
+    The two staging views of the answers are not parsed again where the build has written the
+    enriched grain: it holds one row for each answer (a price join that would multiply rows is
+    refused) and carries the tested columns unchanged."""
     p = Relations(spark, raw_dir)
-    answers = explode_answers(p.raw("scored_answer"))
+    written = f"{marts_dir.rstrip('/')}/_int/int_scored_answers_enriched"
+    tested = {c.column for c in DECLARED if c.relation in ("stg_scored_answers", "stg_traversal")}
+    answers = read_table(spark, written) if table_exists(spark, written) else None
+    if answers is None or not tested <= set(answers.columns):
+        answers = explode_answers(p.raw("scored_answer"))
     rel: dict[str, DataFrame] = {f"raw.{t}": p.raw(t) for t in
                                  ("run_manifest", "scored_answer", "question", "corpus_profile", "model_pricing")}
     rel.update({
         "stg_runs": p.runs(),
-        # both staging views of the answers come from one parse (their columns are disjoint
-        # apart from the keys), so their column checks share one pass
+        # both staging views of the answers are columns of one frame, so they share one pass
         "stg_scored_answers": answers,
         "stg_traversal": answers,
         "stg_questions": p.questions(),
