@@ -10,7 +10,7 @@ task, so nothing is shuffled and memory follows the shard, not the table.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -59,30 +59,36 @@ class Phrases:
         return np.where(self.vocabulary[at] == hashes, at + 2, 1)
 
 
-def blocks(benchmark: DataFrame, window: int, limit: int = BLOCK_BYTES) -> Iterator[Phrases]:
-    """Phrases of all items with an id, at most about ``limit`` bytes of item text in each."""
+def blocks(benchmark: DataFrame, window: int, limit: int = BLOCK_BYTES) -> Iterator[tuple[Phrases, bool]]:
+    """Phrases of all items with an id, at most about ``limit`` bytes of item text in each block,
+    and whether the block is the last one."""
     items = benchmark.select(F.col("item_id").cast("string").alias("name"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
     items = items.where("name is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = 1 + total // limit
     for k in range(n):
         block = items.where(F.pmod(F.xxhash64("name", "text"), F.lit(n)) == k)
-        yield Phrases([(r.name, bytes(r.text)) for r in block.collect()], window)
+        yield Phrases([(r.name, bytes(r.text)) for r in block.collect()], window), k == n - 1
 
 
-def marked(docs: DataFrame, benchmark: DataFrame, window: int = 13, *keep: str) -> DataFrame:
-    """(doc_id, text binary, kept columns, n_words long, spans binary, items array<string>) for
-    every row of ``docs``.
+def marked(docs: DataFrame, benchmark: DataFrame, finish: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, window: int = 13, *keep: str) -> DataFrame:
+    """``finish`` of batches (doc_id, text binary, kept columns, n_words long, spans binary, items
+    array<string>) of every row of ``docs``, as rows of ``schema``.
 
     ``spans`` are the merged runs of hit words: little-endian 64-bit pairs (first word, first
     word after) in order; ``items`` the sorted ids of items with an occurring window. A null or
-    empty text has no words; an empty benchmark hits nothing; items without id take no part.
-    """
+    empty text has no words; an empty benchmark hits nothing; items without id take no part."""
     frame = texts(docs, *keep).withColumns({"n_words": F.lit(0).cast("long"), "spans": F.lit(b""), "items": F.array().cast("array<string>")})
-    schema = schema_of(frame)
-    for phrases in blocks(benchmark, window):
+    found = schema_of(frame)
+    for phrases, last in blocks(benchmark, window):
         shared = docs.sparkSession.sparkContext.broadcast(phrases)
-        frame = map_chunks(frame, lambda parts, shared=shared: (_mark(part, shared) for part in parts), schema)
+
+        def run(parts: Iterator[Chunk], shared=shared, last=last) -> Iterator[pa.RecordBatch]:
+            for part in parts:
+                batch = _mark(part, shared)
+                yield finish(batch) if last else batch
+
+        frame = map_chunks(frame, run, schema if last else found)
     return frame
 
 
@@ -128,31 +134,28 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: int =
     hit words reach all words; ``spans`` are the word runs to remove."""
     schema = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<struct<start:long,stop:long>>"
 
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pairs = [np.frombuffer(x, np.int64).reshape(-1, 2) for x in batch.column("spans").to_pylist()]
-            n_hit = np.array([int((p[:, 1] - p[:, 0]).sum()) for p in pairs], np.int64)
-            n_words = batch.column("n_words").to_numpy()
-            items = batch.column("items").to_pylist()
-            yield record(
-                doc_id=batch.column("doc_id"), n_words=n_words, n_hit=n_hit,
-                n_items=np.array([len(x) for x in items], np.int64),
-                items_sha256=pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items], pa.string()),
-                contaminated=(n_hit > 0) & (share * n_hit >= n_words),
-                spans=pa.array([[{"start": a, "stop": b} for a, b in p.tolist()] for p in pairs], pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))))
+    def digest(batch: pa.RecordBatch) -> pa.RecordBatch:
+        pairs = [np.frombuffer(x, np.int64).reshape(-1, 2) for x in batch.column("spans").to_pylist()]
+        n_hit = np.array([int((p[:, 1] - p[:, 0]).sum()) for p in pairs], np.int64)
+        n_words = batch.column("n_words").to_numpy()
+        items = batch.column("items").to_pylist()
+        return record(
+            doc_id=batch.column("doc_id"), n_words=n_words, n_hit=n_hit,
+            n_items=np.array([len(x) for x in items], np.int64),
+            items_sha256=pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items], pa.string()),
+            contaminated=(n_hit > 0) & (share * n_hit >= n_words),
+            spans=pa.array([[{"start": a, "stop": b} for a, b in p.tolist()] for p in pairs], pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))))
 
-    return marked(docs, benchmark, window).drop("text").mapInArrow(digest, schema)
+    return marked(docs, benchmark, digest, schema, window)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: int = 20) -> DataFrame:
     """``docs`` without the contaminated documents; the rows that stay are unchanged."""
     frame, names = carried(docs)
-    found = marked(frame, benchmark, window, *names[1:])
 
-    def stays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n_hit = np.array([int(np.diff(np.frombuffer(x, np.int64).reshape(-1, 2)).sum()) for x in batch.column("spans").to_pylist()], np.int64)
-            keep = ~((n_hit > 0) & (share * n_hit >= batch.column("n_words").to_numpy()))
-            yield batch.select(names).filter(pa.array(keep))
+    def stays(batch: pa.RecordBatch) -> pa.RecordBatch:
+        n_hit = np.array([int(np.diff(np.frombuffer(x, np.int64).reshape(-1, 2)).sum()) for x in batch.column("spans").to_pylist()], np.int64)
+        keep = ~((n_hit > 0) & (share * n_hit >= batch.column("n_words").to_numpy()))
+        return batch.select(names).filter(pa.array(keep))
 
-    return restored(found.mapInArrow(stays, schema_of(found, *names)), docs)
+    return restored(marked(frame, benchmark, stays, schema_of(frame, *names), window, *names[1:]), docs)

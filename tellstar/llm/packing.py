@@ -26,8 +26,8 @@ from .text import LOWER, PLAIN_WORD, Chunk, Words, byte_class, each_in, map_chun
 
 #: Sequences that a block of pieces fills.
 WINDOWS = 256
-#: Units remembered by a worker process (about 40 bytes each); the memory is emptied when full.
-REMEMBERED = 2_000_000
+#: Units remembered by a worker process (about 36 bytes each); the memory is emptied when full.
+REMEMBERED = 1_000_000
 #: Fixed value: the pattern of the tokenizer whose units can be encoded one by one.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Bytes that part units: ASCII letters and digits from other printable ASCII but the apostrophe.
@@ -59,8 +59,8 @@ class Ids:
 
     def _empty(self) -> None:
         self.hash = np.empty(0, np.uint64)
-        self.first = np.empty(0, np.int64)
-        self.size = np.empty(0, np.int64)
+        self.first = np.empty(0, np.int32)
+        self.size = np.empty(0, np.int32)
         self.flat = np.empty(0, np.uint32)
 
     def _encode(self, batch: list[bytes]) -> list[list[int]]:
@@ -93,8 +93,8 @@ class Ids:
                 continue
             self._learn(distinct[new], [units.get(i) for i in where[new]])
         at = np.searchsorted(self.hash, distinct)[of] if len(distinct) else np.empty(0, np.int64)
-        sizes = self.size[at]
-        ids = self.flat[each_in(self.first[at], sizes)]
+        sizes = self.size[at].astype(np.int64)
+        ids = self.flat[each_in(self.first[at].astype(np.int64), sizes)]
         ends = np.concatenate(([0], np.cumsum(sizes)))[units.first]
         out = [np.append(ids[a:b], np.uint32(end)) for a, b in zip(ends[:-1], ends[1:])]
         for i, own in zip(direct, self._encode([part.bytes_of(i) for i in direct]) if direct else []):

@@ -10,7 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text handled at once inside a task (a longer document is handled alone and whole).
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
+#: Rows of the Arrow batches that tasks exchange with Python (Spark's default is five times as
+#: many; a batch is held about twice on either side).
+BATCH_ROWS = 2000
 
 
 def byte_class(*ranges: tuple[int, int]) -> np.ndarray:
@@ -112,7 +115,7 @@ def powers(root: int, n: int) -> tuple[np.ndarray, np.ndarray]:
         size = max(n, 1 << 16)
         up = _geometric(root, size)
         down = _geometric(pow(root, -1, 1 << 64), size)
-        if size <= 2 * CHUNK_BYTES:
+        if size <= CHUNK_BYTES + 1:
             _powers[root] = up, down
     return up, down
 
@@ -161,7 +164,11 @@ def chunks(batches: Iterable[pa.RecordBatch], limit: int = CHUNK_BYTES) -> Itera
 
 
 def map_chunks(frame: DataFrame, fn: Callable[[Iterator[Chunk]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``fn`` over the chunks of every partition of a frame from ``texts``."""
+    """``fn`` over the chunks of every partition of a frame from ``texts``. Sets the session's
+    Arrow batches to BATCH_ROWS rows, where they are larger (Spark reads this when a plan runs)."""
+    conf, name = frame.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return fn(chunks(batches))
