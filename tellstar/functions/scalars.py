@@ -59,9 +59,15 @@ def nullif_empty(c: Column | str) -> Column:
 
 
 def usd_per_mtok(cents_per_token_text: Column) -> Column:
-    """Catalog price (cents per token, any JSON number text) -> USD per 1M tokens."""
-    exact = cents_per_token_text.cast("decimal(24,12)") * F.lit(CENTS_PER_TOKEN_TO_USD_PER_MTOK)
-    return exact.cast(RATE_TYPE)
+    """Catalog price (cents per token, any JSON number text) -> USD per 1M tokens.
+
+    The stored rate has six decimals; a price with more digits than that fails the job rather
+    than being rounded."""
+    cents = cents_per_token_text.cast("decimal(24,12)")
+    exact = cents * F.lit(CENTS_PER_TOKEN_TO_USD_PER_MTOK)
+    lossless = (exact.cast(RATE_TYPE) == exact) & (cents == cents_per_token_text.cast("decimal(38,24)"))
+    return F.when(lossless | cents.isNull(), exact.cast(RATE_TYPE)).otherwise(
+        F.raise_error(F.concat(F.lit("price needs more than six decimals per million tokens: "), cents_per_token_text)))
 
 
 def token_cost(*pairs: tuple[Column | str, Column | str]) -> Column:

@@ -235,7 +235,7 @@ def _once(spark: SparkSession, kind: str, sf_dir: str, build, wait_s: int = 3600
 
     The key fingerprints the input folder (file names, sizes, times) and the package
     code. The first caller takes an exclusive lock file; concurrent callers wait for its
-    ``_READY`` marker."""
+    ``_READY`` marker, and take over when the lock is older than ``wait_s`` seconds."""
     with _LOCK:
         base_dir = sf_dir.split("#")[0]
         key = hashlib.md5(f"{sf_dir}|{fs.stamp(spark, base_dir)}|{_code_hash()}".encode()).hexdigest()[:16]
@@ -251,12 +251,15 @@ def _once(spark: SparkSession, kind: str, sf_dir: str, build, wait_s: int = 3600
                 raise
             fs.write_text(spark, ready, "ok")
             return path
-        deadline = time.time() + wait_s
-        while time.time() < deadline:
-            if fs.exists(spark, ready):
-                return path
+        lock = f"{path}/_LOCK"
+        while not fs.exists(spark, ready):
+            # a builder that was killed leaves its lock: one as old as ``wait_s`` is taken over
+            if fs.exists(spark, lock) and fs.age_seconds(spark, lock) > wait_s:
+                fs.delete(spark, path)
+            if not fs.exists(spark, lock):
+                return _once(spark, kind, sf_dir, build, wait_s)
             time.sleep(2)
-        raise TimeoutError(f"{path} is locked by another builder and not ready after {wait_s}s")
+        return path
 
 
 def landing_root(spark: SparkSession, sf_dir: str, replicas: int = 1) -> str:

@@ -5,8 +5,10 @@ from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from tellstar.functions.jsonx import array_length_or_zero, ground_truth_text, parsed
+from tellstar.functions.scalars import usd_per_mtok
 from tellstar.operators import landing as ld
 from tellstar.session import workspace_dir
 from tellstar.sources import fs
@@ -157,3 +159,11 @@ def test_no_machine_local_scratch_on_a_cluster(spark):
             workspace_dir(session(master))
     assert workspace_dir(session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
     assert workspace_dir(spark)
+
+
+def test_prices_are_exact_or_refused(spark):
+    rows = spark.createDataFrame([("1.25E-4",), ("0.0008",), ("0",), (None,)], "p string")
+    assert [str(r.r) for r in rows.select(usd_per_mtok(rows.p).alias("r")).collect()] == ["1.250000", "8.000000", "0.000000", "None"]
+    for bad in ("0.00000000012345", "1e-13"):
+        with pytest.raises(Exception):
+            spark.createDataFrame([(bad,)], "p string").select(usd_per_mtok(F.col("p")).alias("r")).collect()
