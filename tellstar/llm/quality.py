@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .folds import fold, written
-from .text import PLAIN_WORD, Chunk, byte_class, each_in, map_chunks, record, texts
+from .text import PLAIN_WORD, Chunk, byte_class, map_chunks, record, texts
 
 #: The share of labelled rows that no fit may see: crc32(doc_id) mod FOLDS = 0.
 FOLDS = 5

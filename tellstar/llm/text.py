@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text handled at once inside a task (a longer document is handled alone and whole).
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 #: Rows of the Arrow batches that tasks exchange with Python (Spark's default is five times as
 #: many; a batch is held about twice on either side).
 BATCH_ROWS = 2000
