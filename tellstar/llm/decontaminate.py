@@ -3,7 +3,7 @@
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text with A-Z lower-cased, compared
 by a 64-bit hash. A test phrase is a window of 13 consecutive words of an item; an item with
 fewer words, but not none, is one phrase. A shard is a run of whole documents inside a task
-(about 4 MB of text, or one longer document). Its FM-index is built, searched and dropped in the
+(about 1 MB of text, or one longer document). Its FM-index is built, searched and dropped in the
 task, so nothing is shuffled and memory follows the shard, not the table.
 """
 
