@@ -26,7 +26,8 @@ UNITS = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 #: Fixed value: the public byte-level pattern.
 PIECES = regex.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?\\p{{L}}+| ?\\p{{N}}+| ?[^{SPACE}\\p{{L}}\\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 NONE = np.int64(1) << 40
-#: Units remembered by a task; the memory is emptied when it is full.
+#: Units remembered by a task; the memory is emptied before a chunk that would pass this number
+#: (all units of one chunk are held, however many they are).
 REMEMBERED = 400_000
 
 
@@ -114,8 +115,6 @@ class Counter:
         self.merges, self.known = merges, {}
 
     def _learn(self, units: set[str]) -> None:
-        if len(self.known) + len(units) > REMEMBERED:
-            self.known.clear()
         pieces, sizes, units = [], [], list(units)
         for unit in units:
             found = PIECES.findall(unit)
@@ -131,12 +130,13 @@ class Counter:
         split = self.merges.split
         cut = [split.split(t) if split is not None else [t] for t in batch]
         units = [[u for part in parts for u in UNITS.findall(part)] for parts in cut]
-        new = set().union(*units).difference(self.known) if units else set()
+        all_units = set().union(*units)
+        new = all_units.difference(self.known)
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known.clear()
+            new = all_units
         if new:
-            before = len(self.known)
             self._learn(new)
-            if len(self.known) < before + len(new):  # emptied meanwhile
-                self._learn(set().union(*units).difference(self.known))
         get = self.known.__getitem__
         return [sum(map(get, u)) + len(parts) - 1 for u, parts in zip(units, cut)]
 

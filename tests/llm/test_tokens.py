@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tellstar.llm import packing
+from tellstar.llm import bpe, packing
 from tellstar.llm.bpe import Counter, Merges, token_counts
 from tellstar.llm.text import chunks
 from tellstar.llm.queries import op4_packing, op10_token_counts
@@ -40,6 +40,15 @@ def test_any_text(text):
     assert ids_by_operator([text])[0].tolist() == [*word_library.encode(text, add_special_tokens=False).ids, 2]
 
 
+def test_more_units_than_are_remembered(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 5)
+    small = Counter(Merges(BYTE))
+    texts = [["a b"], [" ".join(f"id{i}x" for i in range(40))], ["a", "c d e f", ""], ["k l m n o p q r"], ["a b"], [""], []]
+    for batch in texts:
+        assert small.counts(batch) == [len(byte_library.encode(t, add_special_tokens=False).ids) for t in batch]
+    assert Counter(Merges(BYTE)).counts(texts[1]) == small.counts(texts[1])
+
+
 def test_counts_equal_the_library(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
     got = {r.doc_id: tuple(r) for r in op10_token_counts(spark, SF).collect()}
