@@ -4,15 +4,15 @@ Tokens are the words ``[^\\x20\\x09-\\x0D]+`` of the text with A-Z lower-cased (
 64-bit hash) and one end token. Every token belongs to a symbol: a frequent word is its own
 symbol; the other words share one symbol per class of spelling (first and last two bytes), inside
 which a word has the smoothed share of its training count. Counts of all words are summed by
-hash bucket over all partitions. Baum-Welch rounds sum expected counts over partitions too:
-first on fixed shares of the training documents, at last on all of them. The likelihood of a
+hash bucket over all partitions. The symbols of the training documents are written once; the clusters
+of the first model and every Baum-Welch round are sums over all of them. The likelihood of a
 text is exact: a scaled forward recursion over its whole symbol sequence, for many texts at once.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,13 +33,15 @@ FREQUENT = 1 << 16
 CLASSES = 1024
 #: Latent states: so many text clusters at the start, two states each.
 CLUSTERS, STATES = 4, 8
-#: Documents (lowest hashes of doc_id) that the clusters of the first model are drawn from.
-START_SAMPLE = 2000
+#: Rounds of the clusters (each over all training documents), and the least tokens of a text
+#: that one of them begins with (shorter ones only if there is no other).
+CLUSTER_ROUNDS, LEAST_SEED = 5, 50
 #: Training rounds: the share of the training documents (by hash) that each one sums over.
-ROUNDS = (8, 8, 8, 1, 1)
+ROUNDS = (1, 1, 1, 1, 1)
 #: Tokens of a training segment (texts are scored whole).
 SEGMENT = 256
-#: Tokens scored at once in a task.
+#: Tokens trained on, and scored, at once in a task.
+TRAINED = 500_000
 SCORED = 3_000_000
 ADD = 0.1
 
@@ -300,75 +302,112 @@ def segments(first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.repeat(first, parts) + offset, np.minimum(SEGMENT, np.repeat(size, parts) - offset), offset == 0
 
 
+def symbols(training: DataFrame, words: Words) -> DataFrame:
+    """(doc_id, text) of ``training``; the text is its symbols with the end (32-bit integers)."""
+    shared = training.sparkSession.sparkContext.broadcast(words)
+
+    def run(parts: Iterator[Chunk]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for _, _, _, symbol, _, size in sequences(iter([part]), shared.value, 0):
+                yield record(doc_id=part.column("doc_id"), text=binaries(symbol, size))
+
+    return map_chunks(training, run, "doc_id long, text binary")
+
+
+def bags(parts: Iterator[Chunk], limit: int) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
+    """(doc_id, symbol, first, size) of rows of ``symbols``, about ``limit`` tokens at a time."""
+    held: list[Chunk] = []
+
+    def out():
+        size = np.concatenate([np.diff(p.bounds) for p in held]) // 4
+        return pa.concat_arrays([p.column("doc_id") for p in held]), np.concatenate([p.data for p in held]).view(np.int32), np.cumsum(size) - size, size
+
+    for part in parts:
+        held.append(part)
+        if sum(len(p.data) for p in held) >= 4 * limit:
+            yield out()
+            held.clear()
+    if held:
+        yield out()
+
+
+def summed(written_symbols: DataFrame, fn: Callable[..., tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray] | None:
+    """Sums of ``fn(symbol, first, size)`` (some numbers, and a table with a row for each symbol)
+    over all texts, by symbol block; None without texts."""
+    width = 1024
+
+    def count(parts: Iterator[Chunk]) -> Iterator[pa.RecordBatch]:
+        sums = None
+        for _, symbol, first, size in bags(parts, TRAINED):
+            own = fn(symbol, first, size)
+            sums = own if sums is None else tuple(a + b for a, b in zip(sums, own))
+        if sums is not None:
+            few, table = sums
+            blocks = [table[lo:lo + width] for lo in range(0, len(table), width)]
+            task = TaskContext.get().partitionId()
+            yield record(block=pa.array(range(-1, len(blocks)), pa.int32()), task=pa.array([task] * (len(blocks) + 1), pa.int32()),
+                         data=[few.tobytes(), *[b.astype(np.float32).tobytes() for b in blocks]])
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, rows in _runs(batches, "block"):
+            sums = 0.0
+            for row in rows:
+                sums = sums + np.frombuffer(row["data"], np.float64 if block < 0 else np.float32).astype(np.float64)
+            yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "data": [sums.tobytes()]})
+
+    sums = map_chunks(written_symbols, count, "block int, task int, data binary").repartition("block").sortWithinPartitions("block", "task")
+    found = {r.block: np.frombuffer(bytes(r.data), np.float64) for r in sums.mapInArrow(total, "block int, data binary").collect()}
+    return (found[-1], np.concatenate([found[b] for b in sorted(found) if b >= 0])) if found else None
+
+
 def trained(docs: DataFrame, words: Words, rounds: tuple[int, ...] = ROUNDS) -> Model:
     """Baum-Welch over partitions: every round's expected counts are summed by symbol block."""
     spark = docs.sparkSession
-    training = texts(docs).where(fold("doc_id", FOLDS) != 0)
+    training = written(symbols(texts(docs).where(fold("doc_id", FOLDS) != 0), words), "hmm-symbols")
     model = first_model(training, words)
-    width = 1024
     for share in rounds:
-        shared = spark.sparkContext.broadcast((words, model))
-
-        def count(parts: Iterator[Chunk], shared=shared) -> Iterator[pa.RecordBatch]:
-            words, model = shared.value
-            sums = None
-            for _, _, _, symbol, first, size in sequences(parts, words, 500_000):
-                own = expected(model, symbol, *segments(first, size))
-                sums = own if sums is None else tuple(a + b for a, b in zip(sums, own))
-            if sums is not None:
-                start, steps, shown = sums
-                blocks = [shown[lo:lo + width] for lo in range(0, len(shown), width)]
-                task = TaskContext.get().partitionId()
-                yield record(block=pa.array(range(-1, len(blocks)), pa.int32()), task=pa.array([task] * (len(blocks) + 1), pa.int32()),
-                             data=[np.concatenate([start, steps.ravel()]).tobytes(), *[b.astype(np.float32).tobytes() for b in blocks]])
-
-        def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for block, rows in _runs(batches, "block"):
-                sums = 0.0
-                for row in rows:
-                    sums = sums + np.frombuffer(row["data"], np.float64 if block < 0 else np.float32).astype(np.float64)
-                yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "data": [sums.tobytes()]})
+        shared = spark.sparkContext.broadcast(model)
+
+        def count(symbol: np.ndarray, first: np.ndarray, size: np.ndarray, shared=shared) -> tuple[np.ndarray, np.ndarray]:
+            start, steps, shown = expected(shared.value, symbol, *segments(first, size))
+            return np.concatenate([start, steps.ravel()]), shown
 
         some = training.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0) if share > 1 else training
-        sums = map_chunks(some, count, "block int, task int, data binary").repartition("block").sortWithinPartitions("block", "task")
-        found = {r.block: np.frombuffer(bytes(r.data), np.float64) for r in sums.mapInArrow(total, "block int, data binary").collect()}
-        if found:
-            shown = np.concatenate([found[b] for b in sorted(found) if b >= 0]).reshape(-1, STATES)
-            model = renewed(words, found[-1][:STATES], found[-1][STATES:].reshape(STATES, STATES), shown)
+        found = summed(some, count)
+        if found is not None:
+            few, shown = found
+            model = renewed(words, few[:STATES], few[STATES:].reshape(STATES, STATES), shown.reshape(-1, STATES))
     return model
 
 
 def first_model(training: DataFrame, words: Words) -> Model:
-    """Two states (frequent and other symbols) for each of CLUSTERS clusters of sampled texts."""
-    shared = training.sparkSession.sparkContext.broadcast(words)
-    chosen = F.broadcast(training.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(START_SAMPLE).distinct())
-
-    def bags(parts: Iterator[Chunk]) -> Iterator[pa.RecordBatch]:
-        for chunks, _, _, symbol, first, size in sequences(parts, shared.value, 500_000):
-            ids = pa.concat_arrays([c.column("doc_id") for c in chunks])
-            yield record(doc_id=ids, bag=pa.array([symbol[a:a + n].tobytes() for a, n in zip(first, size)], pa.binary()))
-
-    rows = map_chunks(training.join(chosen, "doc_id"), bags, "doc_id long, bag binary").orderBy("doc_id", "bag").limit(2 * START_SAMPLE).collect()
-    lists = [np.frombuffer(bytes(r.bag), np.int32) for r in rows]
+    """Two states (frequent and other symbols) for each of CLUSTERS clusters of the texts of
+    ``symbols``. A cluster begins with one text, of all texts the one that the clusters so far
+    fit worst (the first: the longest text), and is then a mixture component of all texts."""
+    context = training.sparkSession.sparkContext
     base = words.unigram()
-    size = np.array([len(x) for x in lists], np.int64)
-    of, symbol = np.repeat(np.arange(len(lists)), size), np.concatenate(lists) if lists else np.empty(0, np.int32)
-    mix = np.tile(base, (CLUSTERS, 1))
-    if len(lists) >= CLUSTERS:
-        seeds = [int(size.argmax())]  # each next one: the text that the clusters so far fit worst
-        for c in range(1, CLUSTERS):
-            for i, s in enumerate(seeds):
-                mix[i] = 0.5 * base + 0.5 * np.bincount(lists[s], minlength=len(base)) / size[s]
-            fit = np.stack([np.bincount(of, np.log(m[symbol] / base[symbol]), len(lists)) for m in mix[:c]]).max(axis=0) / np.maximum(size, 50)
-            seeds.append(int(np.where(size >= 50, fit, np.inf).argmin()) if (size >= 50).any() else c)
-        for i, s in enumerate(seeds):
-            mix[i] = 0.5 * base + 0.5 * np.bincount(lists[s], minlength=len(base)) / size[s]
-        for _ in range(10):
-            fit = np.stack([np.bincount(of, np.log(m[symbol]), len(lists)) for m in mix])
+    mix = np.empty((0, len(base)))
+    for _ in range(CLUSTERS):
+        seed = _worst(training, context.broadcast(np.log(mix / base)))
+        if seed is None:
+            mix = np.tile(base, (CLUSTERS, 1))
+            break
+        mix = np.concatenate([mix, [0.5 * base + 0.5 * np.bincount(seed, minlength=len(base)) / len(seed)]])
+    for _ in range(CLUSTER_ROUNDS):
+        shared = context.broadcast(np.log(mix))
+
+        def count(symbol: np.ndarray, first: np.ndarray, size: np.ndarray, shared=shared) -> tuple[np.ndarray, np.ndarray]:
+            fit = np.stack([np.add.reduceat(m[symbol], first) for m in shared.value])
             weight = np.exp(fit - fit.max(axis=0))
             weight /= weight.sum(axis=0)
-            mix = np.stack([np.bincount(symbol, w[of], len(base)) + 0.01 * size.sum() / CLUSTERS * base for w in weight])
-            mix /= mix.sum(axis=1, keepdims=True)
+            return weight @ size, np.stack([np.bincount(symbol, np.repeat(w, size), len(base)) for w in weight], axis=1)
+
+        found = summed(training, count)
+        if found is None:
+            break
+        tokens, table = found
+        mix = table.reshape(-1, CLUSTERS).T + 0.01 * tokens.sum() / CLUSTERS * base
+        mix /= mix.sum(axis=1, keepdims=True)
     often = np.zeros(len(base), bool)
     often[np.argsort(-base, kind="stable")[:256]] = True
     shown = np.stack([m * np.where(often == side, 1.0, 0.2) for m in mix for side in (True, False)], axis=1)
@@ -377,6 +416,25 @@ def first_model(training: DataFrame, words: Words) -> Model:
     return Model(np.full(STATES, 1 / STATES), step / step.sum(axis=1, keepdims=True), shown / shown.sum(axis=0))
 
 
+def _worst(training: DataFrame, shared) -> np.ndarray | None:
+    """The symbols of the text with the least log-odds a token in its best cluster (without a
+    cluster: the longest text), ties by doc_id; a task hands on its own worst text only."""
+
+    def find(parts: Iterator[Chunk]) -> Iterator[pa.RecordBatch]:
+        best = None
+        for ids, symbol, first, size in bags(parts, TRAINED):
+            fit = np.stack([np.add.reduceat(m[symbol], first) for m in shared.value]).max(axis=0) / np.maximum(size, LEAST_SEED) if len(shared.value) else -size.astype(float)
+            short, ids = size < LEAST_SEED, ids.fill_null(-1).to_numpy()
+            at = np.lexsort((ids, fit, short))[0]
+            own = bool(short[at]), float(fit[at]), int(ids[at]), symbol[first[at]:first[at] + size[at]].tobytes()
+            best = own if best is None else min(best, own)
+        if best is not None:
+            yield record(**{name: [x] for name, x in zip(("short", "fit", "doc_id", "text"), best)})
+
+    rows = map_chunks(training, find, "short boolean, fit double, doc_id long, text binary").orderBy("short", "fit", "doc_id", "text").limit(1).collect()
+    return np.frombuffer(bytes(rows[0].text), np.int32) if rows else None
+
+
 # ---------------------------------------------------------------- scores
 
 def scores(docs: DataFrame, rounds: tuple[int, ...] = ROUNDS, limit: int = FREQUENT) -> DataFrame:

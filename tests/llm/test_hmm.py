@@ -103,6 +103,22 @@ def test_score_is_the_model_s_probability_of_the_text(spark, monkeypatch):
     assert 0 < len(words.keys) <= 6
 
 
+def test_training_is_over_all_documents(spark, monkeypatch):
+    """A kind of text found only in the last few documents (by hash) still shapes a state."""
+    assert set(hmm.ROUNDS) == {1}
+    ids = [r.id for r in spark.sql("select id from range(5000) where crc32(cast(cast(id as string) as binary)) % 10 <> 0 order by xxhash64(id)").collect()]
+    rng = np.random.default_rng(5)
+    common, rare = [f"w{i}" for i in range(40)], [f"r{i}" for i in range(20)]
+    docs = [(d, " ".join(rng.choice(rare if at >= len(ids) - 5 else common, 60))) for at, d in enumerate(ids)]
+    seen = []
+    real = hmm.first_model
+    monkeypatch.setattr(hmm, "first_model", lambda t, w: seen.append((w, real(t, w))) or seen[-1][1])
+    hmm.scores(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), rounds=()).count()
+    words, model = seen[0]
+    at = [words.lookup(hmm.Tokens(next(hmm_chunk(w))))[0][0] for w in rare]
+    assert model.shown[at].sum(axis=0).max() > 100 * words.unigram()[at].sum()
+
+
 def hmm_chunk(word):
     import pyarrow as pa
 
