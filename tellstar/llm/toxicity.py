@@ -149,23 +149,24 @@ class Voters:
         return np.concatenate([lexicon, several, np.stack(fixed, axis=1), patterns(part, forms.words)], axis=1).astype(np.int8)
 
 
-def label_model(votes: np.ndarray, prior: float, label: np.ndarray, rounds: int = 12) -> np.ndarray:
+def label_model(votes: np.ndarray, prior: float, label: np.ndarray, rounds: int = 12, force: np.ndarray | None = None) -> np.ndarray:
     """Posterior chance of the positive class for each row of 0/1 votes.
 
     Expectation maximisation of a two-class model. A voter's rates in the classes are its
     accuracy. Correlations of the votes' residuals within the classes measure dependence; a
     voter's evidence is divided by one plus its squared correlations with the others, so that
     copies of one voter count about once. The row's own label is a voter of known accuracy,
-    which fixes the names of the classes."""
+    which fixes the names of the classes. A row of force n (1 if not given) counts like n rows."""
     if not len(votes):
         return np.empty(0)
     own = OWN_LABEL * (2.0 * label - 1)
     x, p = votes.astype(float), 1 / (1 + np.exp(-own))
+    force = np.ones(len(x)) if force is None else force
     for _ in range(rounds):
-        rate = [((w[:, None] * x).sum(axis=0) + 0.5) / (w.sum() + 1) for w in (1 - p, p)]
+        rate = [((w[:, None] * x).sum(axis=0) + 0.5) / (w.sum() + 1) for w in (force * (1 - p), force * p)]
         rest = x - np.outer(1 - p, rate[0]) - np.outer(p, rate[1])
-        spread = np.sqrt((rest ** 2).mean(axis=0)) + 1e-9
-        linked = (rest.T @ rest) / len(x) / np.outer(spread, spread)
+        spread = np.sqrt(force @ rest ** 2 / force.sum()) + 1e-9
+        linked = (rest.T @ (force[:, None] * rest)) / force.sum() / np.outer(spread, spread)
         np.fill_diagonal(linked, 0)
         trust = 1 / (1 + (linked ** 2).sum(axis=1))
         yes, no = np.log(rate[1] / rate[0]), np.log((1 - rate[1]) / (1 - rate[0]))
@@ -174,11 +175,13 @@ def label_model(votes: np.ndarray, prior: float, label: np.ndarray, rounds: int
     return p
 
 
-def linear(first: np.ndarray, slot: np.ndarray, target: np.ndarray, passes: int = 20, rate: float = 0.15, lasso: float = 1e-3, batch: int = 128) -> tuple[np.ndarray, float]:
+def linear(first: np.ndarray, slot: np.ndarray, target: np.ndarray, passes: int = 20, rate: float = 0.15, lasso: float = 1e-3, batch: int = 128, known: np.ndarray | None = None) -> tuple[np.ndarray, float]:
     """Weights and offset of a logistic model of soft targets on distinct slots, by adaptive
-    gradients with a lasso step, so that few slots keep a weight. Both classes weigh the same."""
-    share = np.clip(target.mean(), 0.01, 0.99) if len(target) else 0.5
-    force = target * 0.5 / share + (1 - target) * 0.5 / (1 - share)
+    gradients with a lasso step, so that few slots keep a weight. Both classes weigh the same;
+    ``known`` has the rows that each row stands for."""
+    known = np.ones(len(target)) if known is None else known / known.mean()
+    share = np.clip((known * target).mean(), 0.01, 0.99) if len(target) else 0.5
+    force = known * (target * 0.5 / share + (1 - target) * 0.5 / (1 - share))
     weight, seen = np.zeros(SPACE), np.full(SPACE, 1e-6)
     offset = 0.0
     rng = np.random.default_rng(0)
@@ -250,9 +253,9 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Lin
     lists = [np.frombuffer(s, np.int32) for s in rows.column("slots").to_pylist()]
     first = np.concatenate(([0], np.cumsum([len(x) for x in lists])))
     label = rows.column("label").to_numpy()
-    share = (label.sum() + 0.5) / (len(label) + 1)
-    target = label_model(votes, share, label)
-    weight, offset = linear(first, np.concatenate(lists).astype(np.int64) if lists else np.empty(0, np.int64), target)
+    force = np.array([sizes[y] / max(1, (label == y).sum()) for y in (0, 1)])[label]  # labelled ids that a row stands for
+    target = label_model(votes, (sizes[1] + 0.5) / (sizes[0] + sizes[1] + 1), label, force=force)
+    weight, offset = linear(first, np.concatenate(lists).astype(np.int64) if lists else np.empty(0, np.int64), target, known=force)
     kept = np.flatnonzero(weight)
     return Linear(kept, weight[kept], offset)
 

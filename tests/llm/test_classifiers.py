@@ -45,6 +45,27 @@ def test_label_model_weighs_accuracy_and_copies():
     assert (found == truth).mean() > 0.95
 
 
+def test_label_model_counts_a_row_of_force_n_like_n_rows():
+    rng = np.random.default_rng(4)
+    votes, label = (rng.random((300, 6)) < 0.3).astype(np.int8), (rng.random(300) < 0.4).astype(float)
+    force = np.where(label == 1, 1, 3)
+    copies = np.repeat(np.arange(300), force)
+    assert toxicity.label_model(votes, 0.2, label, force=force) == pytest.approx(toxicity.label_model(votes[copies], 0.2, label[copies])[np.cumsum(force) - 1])
+
+
+def test_prior_is_the_labels_share_at_any_sample_size(spark, monkeypatch):
+    seen = []
+    real = toxicity.label_model
+    monkeypatch.setattr(toxicity, "label_model", lambda votes, prior, label, **more: seen.append((prior, label, more)) or real(votes, prior, label, **more))
+    docs = spark.createDataFrame([(i, f"text {i} " + ("idiot" if i % 5 == 0 else "cat")) for i in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(400)], "doc_id long, toxic int")
+    toxicity.train(docs, labels)
+    toxicity.train(docs, labels, per_class=20)
+    (whole, every, _), (prior, label, more) = seen
+    assert prior == whole == pytest.approx((every.sum() + 0.5) / (len(every) + 1))
+    assert len(label) == 40 and [more["force"][label == y].sum() for y in (0, 1)] == pytest.approx([(every == y).sum() for y in (0, 1)])
+
+
 @pytest.mark.parametrize("scores", [quality.scores, toxicity.scores])
 def test_edge_cases(spark, scores):
     rows = [(None, "no id"), (1, None), (2, ""), (3, " \n"), (4, "one"), (4, "One TWO!! |"), (5, "é" * 30000), (6, "word " * 20000)]
