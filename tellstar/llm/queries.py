@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, hmm, packing, quality, sharding, simhash, substring, topk, toxicity
+from . import bpe, decontaminate, hmm, packing, quality, sharding, simhash, substring, topk, toxicity, whitening
 from .folds import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 8 whitened components of every vector."""
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), components=8, scale=1024, offset=100000)
+
+
 REGISTRY: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_quality": op2_quality,
@@ -83,6 +88,7 @@ REGISTRY: dict[str, Query] = {
     "op8_simhash": op8_simhash,
     "op9_decontamination": op9_decontamination,
     "op10_token_counts": op10_token_counts,
+    "op11_whitening": op11_whitening,
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
