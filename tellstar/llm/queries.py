@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, hmm, negatives, packing, quality, sharding, simhash, substring, topk, toxicity, whitening
+from . import bpe, decontaminate, hmm, negatives, neighbours, packing, quality, sharding, simhash, substring, topk, toxicity, whitening
 from .folds import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,11 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mined(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label, positives=5, negatives=5, share=(80, 100), scale=256)
 
 
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every vector whose vec_id is divisible by 20."""
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 REGISTRY: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_quality": op2_quality,
@@ -97,6 +102,7 @@ REGISTRY: dict[str, Query] = {
     "op10_token_counts": op10_token_counts,
     "op11_whitening": op11_whitening,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_neighbours": op13_neighbours,
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
