@@ -6,11 +6,14 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text handled at once inside a task (a longer document is handled alone and whole).
 CHUNK_BYTES = 1 << 20
+#: Most bytes of a word that is hashed by a polynomial.
+LONG = 32
 #: Rows of the Arrow batches that tasks exchange with Python (Spark's default is five times as
 #: many; a batch is held about twice on either side).
 BATCH_ROWS = 2000
@@ -92,12 +95,18 @@ class Words:
         return np.repeat(np.arange(len(self.bounds) - 1), self.counts())
 
     def hashes(self, seed: int = 0) -> np.ndarray:
-        """A 64-bit hash of each word's bytes."""
+        """A 64-bit hash of each word's bytes: a polynomial modulo 2**64 of up to LONG bytes. Longer
+        words are hashed one by one by XXH3 (over many bytes, such polynomials of two words can be
+        equal whatever their multiplier is)."""
         up, down = powers(_ROOTS[seed], len(self.data))
         sums = np.empty(len(self.data) + 1, np.uint64)
         sums[0] = 0
         np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * up[:len(self.data)], out=sums[1:])
-        return mixed((sums[self.end] - sums[self.start]) * down[self.start] + (self.end - self.start).astype(np.uint64))
+        size = self.end - self.start
+        found = mixed((sums[self.end] - sums[self.start]) * down[self.start] + size.astype(np.uint64))
+        for i in np.flatnonzero(size > LONG).tolist():
+            found[i] = xxhash.xxh3_64_intdigest(self.data[self.start[i]:self.end[i]], seed)
+        return found
 
     def get(self, i: int) -> bytes:
         return self.data[self.start[i]:self.end[i]].tobytes()
