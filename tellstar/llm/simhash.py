@@ -264,24 +264,38 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4) -> DataFra
     all doc_ids of the component are null). Copies share one fingerprint and are never paired;
     documents without words share fingerprint 0. Repeated rows stay; an empty table gives none.
     """
-    marks = written(fingerprints(docs, shingle), "simhash-fingerprints")
+    return _classified(docs, shingle, bits).select("doc_id", "fp", "component_id")
+
+
+def _classified(docs: DataFrame, shingle: int, bits: int, *keep: str) -> DataFrame:
+    """(doc_id, fp, root, component_id, kept columns); ``root`` is a component's own fingerprint."""
+    marks = written(fingerprints(docs, shingle, *keep), "simhash-fingerprints")
     lowest = marks.groupBy("fp").agg(F.min("doc_id").alias("lowest"))
     joined = components(links(marks, bits))
     rooted = lowest.join(joined, lowest.fp == joined.node, "left").select("fp", "lowest", F.coalesce("root", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("lowest").alias("component_id"))
-    classes = rooted.join(smallest, "root").select("fp", "component_id")
-    return marks.join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = rooted.join(smallest, "root").select("fp", "root", "component_id")
+    return marks.join(classes, "fp").select("doc_id", "fp", "root", "component_id", *keep)
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, bits: int = 4) -> DataFrame:
-    """``docs`` with one document of each near-duplicate group: the one with its smallest
-    doc_id. Of rows that repeat a doc_id one stays; rows without doc_id all stay."""
-    found = near_duplicates(docs, shingle, bits)
-    keep = found.where("doc_id = component_id or doc_id is null").groupBy(F.col("doc_id").alias("_kept")).count()
-    keep = written(keep, "simhash-kept")
-    rest = docs.join(keep.select("_kept"), docs["doc_id"].eqNullSafe(keep["_kept"]), "left_semi")
-    again = keep.where("count > 1 and _kept is not null").select("_kept")
+    """``docs`` with one document of each near-duplicate group: the one with its smallest doc_id.
+
+    Rows are told apart by doc_id and text, so texts of different groups that share a doc_id all
+    stay. Of a group's rows with its smallest doc_id the one whose text has the smallest hash
+    stays, and of its exact repetitions one. Rows without doc_id all stay."""
+    mark = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    found = _classified(docs.select("doc_id", "text", mark.alias("mark")), shingle, bits, "mark")
+    own = found.where("doc_id = component_id").groupBy("root", "doc_id", "mark").count()
+    first = own.groupBy("root").agg(F.min(F.struct("mark", "count", "doc_id")).alias("m"))
+    keep = written(first.select(F.col("m.doc_id").alias("_kept"), F.col("m.mark").alias("_mark"), F.col("m.count").alias("_rows")), "simhash-kept")
+
+    def meets(other: DataFrame) -> Column:
+        return (docs["doc_id"] == other["_kept"]) & (mark == other["_mark"])
+
+    once, again = keep.where("_rows = 1"), keep.where("_rows > 1")
+    rest = docs.join(once, meets(once), "left_semi").unionByName(docs.where(docs["doc_id"].isNull()))
     if not again.limit(1).count():
         return rest
-    once = rest.join(again, rest["doc_id"] == again["_kept"], "left_anti")
-    return once.unionByName(rest.join(again, rest["doc_id"] == again["_kept"], "left_semi").dropDuplicates(["doc_id"]))
+    repeated = docs.join(again, meets(again), "left_semi")
+    return rest.unionByName(repeated.dropDuplicates(["doc_id", "text"]))

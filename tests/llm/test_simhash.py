@@ -87,3 +87,22 @@ def test_edge_cases(spark):
     assert sorted((r.doc_id or -1) for r in kept.collect()) == [-1, 2, 3, 9]
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
     assert simhash.keep_one(docs.limit(0)).count() == 0
+
+
+A, B, C = ("one text about rivers and hills in spring", "another text on trade and tariffs of late", "a third text with words of its own here")
+
+
+@pytest.mark.parametrize("rows,want", [
+    ([(1, A), (1, B), (2, B)], [(1, A), (1, B)]),
+    ([(1, B), (2, B), (2, A)], [(1, B), (2, A)]),
+    ([(1, A), (1, B), (1, C)], [(1, A), (1, B), (1, C)]),
+    ([(1, A), (1, A), (2, A), (1, B)], [(1, A), (1, B)]),
+    ([(3, A), (3, A), (2, B), (3, B), (None, A), (None, None), (4, None), (5, "")], [(3, A), (2, B), (None, A), (None, None), (4, None)]),
+])
+def test_rows_that_share_a_doc_id_are_told_apart_by_text(spark, rows, want):
+    import corpus_pipeline
+
+    frame = spark.createDataFrame([(d, t, d, i) for i, (d, t) in enumerate(rows)], "doc_id long, text string, _kept long, mark long").repartition(2)
+    got = dict(corpus_pipeline.STAGES)["simhash_near_dedup"](spark, frame, "")
+    assert got.columns == frame.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(want, key=str)
