@@ -20,6 +20,8 @@ from .text import each_in
 
 #: Rows of a tile of queries or of vectors.
 TILE = 1024
+#: Components are held to +-LARGEST when they are scaled.
+LARGEST = float(np.finfo(np.float64).max)
 #: Bytes of query vectors in one block (held by the driver and by every task).
 BLOCK_BYTES = 8 << 20
 
@@ -34,7 +36,9 @@ def whole_numbers(vectors: DataFrame, scale: int = 256) -> DataFrame:
     def floors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bounds, values = _lists(batch.column("v"))
-            new = pa.ListArray.from_arrays(pa.array(bounds - bounds[0], pa.int32()), pa.array(np.floor(scale * values)))
+            with np.errstate(over="ignore"):
+                numbers = np.clip(np.floor(scale * values), -LARGEST, LARGEST)
+            new = pa.ListArray.from_arrays(pa.array(bounds - bounds[0], pa.int32()), pa.array(numbers))
             yield pa.RecordBatch.from_pydict({"vec_id": batch.column("vec_id"), "v": new})
 
     return fine.mapInArrow(floors, "vec_id long, v array<double>")
@@ -58,7 +62,8 @@ def matrices(ids: np.ndarray, column: pa.Array) -> Iterator[tuple[int, np.ndarra
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Integer inner products of rows, exact: in doubles where no sum can leave 2**53, else in
     64-bit integers, else in Python's (held to the range of a long)."""
-    most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
+    with np.errstate(over="ignore"):
+        most = np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * a.shape[1]
     if most < 2.0 ** 53:
         return (a @ b.T).astype(np.int64)
     if most < 2.0 ** 62:
