@@ -6,7 +6,8 @@ symbol; the other words share one symbol per class of spelling (first and last t
 which a word has the smoothed share of its training count. Counts of all words are summed by
 hash bucket over all partitions. The symbols of the training documents are written once; the clusters
 of the first model and every Baum-Welch round are sums over all of them. The likelihood of a
-text is exact: a scaled forward recursion over its whole symbol sequence, for many texts at once.
+text is exact: a scaled forward recursion over its whole symbol sequence, for many texts at once. In
+training, too, a text is one sequence.
 """
 
 from __future__ import annotations
@@ -38,10 +39,10 @@ CLUSTERS, STATES = 4, 8
 CLUSTER_ROUNDS, LEAST_SEED = 5, 50
 #: Training rounds: the share of the training documents (by hash) that each one sums over.
 ROUNDS = (1, 1, 1, 1, 1)
-#: Tokens of a training segment (texts are scored whole).
-SEGMENT = 256
-#: Tokens trained on, and scored, at once in a task.
-TRAINED = 500_000
+#: Tokens of texts that are trained on at once in a task: short texts, and texts of over LENGTHY
+#: tokens (together, so that a step of theirs is worth its overhead); whose values are held at
+#: once; and that are scored at once.
+TRAINED, LENGTHY, LENGTHY_TRAINED, BLOCK = 500_000, 1024, 2_000_000, 2_000_000
 SCORED = 3_000_000
 ADD = 0.1
 
@@ -233,35 +234,111 @@ def forward(model: Model, symbol: np.ndarray, first: np.ndarray, size: np.ndarra
     return out
 
 
-def expected(model: Model, symbol: np.ndarray, first: np.ndarray, size: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected counts (start, steps, shown) of segments; ``begins``: the text's first segment."""
+def expected(model: Model, symbol: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Expected counts (start, steps, shown) of whole sequences (size >= 1).
+
+    The tokens lie step by step: those of step t are one run, longest sequences first, so that a
+    recursion's operand is a slice. Forward and backward values are single precision and keep any
+    scale (brought back every few steps); what they give for a token or a step is divided by its
+    own sum at the end, for all at once. Steps are taken in blocks of about BLOCK tokens: the
+    forward values at each block's start are kept, and the block's own are worked out again."""
     k = len(model.start)
     order = np.argsort(-size, kind="stable")
-    at, size, begins = first[order], size[order], begins[order]
-    live = np.searchsorted(-size, -np.arange(size[0] + 2), side="left")
-    alpha = np.empty((len(symbol), k))
-    scale = np.ones(len(symbol))
-    now = np.where(begins[:, None], model.start, model.steady()) * model.shown[symbol[at]]
-    for t in range(size[0]):
-        n = live[t]
-        if t:
-            now = (now[:n] @ model.step) * model.shown[symbol[at[:n] + t]]
-        total = now.sum(axis=1)
-        now = now / total[:, None]
-        scale[at[:n] + t] = total
-        alpha[at[:n] + t] = now
-    steps = np.zeros((k, k))
-    beta = np.ones((len(at), k))
-    for t in range(size[0] - 2, -1, -1):
-        n = live[t + 1]  # sequences that go on after t
-        where = at[:n] + t
-        ahead = model.shown[symbol[where + 1]] * beta[:n] / scale[where + 1][:, None]
-        steps += alpha[where].T @ ahead
-        beta[:n] = ahead @ model.step.T
-        alpha[where] *= beta[:n]
-    start = alpha[at[begins]].sum(axis=0)
-    shown = np.stack([np.bincount(symbol, alpha[:, s], len(model.shown)) for s in range(k)], axis=1)
-    return start, steps * model.step, shown
+    at, size = first[order], size[order]
+    live = np.searchsorted(-size, -np.arange(size[0] + 1), side="left")  # sequences longer than t
+    peak = model.shown.max(axis=1)
+    table = (model.shown / peak[:, None]).astype(np.float32)
+    least = max(float((model.shown.min(axis=1) / peak).min()), 1e-15)
+    every = max(1, int(15 / max(1.0, -np.log10(least))))  # steps until a sum may lose 15 digits of scale
+    step, back = model.step.astype(np.float32), np.ascontiguousarray(model.step.T.astype(np.float32))
+    one = np.ones(k, np.float32)
+    edges, held = [0], 0
+    for t, n in enumerate(live[:-1].tolist()):
+        held += n
+        if held >= BLOCK and t + 1 < size[0]:
+            edges.append(t + 1)
+            held = 0
+    edges.append(int(size[0]))
+
+    def tokens(lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+        """Bounds of the block's steps, and the symbol of each of its tokens."""
+        widths = live[lo:hi]
+        off = np.concatenate(([0], np.cumsum(widths)))
+        place = np.arange(off[-1]) - np.repeat(off[:-1], widths)
+        return off, symbol[at[place] + np.repeat(np.arange(lo, hi), widths)]
+
+    def forwards(shown: np.ndarray, off: list[int], before: np.ndarray | None, out: np.ndarray) -> None:
+        """Forward values of a block; ``before`` are those of the step before it."""
+        lo, last = 0, len(off) - 2
+        for t, hi in enumerate(off[1:]):
+            now = out[lo:hi]
+            if before is None:
+                np.multiply(shown[lo:hi], model.start.astype(np.float32), out=now)
+            else:
+                np.dot(before[:hi - lo], step, out=now)
+                now *= shown[lo:hi]
+            if t % every == every - 1 or t == last:
+                now /= np.dot(now, one)[:, None]
+            before, lo = now, hi
+
+    kept: list[np.ndarray | None] = [None]  # forward values before each block
+    for lo, hi in zip(edges[:-2], edges[1:-1]):
+        off, own = tokens(lo, hi)
+        alpha = _room("alpha", off[-1], k)
+        forwards(np.take(table, own, axis=0, out=_room("ahead", off[-1], k), mode="clip"), off.tolist(), kept[-1], alpha)
+        kept.append(alpha[off[-2]:].copy())
+    start, steps, counts = np.zeros(k), np.zeros((k, k)), np.zeros((len(model.shown), k))
+    after = np.empty((0, k), np.float32)  # of the step after the block: shown times backward values
+    for lo, hi, before in zip(edges[-2::-1], edges[:0:-1], kept[::-1]):
+        bounds, own = tokens(lo, hi)
+        off = bounds.tolist()
+        alpha, beta = _room("alpha", off[-1], k), _room("beta", off[-1], k)
+        ahead = np.take(table, own, axis=0, out=_room("ahead", off[-1], k), mode="clip")
+        forwards(ahead, off, before, alpha)
+        for t in range(hi - lo - 1, -1, -1):
+            now, n = beta[off[t]:off[t + 1]], len(after)
+            if n:
+                some = now[:n]
+                np.dot(after, back, out=some)
+                if t % every == every - 1 or t == 0:
+                    some /= np.dot(some, one)[:, None]
+            now[n:] = 1
+            after = ahead[off[t]:off[t + 1]]
+            after *= now
+        after = after.copy()  # the room is used again
+        if before is not None:
+            steps += _pairs(before[:off[1]], ahead[:off[1]], step)
+        # steps with as many sequences lie one behind the other, and so do the steps before them
+        runs = np.flatnonzero(np.diff(np.diff(bounds), prepend=-1)).tolist() + [hi - lo]
+        for a, b in zip(runs[:-1], runs[1:]):
+            if a:
+                steps += _pairs(alpha[off[a - 1]:off[a - 1] + off[a + 1] - off[a]], ahead[off[a]:off[a + 1]], step)
+            if b - a > 1:
+                steps += _pairs(alpha[off[a]:off[b - 1]], ahead[off[a + 1]:off[b]], step)
+        alpha *= beta
+        alpha /= np.dot(alpha, one)[:, None]
+        if lo == 0:
+            start += alpha[:off[1]].sum(axis=0, dtype=np.float64)
+        for s in range(k):
+            counts[:, s] += np.bincount(own, alpha[:, s], len(counts))
+    return start, steps * model.step, counts
+
+
+_rooms: dict[str, np.ndarray] = {}
+
+
+def _room(name: str, rows: int, columns: int) -> np.ndarray:
+    """Memory that the worker uses again for each batch (new pages cost more than the sums)."""
+    held = _rooms.get(name)
+    if held is None or held.size < rows * columns:
+        held = _rooms[name] = np.empty(rows * columns, np.float32)
+    return held[:rows * columns].reshape(rows, columns)
+
+
+def _pairs(alpha: np.ndarray, ahead: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """Sum over pairs of tokens of their states' joint share, without the step probability."""
+    total = np.einsum("ij,ij->i", np.dot(alpha, step), ahead)
+    return np.dot(alpha.T, ahead / total[:, None]).astype(np.float64)
 
 
 def renewed(words: Words, start: np.ndarray, steps: np.ndarray, shown: np.ndarray) -> Model:
@@ -295,13 +372,6 @@ def sequences(parts: Iterator[Chunk], words: Words, limit: int) -> Iterator[tupl
         yield out()
 
 
-def segments(first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of at most SEGMENT tokens: first, size, and whether a text begins there."""
-    parts = -(-size // SEGMENT)
-    offset = each_in(np.zeros(len(parts), np.int64), parts) * SEGMENT
-    return np.repeat(first, parts) + offset, np.minimum(SEGMENT, np.repeat(size, parts) - offset), offset == 0
-
-
 def symbols(training: DataFrame, words: Words) -> DataFrame:
     """(doc_id, text) of ``training``; the text is its symbols with the end (32-bit integers)."""
     shared = training.sparkSession.sparkContext.broadcast(words)
@@ -314,21 +384,28 @@ def symbols(training: DataFrame, words: Words) -> DataFrame:
     return map_chunks(training, run, "doc_id long, text binary")
 
 
-def bags(parts: Iterator[Chunk], limit: int) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
-    """(doc_id, symbol, first, size) of rows of ``symbols``, about ``limit`` tokens at a time."""
-    held: list[Chunk] = []
+def bags(parts: Iterator[Chunk]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
+    """(doc_id, symbol, first, size) of rows of ``symbols``: batches of short texts, and of long."""
+    held: dict[bool, list[tuple[pa.Array, np.ndarray, np.ndarray]]] = {False: [], True: []}
 
-    def out():
-        size = np.concatenate([np.diff(p.bounds) for p in held]) // 4
-        return pa.concat_arrays([p.column("doc_id") for p in held]), np.concatenate([p.data for p in held]).view(np.int32), np.cumsum(size) - size, size
+    def out(kind: bool):
+        ids, symbol, size = zip(*held[kind])
+        held[kind].clear()
+        size = np.concatenate(size)
+        return pa.concat_arrays(ids), np.concatenate(symbol), np.cumsum(size) - size, size
 
     for part in parts:
-        held.append(part)
-        if sum(len(p.data) for p in held) >= 4 * limit:
-            yield out()
-            held.clear()
-    if held:
-        yield out()
+        size, symbol = np.diff(part.bounds) // 4, np.ascontiguousarray(part.data).view(np.int32)
+        ids = part.column("doc_id")
+        for kind, limit in ((False, TRAINED), (True, LENGTHY_TRAINED)):
+            some = (size > LENGTHY) == kind
+            if some.any():
+                held[kind].append((ids.filter(pa.array(some)), symbol if some.all() else symbol[np.repeat(some, size)], size[some]))
+                if sum(len(x[1]) for x in held[kind]) >= limit:
+                    yield out(kind)
+    for kind in held:
+        if held[kind]:
+            yield out(kind)
 
 
 def summed(written_symbols: DataFrame, fn: Callable[..., tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray] | None:
@@ -338,7 +415,7 @@ def summed(written_symbols: DataFrame, fn: Callable[..., tuple[np.ndarray, np.nd
 
     def count(parts: Iterator[Chunk]) -> Iterator[pa.RecordBatch]:
         sums = None
-        for _, symbol, first, size in bags(parts, TRAINED):
+        for _, symbol, first, size in bags(parts):
             own = fn(symbol, first, size)
             sums = own if sums is None else tuple(a + b for a, b in zip(sums, own))
         if sums is not None:
@@ -369,7 +446,7 @@ def trained(docs: DataFrame, words: Words, rounds: tuple[int, ...] = ROUNDS) ->
         shared = spark.sparkContext.broadcast(model)
 
         def count(symbol: np.ndarray, first: np.ndarray, size: np.ndarray, shared=shared) -> tuple[np.ndarray, np.ndarray]:
-            start, steps, shown = expected(shared.value, symbol, *segments(first, size))
+            start, steps, shown = expected(shared.value, symbol, first, size)
             return np.concatenate([start, steps.ravel()]), shown
 
         some = training.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0) if share > 1 else training
@@ -422,7 +499,7 @@ def _worst(training: DataFrame, shared) -> np.ndarray | None:
 
     def find(parts: Iterator[Chunk]) -> Iterator[pa.RecordBatch]:
         best = None
-        for ids, symbol, first, size in bags(parts, TRAINED):
+        for ids, symbol, first, size in bags(parts):
             fit = np.stack([np.add.reduceat(m[symbol], first) for m in shared.value]).max(axis=0) / np.maximum(size, LEAST_SEED) if len(shared.value) else -size.astype(float)
             short, ids = size < LEAST_SEED, ids.fill_null(-1).to_numpy()
             at = np.lexsort((ids, fit, short))[0]

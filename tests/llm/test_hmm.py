@@ -64,9 +64,49 @@ def test_forward_equals_sum_over_paths_and_expected_counts():
         logs.append(math.log10(total))
         start, steps, shown = start + s / total, steps + st / total, shown + sh / total
     assert hmm.forward(model, symbol, first, size) == pytest.approx(logs)
-    got = hmm.expected(model, symbol, first, size, np.ones(4, bool))
+    got = hmm.expected(model, symbol, first, size)
     for a, b in zip(got, (start, steps, shown)):
-        assert np.allclose(a, b)
+        assert np.allclose(a, b, rtol=1e-5, atol=1e-6)
+
+
+def plain_counts(model, texts):
+    """Expected counts by double-precision recursions over one text after the other."""
+    k = len(model.start)
+    start, steps, shown = np.zeros(k), np.zeros((k, k)), np.zeros(model.shown.shape)
+    for text in texts:
+        e = model.shown[text]
+        alpha, beta = np.zeros((len(text), k)), np.ones((len(text), k))
+        for t in range(len(text)):
+            alpha[t] = e[t] * (model.start if t == 0 else alpha[t - 1] @ model.step)
+            alpha[t] /= alpha[t].sum()
+        for t in range(len(text) - 2, -1, -1):
+            beta[t] = model.step @ (e[t + 1] * beta[t + 1])
+            beta[t] /= beta[t].sum()
+            pair = alpha[t][:, None] * model.step * (e[t + 1] * beta[t + 1])
+            steps += pair / pair.sum()
+        post = alpha * beta
+        post /= post.sum(axis=1, keepdims=True)
+        start += post[0]
+        np.add.at(shown, text, post)
+    return start, steps, shown
+
+
+@pytest.mark.parametrize("together", [1_000_000, 900, 40])
+def test_counts_of_long_texts_in_any_blocks(monkeypatch, together):
+    """Texts of thousands of tokens are one sequence, also where a block of steps ends in them;
+    emissions differ by many orders of magnitude between states."""
+    monkeypatch.setattr(hmm, "BLOCK", together)
+    rng = np.random.default_rng(together)
+    model = random_model(rng, 50, 8)
+    model.shown = rng.random((50, 8)) ** 12 + 1e-9
+    model.shown /= model.shown.sum(axis=0)
+    model.step = 0.97 * np.eye(8) + 0.03 * model.step
+    texts = [rng.integers(0, 50, n) for n in (1, 700, 3000, 2, 700, 255, 256, 257, 1, 513)]
+    size = np.array([len(t) for t in texts])
+    got = hmm.expected(model, np.concatenate(texts).astype(np.int32), np.cumsum(size) - size, size)
+    for a, b in zip(got, plain_counts(model, texts)):
+        assert np.allclose(a, b, rtol=2e-4, atol=2e-3)
+    assert got[0].sum() == pytest.approx(10, rel=1e-5) and got[1].sum() == pytest.approx((size - 1).sum(), rel=1e-5) and got[2].sum() == pytest.approx(size.sum(), rel=1e-5)
 
 
 def test_score_is_the_model_s_probability_of_the_text(spark, monkeypatch):
