@@ -10,11 +10,13 @@ Raw layout under ``raw_dir``::
     model_pricing/     versioned snapshot (upsert by provider)
 
 Everything is set-based: all runs of a pass are scanned, parsed and written by one job, into a
-folder that no manifest names yet. The commit of the next manifest snapshot (one rename) makes
-the manifests and the answers of the pass visible together; until then, and if anything fails
-before it, readers see the old rows. Nothing is deleted by a pass: rows of replaced runs stay in
-their old pass folders, unseen, until ``vacuum_answers`` removes folders that no kept manifest
-version names. The driver makes no call per run.
+folder that no manifest names yet. The commit of the next manifest snapshot (one rename, see
+``sources/tables.py``) makes the manifests and the answers of the pass visible together; until
+then, and if anything fails before it, readers see the old rows. If another writer commits first,
+the snapshot is merged again with that writer's rows. Nothing that may be committed is deleted:
+a pass removes its own folder only when its commit has certainly not taken effect, and rows of
+replaced runs stay in their old pass folders, unseen, until ``vacuum_answers`` removes folders
+that no kept manifest version names. The driver makes no call per run.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.sql import types as T
 from ..functions.jsonx import stext, strict_struct
 from ..sources import fs
 from ..sources import landing_files as lf
-from ..sources.tables import latest_version, read_table, table_exists, write_snapshot
+from ..sources.tables import KEEP_SECONDS, CommitUnknown, best_effort, read_table, snapshot_path, table_exists, update_snapshot, versions
 from ..session import workspace_dir
 from .joins import broadcast_if_small
 
@@ -77,15 +79,16 @@ def read_raw(spark: SparkSession, raw_dir: str, table: str) -> DataFrame:
     return rows.join(live, ["run_id", PASS_COL], "left_semi").select(*SCORED_ANSWER_SCHEMA.fieldNames())
 
 
-def vacuum_answers(spark: SparkSession, raw_dir: str) -> int:
-    """Deletes the pass folders that no kept manifest version names; returns how many. Call it
-    when no landing pass is running (a pass's folder has no name before its commit)."""
-    from ..sources.tables import _versions
-
+def vacuum_answers(spark: SparkSession, raw_dir: str, older_than: float = KEEP_SECONDS) -> int:
+    """Deletes the pass folders that no kept manifest version names; returns how many. A folder has
+    no name before its pass commits, so only folders of ``older_than`` seconds go (0: when no
+    landing pass is running)."""
+    mpath = raw_path(raw_dir, "run_manifest")
+    folders = [c for c in fs.list_dir(spark, raw_path(raw_dir, "scored_answer")) if f"{PASS_COL}=" in c and fs.age_seconds(spark, c) >= older_than]
     named: set[str] = set()
-    for _, folder in _versions(spark, raw_path(raw_dir, "run_manifest")):
-        named |= {r[0] for r in spark.read.parquet(folder).select(PASS_COL).distinct().collect()}
-    old = [c for c in fs.list_dir(spark, raw_path(raw_dir, "scored_answer")) if f"{PASS_COL}=" in c and c.rstrip("/").rsplit("=", 1)[1] not in named]
+    for entry in versions(spark, mpath):
+        named |= {r[0] for r in spark.read.parquet(snapshot_path(mpath, entry)).select(PASS_COL).distinct().collect()}
+    old = [c for c in folders if c.rstrip("/").rsplit("=", 1)[1] not in named]
     for folder in old:
         fs.delete(spark, folder)
     return len(old)
@@ -223,23 +226,20 @@ def land_runs(
     ones, as a delete-then-insert would. The new answers go to a folder of this pass and are
     checked there (K6: unique non-null (run_id, question_id), read back column-pruned). Then one
     commit of the manifest snapshot shows manifests and answers together; a refused or failed
-    pass leaves all old rows readable and raises. Two passes at once cannot both commit: the
-    later one raises and can be repeated.
+    pass leaves all old rows readable and raises. Of two passes at once the later one merges its
+    manifests again with the other's; both land.
 
     ``manifests`` (run_id, batch, source_uri, payload) restricts the pass to those runs
     (incremental landing); by default every run under ``root`` is landed. A run whose landed
     manifest is from a newer batch is left as it is.
 
     ``buckets`` deals the rows to that many files by run (lines of a very long run to several),
-    for many runs that are read one by one; by default each task writes what it has read."""
+    for many runs that are read one by one; by default each task writes what it has read.
+    Returns the runs and answers that the pass has landed."""
     mpath, answers_dir = raw_path(raw_dir, "run_manifest"), raw_path(raw_dir, "scored_answer")
-    base = latest_version(spark, mpath)
-    old = read_table(spark, mpath) if table_exists(spark, mpath) else None
     manifests, records = incoming_runs(spark, root, manifests)
-    if old is not None:
-        landed = old.select("run_id", lf.folder_of(lf.relative_uri("source_uri", root)).alias("_landed"))
-        newer = manifests.join(landed, "run_id").where(F.col("_landed") > F.col("batch")).select("run_id")
-        manifests = manifests.join(newer, "run_id", "left_anti").checkpoint(eager=True)
+    if table_exists(spark, mpath):
+        manifests = _not_older(manifests, read_table(spark, mpath), root).checkpoint(eager=True)
         records = records.join(manifests.select("run_id"), "run_id", "left_semi")
     missing = missing_records(spark, root, manifests)
     missing_ids = [r.run_id for r in missing.limit(20).collect()]
@@ -255,21 +255,39 @@ def land_runs(
     rows = records.withColumn("loaded_at", now).select(*SCORED_ANSWER_SCHEMA.fieldNames())
     if buckets:
         rows = rows.repartition(buckets, "run_id", F.floor(F.col("line_no") / LINES_TOGETHER))
+    landed: dict[str, int] = {}
+
+    def merged(old: DataFrame | None) -> DataFrame:
+        """The old manifests (as of this attempt) with those of the pass in their place."""
+        own = manifests if old is None else _not_older(manifests, old, root)
+        new = own.select("run_id", "source_uri", now.alias("loaded_at"), "payload", F.lit(this_pass).alias(PASS_COL))
+        return new if old is None else old.join(new.select("run_id"), "run_id", "left_anti").unionByName(new)
+
+    def checked(written: DataFrame) -> None:
+        pk_guard(["run_id"], "run_manifest")(written)
+        own = written.where(F.col(PASS_COL) == this_pass)
+        landed["runs"] = own.count()
+        # as many as were written, unless a newer batch was landed meanwhile
+        landed["records"] = staged.join(own.select("run_id"), "run_id", "left_semi").count()
+
     try:
         rows.write.parquet(folder)
         staged = spark.read.schema(SCORED_ANSWER_SCHEMA).parquet(folder)
         pk_guard(["run_id", "question_id"], "scored_answer")(staged)
-        n_records = staged.count()
-        new_manifests = manifests.select("run_id", "source_uri", now.alias("loaded_at"), "payload", F.lit(this_pass).alias(PASS_COL))
-        merged = new_manifests
-        if old is not None:
-            merged = old.join(new_manifests.select("run_id"), "run_id", "left_anti").unionByName(new_manifests)
-        target = write_snapshot(merged, mpath, check=pk_guard(["run_id"], "run_manifest"), base=base)
-    except BaseException:
-        fs.delete(spark, folder)  # no manifest names it
+        update_snapshot(spark, mpath, merged, check=checked)
+    except CommitUnknown:
+        raise  # a manifest may name the folder
+    except Exception:  # the commit has not taken effect; an interrupt leaves the folder to vacuum_answers
+        best_effort(fs.delete, spark, folder)
         raise
-    n_runs = spark.read.parquet(target).where(F.col(PASS_COL) == this_pass).count()
-    return {"runs": n_runs, "records": n_records}
+    return landed
+
+
+def _not_older(manifests: DataFrame, landed: DataFrame, root: str) -> DataFrame:
+    """The manifests but those of runs that are landed from a newer batch."""
+    known = landed.select("run_id", lf.folder_of(lf.relative_uri("source_uri", root)).alias("_landed"))
+    newer = manifests.join(known, "run_id").where(F.col("_landed") > F.col("batch")).select("run_id")
+    return manifests.join(newer, "run_id", "left_anti")
 
 
 # ---------------------------------------------------------------- shared inputs (K2-K4)
@@ -284,24 +302,31 @@ def land_questions(spark: SparkSession, root: str, raw_dir: str) -> int:
         F.current_timestamp().alias("loaded_at"),
         "payload",
     )
-    target = write_snapshot(q, raw_path(raw_dir, "question"), check=pk_guard(["question_id"], "question"))
-    return spark.read.parquet(target).count()
+    rows: list[int] = []
+
+    def checked(written: DataFrame) -> None:
+        pk_guard(["question_id"], "question")(written)
+        rows.append(written.count())
+
+    update_snapshot(spark, raw_path(raw_dir, "question"), lambda old: q, check=checked)
+    return rows[-1]
 
 
 def upsert(spark: SparkSession, incoming: DataFrame, path: str, key: str, table: str) -> int:
-    """K3/K4: incoming rows replace rows with the same key; other rows are kept.
+    """K3/K4: incoming rows replace rows with the same key; other rows are kept, those that another
+    writer commits meanwhile too (the merge is made again from its rows).
 
     Incoming documents (one small row per file) are checkpointed first, so the files are
     scanned once for the merge, the write and the returned count."""
     workspace_dir(spark)
     incoming = incoming.checkpoint(eager=True)
-    if table_exists(spark, path):
-        old = read_table(spark, path)
-        merged = old.join(incoming.select(key), key, "left_anti").unionByName(incoming)
-    else:
-        merged = incoming
-    write_snapshot(merged, path, check=pk_guard([key], table))
-    return incoming.count()
+    n = incoming.count()
+
+    def merged(old: DataFrame | None) -> DataFrame:
+        return incoming if old is None else old.join(incoming.select(key), key, "left_anti").unionByName(incoming)
+
+    update_snapshot(spark, path, merged, check=pk_guard([key], table))
+    return n
 
 
 def land_corpus_profiles(spark: SparkSession, root: str, raw_dir: str) -> int:

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.quality import Check, run_checks
 from ..sources.seeds import read_seed
-from ..sources.tables import read_table, table_exists
-from .marts import MARTS, Relations
+from ..sources.tables import latest_entry, read_table, snapshot_path
+from .marts import MARTS, RAW_VERSION, Relations, manifest_version
 from .staging import explode_answers
 
 # Accepted value lists of the declared tests.
@@ -95,13 +95,17 @@ SEEDS = ("seed_pricing_local_overrides", "seed_pricing_model_alias", "seed_retri
 def relations(spark: SparkSession, raw_dir: str, marts_dir: str) -> dict[str, DataFrame]:
     """Every relation the declared tests name.
 
-    The two staging views of the answers are not parsed again where the build has written the
-    enriched grain: it holds one row for each answer (a price join that would multiply rows is
-    refused) and carries the tested columns unchanged."""
+    The two staging views of the answers are not parsed again where the enriched grain was built
+    from the answers that are live now: it holds one row for each answer (a price join that would
+    multiply rows is refused) and carries the tested columns unchanged. If runs were landed after
+    the build, the answers themselves are parsed and tested."""
     p = Relations(spark, raw_dir)
     written = f"{marts_dir.rstrip('/')}/_int/int_scored_answers_enriched"
     tested = {c.column for c in DECLARED if c.relation in ("stg_scored_answers", "stg_traversal")}
-    answers = read_table(spark, written) if table_exists(spark, written) else None
+    grain = latest_entry(spark, written)
+    answers = None
+    if grain is not None and grain.notes.get(RAW_VERSION) == manifest_version(spark, raw_dir):
+        answers = spark.read.parquet(snapshot_path(written, grain))
     if answers is None or not tested <= set(answers.columns):
         answers = explode_answers(p.raw("scored_answer"))
     rel: dict[str, DataFrame] = {f"raw.{t}": p.raw(t) for t in

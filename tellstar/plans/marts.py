@@ -19,7 +19,7 @@ from ..functions.keys import surrogate_key
 from ..functions.scalars import COST_TYPE, coalesce_sum, is_local_provider, split_part_or_empty
 from ..operators.landing import read_raw
 from ..sources.seeds import seed
-from ..sources.tables import read_table, write_snapshot
+from ..sources.tables import latest_entry, read_table, write_snapshot
 from .intermediate import int_model_pricing, int_scored_answers_enriched
 from .staging import stg_corpus_profile, stg_model_pricing, stg_questions, stg_runs
 
@@ -269,8 +269,19 @@ class Relations:
         return int_scored_answers_enriched(self.raw("scored_answer"), self.questions(), self.runs(), self.pricing())
 
 
+#: Note of the enriched grain: the manifest version that it was built from.
+RAW_VERSION = "raw_version"
+
+
+def manifest_version(spark: SparkSession, raw_dir: str) -> str:
+    """Id of the newest manifest version, which decides what answers are live."""
+    entry = latest_entry(spark, f"{raw_dir.rstrip('/')}/run_manifest")
+    return entry.id if entry else ""
+
+
 def build_star(spark: SparkSession, raw_dir: str, marts_dir: str, parallelism: int = 4) -> dict[str, str]:
     """K8 + M9-M17: write every mart as a committed snapshot; returns mart -> folder."""
+    raw_version = manifest_version(spark, raw_dir)  # told before the answers are read: never newer than they are
     p = Relations(spark, raw_dir)
     out = {}
     marts_dir = marts_dir.rstrip("/")
@@ -286,7 +297,7 @@ def build_star(spark: SparkSession, raw_dir: str, marts_dir: str, parallelism: i
     if repeated:
         raise ContractError(f"pricing contract: model_resolved must be unique before the cost join: {repeated}")
     enriched_df = int_scored_answers_enriched(p.raw("scored_answer"), p.questions(), p.runs(), pricing)
-    enriched_path = write_snapshot(enriched_df, f"{marts_dir}/_int/int_scored_answers_enriched")
+    enriched_path = write_snapshot(enriched_df, f"{marts_dir}/_int/int_scored_answers_enriched", notes={RAW_VERSION: raw_version})
     enriched = spark.read.parquet(enriched_path)
     fact = fct_scored_answer(enriched)
     check_contract(fact)

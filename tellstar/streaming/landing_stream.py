@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.landing import land_runs, missing_records, valid_json
 from ..sources import landing_files as lf
-from ..sources.tables import latest_version, read_table, table_exists, write_snapshot
+from ..sources.tables import read_table, table_exists, update_snapshot
 
 
 def manifest_stream(spark: SparkSession, root: str) -> DataFrame:
@@ -51,8 +51,7 @@ def land_arrived(spark: SparkSession, root: str, raw_dir: str, arrived: DataFram
                  buckets: int | None = None) -> None:
     """Land the arrived manifests and those that wait; what has no records file waits (on)."""
     path = pending_path(raw_dir)
-    base = latest_version(spark, path)
-    waiting = read_table(spark, path).select(*PENDING_COLUMNS) if base else None
+    waiting = read_table(spark, path).select(*PENDING_COLUMNS) if table_exists(spark, path) else None
     rows = [r.select(*PENDING_COLUMNS) for r in (arrived, waiting) if r is not None]
     if not rows:
         return
@@ -64,8 +63,10 @@ def land_arrived(spark: SparkSession, root: str, raw_dir: str, arrived: DataFram
     if on_missing_records == "skip":
         late = missing_records(spark, root, manifests).select("run_id", "batch")
         still = manifests.join(late, ["run_id", "batch"], "left_semi").select(*PENDING_COLUMNS)
-        if base or still.limit(1).count():
-            write_snapshot(still, path, base=base)
+        if waiting is not None or still.limit(1).count():
+            # what another stream has made wait meanwhile goes on waiting
+            tried = manifests.select("run_id", "batch")
+            update_snapshot(spark, path, lambda old: still if old is None else old.join(tried, ["run_id", "batch"], "left_anti").select(*PENDING_COLUMNS).unionByName(still))
 
 
 def start_landing_stream(spark: SparkSession, root: str, raw_dir: str, checkpoint: str,

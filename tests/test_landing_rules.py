@@ -1,6 +1,7 @@
 """Landing passes are all-or-nothing, keys are plain file names, streaming equals batch."""
 
 import json
+import shutil
 from pathlib import Path
 from types import SimpleNamespace
 
@@ -11,7 +12,7 @@ from tellstar.functions.jsonx import array_length_or_zero, ground_truth_text, pa
 from tellstar.functions.scalars import usd_per_mtok
 from tellstar.operators import landing as ld
 from tellstar.session import workspace_dir
-from tellstar.sources import fs
+from tellstar.sources import fs, tables
 from tellstar.sources import landing_files as lf
 from tellstar.sources.tables import latest_version, read_table, write_snapshot
 from tellstar.streaming.landing_stream import land_arrived, pending_path
@@ -32,34 +33,124 @@ def state(spark, raw):
     return answers, sorted(r.run_id for r in ld.read_raw(spark, raw, "run_manifest").collect())
 
 
-@pytest.mark.parametrize("broken", ["rename_new", "write", "guard"])
-def test_a_failed_pass_leaves_the_old_rows(spark, tmp_path, monkeypatch, broken):
-    root, raw = str(tmp_path / "land"), str(tmp_path / "raw")
-    put(root, NEW, "r1")
-    put(root, NEW, "r2", records=(("q1", 0.5), ("q2", 0.25)))
-    ld.land_runs(spark, root, raw)
-    before = state(spark, raw)
-    put(root, NEW, "r1", records=(("q9", 0.0),) if broken != "guard" else (("q9", 0.0), ("q9", 0.0)))
+def fail(*a, **k):
+    raise OSError("stopped")
+
 
-    def fail(*a, **k):
-        raise OSError("stopped")
+#: Where a pass is stopped, and whether its commit has taken effect by then.
+STEPS = {"answers": False, "guard": False, "snapshot": False, "check": False, "draft": False, "rename": False, "after rename": True, "age": True, "delete": True}
 
-    if broken == "rename_new":
+
+def stop_at(monkeypatch, step):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    if step in ("answers", "snapshot"):
+        real, part = DataFrameWriter.parquet, "landing_pass=" if step == "answers" else "/run_manifest/data-"
+        monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **k: fail() if part in path else real(self, path, *a, **k))
+    elif step == "check":
+        real_guard = ld.pk_guard
+        monkeypatch.setattr(ld, "pk_guard", lambda keys, name: fail if name == "run_manifest" else real_guard(keys, name))
+    elif step == "draft":
+        monkeypatch.setattr(fs, "write_text", fail)
+    elif step == "rename":
         monkeypatch.setattr(fs, "rename_new", fail)
-    elif broken == "write":
-        monkeypatch.setattr(ld, "write_snapshot", fail)
-    with pytest.raises((OSError, ld.LoadError)):
-        ld.land_runs(spark, root, raw)
-    assert state(spark, raw) == before
+    elif step == "after rename":
+        real_rename = fs.rename_new
+        monkeypatch.setattr(fs, "rename_new", lambda *a: (real_rename(*a), fail()))
+    elif step == "age":
+        monkeypatch.setattr(fs, "age_seconds", fail)
+    elif step == "delete":
+        monkeypatch.setattr(tables, "KEEP_SECONDS", -1)
+        monkeypatch.setattr(fs, "delete", fail)
+
+
+@pytest.fixture(scope="module")
+def landed(spark, tmp_path_factory):
+    """Two runs, landed three times (so that there are versions to clean up)."""
+    base = tmp_path_factory.mktemp("landed")
+    put(base / "land", NEW, "r1")
+    put(base / "land", NEW, "r2", records=(("q1", 0.5), ("q2", 0.25)))
+    for _ in range(3):
+        ld.land_runs(spark, str(base / "land"), str(base / "raw"))
+    return base
+
+
+@pytest.mark.parametrize("step", STEPS)
+def test_a_pass_stopped_anywhere_leaves_old_or_new_rows_whole(spark, landed, tmp_path, monkeypatch, step):
+    shutil.copytree(landed, tmp_path / "own")
+    root, raw = str(tmp_path / "own" / "land"), str(tmp_path / "own" / "raw")
+    before = [("r1", "q1", 1.0), ("r2", "q1", 0.5), ("r2", "q2", 0.25)], ["r1", "r2"]
+    put(root, NEW, "r1", records=(("q9", 0.0),) if step != "guard" else (("q9", 0.0), ("q9", 0.0)))
+    after = [("r1", "q9", 0.0), ("r2", "q1", 0.5), ("r2", "q2", 0.25)], ["r1", "r2"]
+    stop_at(monkeypatch, step)
+    if STEPS[step]:
+        assert ld.land_runs(spark, root, raw) == {"runs": 2, "records": 3}
+    else:
+        with pytest.raises((OSError, ld.LoadError)):
+            ld.land_runs(spark, root, raw)
     monkeypatch.undo()
+    assert state(spark, raw) == (after if STEPS[step] else before)
+    if step not in ("rename", "after rename"):
+        return
     put(root, NEW, "r1", records=(("q9", 0.0),))
     assert ld.land_runs(spark, root, raw) == {"runs": 2, "records": 3}
-    assert state(spark, raw)[0] == [("r1", "q9", 0.0), ("r2", "q1", 0.5), ("r2", "q2", 0.25)]
+    assert state(spark, raw) == after
+    ld.vacuum_answers(spark, raw)
+    ld.vacuum_answers(spark, raw, older_than=0)
+    assert state(spark, raw) == after
+
+
+def test_a_commit_that_cannot_be_told_deletes_nothing(spark, tmp_path, monkeypatch):
+    root, raw = str(tmp_path / "land"), str(tmp_path / "raw")
+    put(root, NEW, "r1")
     ld.land_runs(spark, root, raw)
+    put(root, NEW, "r1", records=(("q9", 0.0),))
+    real, real_exists = fs.rename_new, fs.exists
+    monkeypatch.setattr(fs, "rename_new", lambda *a: (real(*a), monkeypatch.setattr(fs, "exists", fail), fail()))
+    with pytest.raises(tables.CommitUnknown):
+        ld.land_runs(spark, root, raw)
+    monkeypatch.setattr(fs, "exists", real_exists)
+    assert state(spark, raw) == ([("r1", "q9", 0.0)], ["r1"])
+
+
+def meanwhile(monkeypatch, act):
+    """Lets ``act`` run once, just before the next commit."""
+    real, acts = tables.publish, [act]
+
+    def publish(*a):
+        if acts:
+            acts.pop()()
+        real(*a)
+
+    monkeypatch.setattr(tables, "publish", publish)
+
+
+def test_two_passes_from_one_version_both_land(spark, tmp_path, monkeypatch):
+    root, raw = str(tmp_path / "land"), str(tmp_path / "raw")
+    put(root, NEW, "r0")
     ld.land_runs(spark, root, raw)
-    now = state(spark, raw)
-    ld.vacuum_answers(spark, raw)
-    assert state(spark, raw) == now
+    put(root, NEW, "r1", records=(("a", 1.0), ("b", 1.0)))
+    put(root, OLD, "r3", records=(("old", 0.0),))
+    put(root, NEW, "r2", records=(("c", 0.5),))
+    put(root, NEW, "r3", records=(("new", 0.5),))
+    theirs = F.expr(f"run_id = 'r2' or (run_id = 'r3' and batch = '{NEW}')")
+    found = lf.scan_manifests(spark, root)
+    meanwhile(monkeypatch, lambda: ld.land_runs(spark, root, raw, manifests=found.where(theirs)))
+    # r3 is landed from a newer batch by the other pass, so this one lands r0 and r1
+    assert ld.land_runs(spark, root, raw, manifests=found.where(~theirs)) == {"runs": 2, "records": 3}
+    assert state(spark, raw) == ([("r0", "q1", 1.0), ("r1", "a", 1.0), ("r1", "b", 1.0), ("r2", "c", 0.5), ("r3", "new", 0.5)], ["r0", "r1", "r2", "r3"])
+
+
+def test_two_upserts_from_one_version_both_land(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+
+    def put_rows(*rows):
+        return ld.upsert(spark, spark.createDataFrame(list(rows), "k string, v int"), path, "k", "t")
+
+    put_rows(("a", 1), ("x", 1))
+    meanwhile(monkeypatch, lambda: put_rows(("b", 2), ("x", 2)))
+    assert put_rows(("c", 3), ("x", 3)) == 2
+    assert sorted(tuple(r) for r in read_table(spark, path).collect()) == [("a", 1), ("b", 2), ("c", 3), ("x", 3)]
 
 
 def test_of_two_writers_one_raises(spark, tmp_path):
@@ -67,12 +158,48 @@ def test_of_two_writers_one_raises(spark, tmp_path):
     write_snapshot(rows, path)
     base = latest_version(spark, path)
     write_snapshot(rows.limit(2), path, base=base)
-    with pytest.raises(OSError):
-        write_snapshot(rows.limit(1), path, base=base)
+    for old in (base, 0):
+        with pytest.raises(tables.Conflict):
+            write_snapshot(rows.limit(1), path, base=old)
     assert read_table(spark, path).count() == 2
+    assert len(list((tmp_path / "t").glob("data-*"))) == 2
     assert fs.create_exclusive(spark, f"{path}/x") and not fs.create_exclusive(spark, f"{path}/x")
 
 
+def test_old_versions_and_unnamed_folders_go_when_they_are_old(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    for n in (1, 2, 3, 4):
+        write_snapshot(spark.range(n), path)
+    (tmp_path / "t" / ("data-" + "0" * 32)).mkdir()
+    assert len(tables.versions(spark, path)) == 4
+    monkeypatch.setattr(tables, "KEEP_SECONDS", -1)
+    tables.expire(spark, path)
+    assert [e.version for e in tables.versions(spark, path)] == [3, 4]
+    assert len(list((tmp_path / "t").glob("data-*"))) == 2
+    with pytest.raises(tables.Conflict):  # a name that is free again is no way back
+        write_snapshot(spark.range(9), path, base=0)
+    assert read_table(spark, path).count() == 4
+
+
+def test_checks_read_the_answers_that_are_live(spark, tree, tmp_path):
+    """Answers landed after the last build are tested too."""
+    from tellstar.plans import declared_checks as dc
+    from tellstar.plans.marts import build_star
+
+    raw, marts = str(tmp_path / "raw"), str(tmp_path / "marts")
+    ld.land_all(spark, tree, raw)
+    build_star(spark, raw, marts)
+    assert "_int" in str(dc.relations(spark, raw, marts)["stg_traversal"].inputFiles())
+    failed = lambda: {(r.check, r.relation, r.column): r.failures for r in dc.run_declared_checks(spark, raw, marts).where("failures > 0").collect()}
+    before = failed()
+    put(tree, NEW, "r9-late")
+    path = Path(tree) / NEW / "r9-late.jsonl"
+    path.write_text(path.read_text().replace('"vector"', '"unheard of"'))
+    ld.land_runs(spark, tree, raw)
+    now = failed()
+    assert now[("accepted_values", "stg_scored_answers", "retriever")] == before.get(("accepted_values", "stg_scored_answers", "retriever"), 0) + 1
+
+
 def test_names_with_blanks_percent_and_plus_below_a_reference_folder(spark, tmp_path):
     root, raw = str(tmp_path / "reference" / "a b+c"), str(tmp_path / "raw")
     for run in ("run a", "r%20b", "p+q", "plain"):
