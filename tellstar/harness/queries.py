@@ -26,6 +26,7 @@ from ..plans import staging as st
 from ..plans.intermediate import join_traversal
 from ..sources import landing_files as lf
 from ..sources.seeds import read_seed, seed
+from ..operators.ordinality import row_positions
 from ..sources.tables import read_table
 from . import adapter
 from . import formulas as fm
@@ -866,7 +867,7 @@ def q_ordinality(spark, sf):
 # ================================================================== O / U / R: order, limits, sets, reshape
 
 def _placed(df):
-    """The frame with each row's place in the order that it has (compared as a value)."""
+    """A bounded frame with each row's place in the order that it has (compared as a value)."""
     place = F.row_number().over(Window.orderBy(F.monotonically_increasing_id()))
     return df.withColumn("place", place.cast("bigint"))
 
@@ -896,7 +897,7 @@ def q_sort_by_sort_order(spark, sf):
 
 @reg("pricing_reference_sort", O(f"SELECT *, {_place('provider, model_resolved')} FROM ({_B8}) x", _B8_D))
 def q_pricing_reference_sort(spark, sf):
-    return _placed(rp.report_pricing_reference(_mart(spark, sf, "dim_token_pricing")))
+    return row_positions(rp.report_pricing_reference(_mart(spark, sf, "dim_token_pricing")))
 
 
 @reg("sorted_ids", O("SELECT run_id FROM runs ORDER BY run_id"))
@@ -913,31 +914,6 @@ def q_preview_limit(spark, sf):
     return p.select("scored_answer_sk", "run_sk", "score", "total_cost_usd")
 
 
-# relation of each preview: its rows in the oracle, and the total order
-_PREVIEWS = {
-    "raw_run_manifest": ("runs", ["run_id"]), "raw_scored_answer": ("sa", ["run_id", "question_id"]), "raw_question": ("questions", ["question_id"]),
-    "stg_runs": ("runs", ["run_id"]), "stg_scored_answers": ("sa", ["run_id", "question_id"]), "stg_traversal": ("sa", ["run_id", "question_id"]),
-    "stg_questions": ("questions", ["question_id"]), "int_scored_answers_enriched": ("enriched", ["run_id", "question_id"]),
-    "dim_run": ("dim_run", ["run_sk"]), "dim_question": ("dim_question", ["question_sk"]), "dim_retriever_cond": ("dim_retriever_cond", ["retriever_cond_sk"]),
-    "dim_generator": ("dim_generator", ["generator_sk"]), "dim_writer": ("dim_writer", ["writer_sk"]), "dim_scoring": ("dim_scoring", ["scoring_sk"]),
-    "dim_corpus": ("dim_corpus", ["corpus_sk"]), "dim_token_pricing": ("pricing", ["pricing_sk"]),
-}
-
-
-def _reg_preview(name: str, rows: str, keys: list[str]) -> None:
-    cols = ", ".join(keys)
-
-    @reg(f"preview_{name}", O(f"SELECT {cols}, {_place(cols)} FROM {rows} ORDER BY {cols} LIMIT 100"))
-    def q_preview(spark, sf):
-        from ..plans.analyses import previews
-
-        return _placed(previews(_pipe(spark, sf), adapter.marts_root(spark, sf))[name].select(*keys))
-
-
-for _name, (_rows, _keys) in _PREVIEWS.items():
-    _reg_preview(_name, _rows, _keys)
-
-
 _O6_COLS = ["retriever", "mechanism", "neighborhood_hops", "top_k", "generator_provider", "generator_model_family",
             "writer_model_family", "harness_version"]
 
@@ -1252,6 +1228,95 @@ def q_fct(spark, sf):
     return mt.fct_scored_answer(_pipe(spark, sf).enriched())
 
 
+# ================================================================== O5: whole rows of the previews
+
+# relation of each preview: its rows in the oracle, the total order, its columns (none: all) and doubles
+_PREVIEWS = {
+    "raw_run_manifest": ("runs", ["run_id"], ["run_id"], ()), "raw_scored_answer": ("sa", ["run_id", "question_id"], ["run_id", "question_id", "line_no"], ()),
+    "raw_question": ("questions", ["question_id"], ["question_id"], ()),
+    "stg_runs": ("runs", ["run_id"], _RUN_COLS, ("generator_temperature",)), "stg_scored_answers": ("sa", ["run_id", "question_id"], _ANS_COLS, _ANS_D),
+    "stg_traversal": ("sa", ["run_id", "question_id"], _TRAV_COLS, ("writer_temperature",)), "stg_questions": ("questions", ["question_id"], _Q_COLS, ()),
+    "int_scored_answers_enriched": ("enriched", ["run_id", "question_id"], _ENR_COLS, _ENR_D),
+    "dim_run": ("dim_run", ["run_sk"], [], ()), "dim_question": ("dim_question", ["question_sk"], [], ()),
+    "dim_retriever_cond": ("dim_retriever_cond", ["retriever_cond_sk"], [], ()), "dim_generator": ("dim_generator", ["generator_sk"], [], ("generator_temperature",)),
+    "dim_writer": ("dim_writer", ["writer_sk"], [], ("writer_temperature",)), "dim_scoring": ("dim_scoring", ["scoring_sk"], [], ()),
+    "dim_corpus": ("dim_corpus", ["corpus_sk"], [], ()), "dim_token_pricing": ("dim_token_pricing", ["pricing_sk"], [], ()),
+}
+
+
+def _reg_preview(name: str, rows: str, keys: list[str], columns: list[str], doubles: tuple[str, ...]) -> None:
+    order = ", ".join(keys)
+
+    @reg(f"preview_{name}", O(f"SELECT {', '.join(columns) or '*'}, {_place(order)} FROM {rows} ORDER BY {order} LIMIT 100", doubles))
+    def q_preview(spark, sf):
+        from ..plans.analyses import previews
+
+        found = previews(_pipe(spark, sf), adapter.marts_root(spark, sf))[name]
+        return _placed(found.select(*columns) if columns else found)
+
+
+for _name, _spec in _PREVIEWS.items():
+    _reg_preview(_name, *_spec)
+
+
+# ================================================================== cases that fail, or that the seeds leave empty
+
+_ODD = "('1', '3', '5', '7', '9')"
+
+
+@reg("raw_pk_guard_repeats", O(f"SELECT run_id, question_id, CAST(2 AS BIGINT) AS n_rows FROM sa WHERE right(run_id, 1) IN {_ODD}"))
+def q_pk_guard_repeats(spark, sf):
+    """K6 on answers of which those of some runs are there twice."""
+    answers = _pipe(spark, sf).raw("scored_answer").select("run_id", "question_id")
+    return ld.duplicate_keys(answers.unionByName(answers.where(f"right(run_id, 1) IN {_ODD}")), ["run_id", "question_id"])
+
+
+@reg("dq_contract_broken", O("""SELECT 35 AS n_columns, 1 AS n_mismatches, CAST(count(*) FILTER (WHERE score IS NULL) AS BIGINT) AS null_keys FROM fct"""))
+def q_dq_contract_broken(spark, sf):
+    """Q5 on a fact with a column of another type, and with rows without key."""
+    f = _mart(spark, sf, "fct_scored_answer", doubles=False)
+    f = f.withColumn("total_cost_usd", F.col("total_cost_usd").cast("double")).withColumn("scored_answer_sk", F.when(F.col("score").isNotNull(), F.col("scored_answer_sk")))
+    return dq.contract_report(f, mt.FACT_CONTRACT, "scored_answer_sk")
+
+
+@reg("dq_price_shape_broken", O("""SELECT provider, CAST(CASE WHEN ascii(right(provider, 1)) % 4 < 2 THEN 0 ELSE count(*) END AS BIGINT) AS n_models,
+    CAST(CASE WHEN ascii(right(provider, 1)) % 4 < 3 THEN 0 ELSE count(*) END AS BIGINT) AS n_with_request_price, ascii(right(provider, 1)) % 4 = 3 AS ok
+    FROM catalog GROUP BY provider"""))
+def q_dq_price_shape_broken(spark, sf):
+    """Q7 on catalogs of which some are empty, no object, or without the request price."""
+    from ..operators.pricing_snapshot import catalog_shape
+
+    raw = _pipe(spark, sf).raw("model_pricing").select("provider", F.to_json(jsub(parsed("payload"), "models")).alias("m"))
+    kind = F.expr("ascii(right(provider, 1)) % 4")
+    broken = (F.when(kind == 0, F.lit("{}")).when(kind == 1, F.lit("[1]"))
+              .when(kind == 2, F.replace("m", F.lit('"request_token"'), F.lit('"request"'))).otherwise(F.col("m")))
+    return catalog_shape(raw.select("provider", broken.alias("models_json")))
+
+
+@reg("dq_filename_key_wrong", O(f"""SELECT 'run_manifest' AS relation, CAST(count(*) AS BIGINT) AS failures FROM runs WHERE right(run_id, 1) IN {_ODD}
+    UNION ALL SELECT 'corpus_profile', CAST(count(*) AS BIGINT) FROM profiles WHERE right(corpus_build_id, 1) IN {_ODD}"""))
+def q_dq_filename_key_wrong(spark, sf):
+    """Q11 on files of which some are named after another key."""
+    root = _landing(spark, sf)
+
+    def moved(scan, key):
+        return scan.withColumn(key, F.when(F.substring(key, -1, 1).isin(*"13579"), F.concat(key, F.lit("-moved"))).otherwise(F.col(key)))
+
+    m = moved(lf.dedupe_run_batches(lf.scan_manifests(spark, root)), "run_id")
+    c = moved(lf.scan_corpus_profiles(spark, root), "corpus_build_id")
+    return dq.filename_key(m, "run_id", "run_id", "run_manifest").unionByName(dq.filename_key(c, "corpus_build_id", "corpus_build_id", "corpus_profile"))
+
+
+@reg("join_alias_crosswalk", O("""SELECT provider, portkey_model_key, CASE WHEN ascii(right(portkey_model_key, 1)) % 2 = 0
+    THEN 'resolved-' || portkey_model_key ELSE model_resolved END AS model_resolved FROM catalog"""))
+def q_join_alias_crosswalk(spark, sf):
+    """J1 with a crosswalk that has an entry for half of the catalog's models."""
+    raw = _pipe(spark, sf).raw("model_pricing")
+    keys = st.explode_catalog(raw).select("portkey_model_key").distinct().where("ascii(right(portkey_model_key, 1)) % 2 = 0")
+    alias = keys.withColumn("model_resolved", F.concat(F.lit("resolved-"), "portkey_model_key"))
+    return st.stg_model_pricing(raw, alias).select("provider", "portkey_model_key", "model_resolved")
+
+
 # ================================================================== B: reports
 
 _B1_COLS = ["scored_answer_sk", "type_id", "type_display_label", "display_label", "retriever", "sort_order",

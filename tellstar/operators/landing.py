@@ -4,7 +4,9 @@ Raw layout under ``raw_dir``::
 
     run_manifest/      versioned snapshot, one row per run_id; ``landing_pass`` names the pass
                        whose answers are the run's
-    scored_answer/     landing_pass=<id>/ parquet files, one folder per pass
+    scored_answer/     landing_pass=<id>/ parquet files, one folder per pass; a row has its place
+                       in the part of the file that one task read
+    answer_split/      landing_pass=<id>/ the lines before each such part, which make line_no
     question/          versioned snapshot (full refresh)
     corpus_profile/    versioned snapshot (upsert by corpus_build_id)
     model_pricing/     versioned snapshot (upsert by provider)
@@ -35,9 +37,15 @@ from ..sources import landing_files as lf
 from ..sources.tables import KEEP_SECONDS, CommitUnknown, best_effort, read_table, snapshot_path, table_exists, update_snapshot, versions
 from ..session import workspace_dir
 from .joins import broadcast_if_small
+from .ordinality import LINE_ID, range_offsets, with_line_id, with_line_number
 
 log = logging.getLogger(__name__)
 
+#: Lines of each part of a records file and of the parts before it (small, one row a part).
+SPLITS = "answer_split"
+SPLIT_KEYS = ["run_id", "landing_pass", "split_start"]
+SPLIT_SCHEMA = "run_id string, split_start bigint, first_id bigint, lines_before bigint"
+
 RAW_TABLES = ("run_manifest", "scored_answer", "question", "corpus_profile", "model_pricing")
 
 SCORED_ANSWER_SCHEMA = T.StructType([
@@ -50,6 +58,15 @@ SCORED_ANSWER_SCHEMA = T.StructType([
 ])
 
 
+#: As a pass writes them: the line number is added on read.
+WRITTEN_ANSWER_SCHEMA = T.StructType([
+    T.StructField("question_id", T.StringType()),
+    T.StructField("split_start", T.LongType()),
+    T.StructField(LINE_ID, T.LongType()),
+    *[f for f in SCORED_ANSWER_SCHEMA.fields if f.name not in ("question_id", "line_no")],
+])
+
+
 class LoadError(RuntimeError):
     """A landing pass was refused (duplicate key, missing records file, NULL key)."""
 
@@ -71,27 +88,29 @@ def read_raw(spark: SparkSession, raw_dir: str, table: str) -> DataFrame:
         return read_table(spark, path).drop(PASS_COL)
     if table != "scored_answer":
         return read_table(spark, path)
-    schema = T.StructType([*SCORED_ANSWER_SCHEMA.fields, T.StructField(PASS_COL, T.StringType())])
+    schema = T.StructType([*WRITTEN_ANSWER_SCHEMA.fields, T.StructField(PASS_COL, T.StringType())])
     if not table_exists(spark, raw_path(raw_dir, "run_manifest")):
         return spark.createDataFrame([], SCORED_ANSWER_SCHEMA)
     live = read_table(spark, raw_path(raw_dir, "run_manifest")).select("run_id", PASS_COL)
-    rows = spark.read.schema(schema).parquet(path)
-    return rows.join(live, ["run_id", PASS_COL], "left_semi").select(*SCORED_ANSWER_SCHEMA.fieldNames())
+    rows = spark.read.schema(schema).parquet(path).join(live, ["run_id", PASS_COL], "left_semi")
+    splits = spark.read.schema(f"{SPLIT_SCHEMA}, {PASS_COL} string").parquet(raw_path(raw_dir, SPLITS))
+    return with_line_number(rows, splits, SPLIT_KEYS).select(*SCORED_ANSWER_SCHEMA.fieldNames())
 
 
 def vacuum_answers(spark: SparkSession, raw_dir: str, older_than: float = KEEP_SECONDS) -> int:
-    """Deletes the pass folders that no kept manifest version names; returns how many. A folder has
+    """Deletes the folders of passes that no kept manifest version names; returns how many. A pass has
     no name before its pass commits, so only folders of ``older_than`` seconds go (0: when no
     landing pass is running)."""
     mpath = raw_path(raw_dir, "run_manifest")
-    folders = [c for c in fs.list_dir(spark, raw_path(raw_dir, "scored_answer")) if f"{PASS_COL}=" in c and fs.age_seconds(spark, c) >= older_than]
+    folders = [c for t in ("scored_answer", SPLITS) for c in fs.list_dir(spark, raw_path(raw_dir, t))
+               if f"{PASS_COL}=" in c and fs.age_seconds(spark, c) >= older_than]
     named: set[str] = set()
     for entry in versions(spark, mpath):
         named |= {r[0] for r in spark.read.parquet(snapshot_path(mpath, entry)).select(PASS_COL).distinct().collect()}
     old = [c for c in folders if c.rstrip("/").rsplit("=", 1)[1] not in named]
     for folder in old:
         fs.delete(spark, folder)
-    return len(old)
+    return len({c.rstrip("/").rsplit("=", 1)[1] for c in old})
 
 
 def _question_id(payload: str):
@@ -163,18 +182,19 @@ def pk_guard(keys: list[str], table: str):
 def missing_records(spark: SparkSession, root: str, manifests: DataFrame | None = None) -> DataFrame:
     """K9: winning manifests whose sibling ``<run_id>.jsonl`` does not exist.
 
-    File presence comes from a content-free ``binaryFile`` listing, so an empty records
-    file counts as present (it lands zero answers) and only a truly absent file is flagged."""
+    File presence comes from a content-free ``binaryFile`` listing. That leaves out files without
+    any byte, which count as present (they land zero answers): for manifests that it does not
+    show, the names of all files in their folders are looked up."""
     if manifests is None:
         manifests = lf.dedupe_run_batches(valid_json(lf.scan_manifests(spark, root)))
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*" + lf.RECORDS_SUFFIX)
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .select(F.col("path"))
-    )
-    return manifests.join(_present(files, root), ["run_id", "batch"], "left_anti").select("run_id", "batch", "source_uri")
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*" + lf.RECORDS_SUFFIX)
+    files = reader.option("recursiveFileLookup", "true").load(root).select("path")
+    gone = manifests.join(_present(files, root), ["run_id", "batch"], "left_anti").select("run_id", "batch", "source_uri")
+    folders = [r.batch for r in gone.select("batch").distinct().collect()]
+    if not folders:
+        return gone
+    listed = fs.file_names(reader.load([f"{root.rstrip('/')}/{fs.glob_escaped(b)}" if b else root for b in folders]))
+    return gone.join(_present(listed.select(lf.decoded("path").alias("path")), root), ["run_id", "batch"], "left_anti")
 
 
 def _present(files: DataFrame, root: str) -> DataFrame:
@@ -186,26 +206,29 @@ def _present(files: DataFrame, root: str) -> DataFrame:
 
 def incoming_runs(spark: SparkSession, root: str, manifests: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(manifests, records) of this pass: one manifest per run (newest batch) and the
-    records of its sibling file; records carry the manifest's URI as provenance.
+    records of its sibling file with their place in the scan (``operators/ordinality.py``);
+    records carry the manifest's URI as provenance.
 
     The winning manifests (one small row per run) are checkpointed: they feed the
     missing-file check, the records join and the manifest snapshot from one scan."""
     workspace_dir(spark)
     if manifests is None:
         manifests = lf.dedupe_run_batches(valid_json(lf.scan_manifests(spark, root))).checkpoint(eager=True)
-        lines = lf.scan_record_lines(spark, root)
+        lines = lf.record_lines(spark, root)
     else:
         # only the batch folders of the given manifests are read, whole
         manifests = lf.dedupe_run_batches(valid_json(manifests)).checkpoint(eager=True)
         folders = [r.batch for r in manifests.select("batch").distinct().collect()]
-        lines = lf.scan_record_lines(spark, root, paths=[f"{root.rstrip('/')}/{b}" if b else root for b in folders])
+        lines = lf.record_lines(spark, root, paths=[f"{root.rstrip('/')}/{b}" if b else root for b in folders])
     winners = broadcast_if_small(
         manifests.select("run_id", "batch", F.col("source_uri").alias("manifest_uri")), max_rows=5_000_000
     )
-    records = lines.join(winners, ["run_id", "batch"]).select(
+    # the ids are taken from the scan, before any join or exchange
+    records = with_line_id(lines).join(winners, ["run_id", "batch"]).select(
         "run_id",
         _question_id("payload").alias("question_id"),
-        "line_no",
+        "split_start",
+        LINE_ID,
         F.col("manifest_uri").alias("source_uri"),
         "payload",
     )
@@ -252,9 +275,10 @@ def land_runs(
 
     now, this_pass = F.current_timestamp(), uuid.uuid4().hex
     folder = f"{answers_dir}/{PASS_COL}={this_pass}"
-    rows = records.withColumn("loaded_at", now).select(*SCORED_ANSWER_SCHEMA.fieldNames())
+    splits = f"{raw_path(raw_dir, SPLITS)}/{PASS_COL}={this_pass}"
+    rows = records.withColumn("loaded_at", now).select(*WRITTEN_ANSWER_SCHEMA.fieldNames())
     if buckets:
-        rows = rows.repartition(buckets, "run_id", F.floor(F.col("line_no") / LINES_TOGETHER))
+        rows = rows.repartition(buckets, "run_id", F.floor(F.col(LINE_ID) / LINES_TOGETHER))
     landed: dict[str, int] = {}
 
     def merged(old: DataFrame | None) -> DataFrame:
@@ -272,13 +296,15 @@ def land_runs(
 
     try:
         rows.write.parquet(folder)
-        staged = spark.read.schema(SCORED_ANSWER_SCHEMA).parquet(folder)
+        staged = spark.read.schema(WRITTEN_ANSWER_SCHEMA).parquet(folder)
         pk_guard(["run_id", "question_id"], "scored_answer")(staged)
+        range_offsets(staged, "run_id", "split_start").write.parquet(splits)
         update_snapshot(spark, mpath, merged, check=checked)
     except CommitUnknown:
         raise  # a manifest may name the folder
     except Exception:  # the commit has not taken effect; an interrupt leaves the folder to vacuum_answers
-        best_effort(fs.delete, spark, folder)
+        for own in (folder, splits):
+            best_effort(fs.delete, spark, own)
         raise
     return landed
 

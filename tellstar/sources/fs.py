@@ -6,7 +6,7 @@ JVM's FileSystem of the session, never through the driver's local disk.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _fs(spark: SparkSession, path: str):
@@ -63,17 +63,51 @@ def rename_new(spark: SparkSession, src: str, dst: str) -> None:
     context.rename(fs.makeQualified(p), fs.makeQualified(d), options)
 
 
+def glob_escaped(path: str) -> str:
+    """The path as a pattern that matches it alone."""
+    return "".join("\\" + c if c in "\\*?[]{}" else c for c in path)
+
+
+def file_names(df: DataFrame) -> DataFrame:
+    """(path, percent-encoded) of every file that a file-source frame has listed, those without
+    bytes too. The names stay in the JVM."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    names = jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(df._jdf.inputFiles())
+    found = spark._jsparkSession.createDataset(names, jvm.org.apache.spark.sql.Encoders.STRING())
+    return DataFrame(found.toDF(), spark).toDF("path")
+
+
+def _glob(spark: SparkSession, pattern: str) -> list[str]:
+    """Names that match, in any folder the session can list (one call, whatever it passes over)."""
+    fs, p, _ = _fs(spark, pattern)
+    return [str(s.getPath().toString()) for s in (fs.globStatus(p) or [])]
+
+
+def _any(spark: SparkSession, pattern: str) -> bool:
+    fs, p, _ = _fs(spark, pattern)
+    return len(fs.globStatus(p) or []) > 0
+
+
 def hidden_files(spark: SparkSession, path: str, suffixes: tuple[str, ...], most: int = 10) -> list[str]:
     """Up to ``most`` files with one of the suffixes that Spark's readers skip, because the file
-    or a folder above it (below ``path``) begins with ``_`` or ``.``."""
+    or a folder above it (below ``path``) begins with ``_`` or ``.``.
+
+    The file system lists and matches inside the JVM, by a pattern for each depth and each place of
+    the hidden name; the number of calls does not depend on the number of files."""
     fs, p, _ = _fs(spark, path)
-    base = str(fs.makeQualified(p).toString()).rstrip("/") + "/"
-    found, it = [], fs.listFiles(p, True)
-    while it.hasNext() and len(found) < most:
-        name = str(it.next().getPath().toString())
-        if name.endswith(suffixes) and any(x.startswith(("_", ".")) for x in name[len(base):].split("/")):
-            found.append(name)
-    return found
+    base = glob_escaped(str(fs.makeQualified(p).toString()).rstrip("/"))
+    ends = "{" + ",".join(suffixes) + "}"
+    found: list[str] = []
+    depth = 1
+    while len(found) < most and _any(spark, base + "/*" * depth):
+        for at in range(depth):
+            names = ["*"] * depth
+            names[-1] = "*" + ends
+            names[at] = "[_.]" + names[at]
+            found += [f for f in _glob(spark, f"{base}/{'/'.join(names)}") if f not in found]
+        depth += 1
+    return sorted(found)[:most]
 
 
 def delete(spark: SparkSession, path: str, recursive: bool = True) -> bool:

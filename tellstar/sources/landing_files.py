@@ -43,7 +43,11 @@ def _path_only(p: str) -> str:
 
 def file_uri() -> Column:
     """The file's URI in plain characters: Spark's metadata column is percent-encoded."""
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return decoded("_metadata.file_path")
+
+
+def decoded(path: str) -> Column:
+    return F.url_decode(F.replace(F.col(path), F.lit("+"), F.lit("%2B")))
 
 
 def _rel(uri: Column, root: str) -> Column:
@@ -128,42 +132,39 @@ def dedupe_run_batches(manifests: DataFrame) -> DataFrame:
     return manifests.join(newest, same, "left_semi").select("run_id", "batch", "source_uri", "payload")
 
 
-def scan_record_lines(spark: SparkSession, root: str, paths: list[str] | None = None) -> DataFrame:
-    """S3: non-blank lines of every ``<run_id>.jsonl`` outside ``reference/`` (or of the
-    given record files only).
+def record_lines(spark: SparkSession, root: str, paths: list[str] | None = None) -> DataFrame:
+    """Non-blank lines of every ``<run_id>.jsonl`` outside ``reference/`` (or below the given
+    folders only), with the byte range of their file that they were read in.
 
-    Columns: run_id, batch, records_uri, line_no (0-based among non-blank lines), payload
-    (whitespace-stripped line)."""
+    Columns: run_id, batch, records_uri, split_start, payload (whitespace-stripped line)."""
     if paths is not None and not paths:
-        return _empty(spark, "run_id string, batch string, records_uri string, line_no int, payload string")
+        return _empty(spark, "run_id string, batch string, records_uri string, split_start bigint, payload string")
     reader = spark.read.option("pathGlobFilter", "*" + RECORDS_SUFFIX)
     if paths is None:
         reader = reader.option("recursiveFileLookup", "true")
-    df = (
-        (reader.text(root) if paths is None else reader.text(paths))
-        .select(
-            F.col("value"),
-            file_uri().alias("records_uri"),
-            F.col("_metadata.file_block_start").alias("_block"),
-        )
+    df = (reader.text(root) if paths is None else reader.text(paths)).select(
+        strip_line("value").alias("payload"),
+        file_uri().alias("records_uri"),
+        F.col("_metadata.file_block_start").alias("split_start"),
     )
-    rel = _rel(F.col("records_uri"), root)
-    lines = (
-        df.withColumn("_rel", rel)
-        .where(_not_reference(F.col("_rel")))
-        .withColumn("payload", strip_line("value"))
-        .where(F.col("payload") != "")
-    )
-    numbered = line_numbers(lines, "records_uri", "_block")
-    return numbered.select(
+    lines = df.withColumn("_rel", _rel(F.col("records_uri"), root)).where(_not_reference(F.col("_rel")) & (F.col("payload") != ""))
+    return lines.select(
         _stem(F.col("records_uri"), RECORDS_SUFFIX).alias("run_id"),
         folder_of(F.col("_rel")).alias("batch"),
         "records_uri",
-        "line_no",
+        "split_start",
         "payload",
     )
 
 
+def scan_record_lines(spark: SparkSession, root: str, paths: list[str] | None = None) -> DataFrame:
+    """S3: ``record_lines`` with line_no (0-based among a file's non-blank lines).
+
+    Columns: run_id, batch, records_uri, line_no, payload. The text is read once, here."""
+    numbered = line_numbers(record_lines(spark, root, paths), "records_uri", "split_start")
+    return numbered.select("run_id", "batch", "records_uri", "line_no", "payload")
+
+
 def questions_path(root: str) -> str:
     return f"{root.rstrip('/')}/{REFERENCE_SUBDIR}/{QUESTIONS_NAME}"
 

@@ -62,6 +62,15 @@ def test_missing_records_file_raises_or_skips(spark, tree, raw_dir):
     assert counts["runs"] == 2
 
 
+def test_a_records_file_without_bytes_is_there(spark, tree, raw_dir):
+    ld.land_all(spark, tree, raw_dir)
+    (Path(tree) / NEW / "r2-sparql.jsonl").write_bytes(b"")
+    assert ld.missing_records(spark, tree).count() == 0
+    assert ld.land_runs(spark, tree, raw_dir) == {"runs": 3, "records": 5}
+    (Path(tree) / NEW / "r3-closed.jsonl").unlink()
+    assert [r.run_id for r in ld.missing_records(spark, tree).collect()] == ["r3-closed"]
+
+
 def test_upsert_replaces_same_key(spark, tree, raw_dir):
     ld.land_all(spark, tree, raw_dir)
     p = Path(tree) / "reference" / "smoke-cc22dd33.json"

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from tellstar.functions.jsonx import jtext, parsed
+from tellstar.operators import landing as ld
 from tellstar.operators.ordinality import line_numbers
 from tellstar.sources import landing_files as lf
 from tellstar.sources.seeds import read_seed
@@ -89,7 +90,6 @@ def test_file_stem_is_the_key(spark, tree):
 
 
 def test_question_coverage_and_grain_keys(spark, tree, raw_dir):
-    from tellstar.operators import landing as ld
     from tellstar.operators import quality as dq
     from tellstar.plans.staging import stg_scored_answers, stg_traversal
 
@@ -114,3 +114,85 @@ def test_whitespace_only_lines_are_skipped(spark, tree):
     r = lf.scan_record_lines(spark, tree).where(F.col("run_id") == "r2-sparql").collect()
     assert sorted(x.line_no for x in r) == [0, 1]
     assert all(x.payload.startswith("{") for x in r)
+
+
+def test_text_is_read_once_and_numbers_do_not_depend_on_splits(spark, tmp_path, monkeypatch):
+    """Both a scan and a landing pass read the text in one plan; what numbers the lines later are
+    written values, so splits of another size between the steps change nothing."""
+    import json
+
+    from tellstar.operators import ordinality
+    from tellstar.sources.landing_files import record_lines
+
+    from .fixtures import answer, manifest
+
+    folder = tmp_path / "land" / NEW
+    folder.mkdir(parents=True)
+    for run, n in (("r1", 400), ("r2", 3), ("r3", 0)):
+        (folder / f"{run}.manifest.json").write_text(json.dumps(manifest(run, "vector")))
+        (folder / f"{run}.jsonl").write_text("".join(json.dumps(answer(f"q{i}", "vector")) + ("\n" if i % 5 else "\n\n  \n") for i in range(n)))
+    root, raw = str(tmp_path / "land"), str(tmp_path / "raw")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    real = ordinality.range_offsets
+
+    def other_splits(*a):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "100m")
+        return real(*a)
+
+    monkeypatch.setattr(ordinality, "range_offsets", other_splits)
+    monkeypatch.setattr(ld, "range_offsets", other_splits)
+    try:
+        for read in (lambda: lf.scan_record_lines(spark, root), lambda: ld.land_runs(spark, root, raw) and ld.read_raw(spark, raw, "scored_answer")):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+            assert record_lines(spark, root).select("records_uri", "split_start").distinct().count() > 10
+            frame = read()
+            plan = frame._jdf.queryExecution().executedPlan().toString()
+            assert "Scan text" not in plan and "Scan parquet" in plan.replace("FileScan", "Scan")
+            rows = frame.collect()
+            assert len(rows) == 403 and all(json.loads(r.payload)["question_id"] == f"q{r.line_no}" for r in rows)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    # without the number the join that makes it is not there
+    answers = ld.read_raw(spark, raw, "scored_answer").drop("line_no")
+    assert "lines_before" not in answers._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_hidden_names_are_found_by_few_calls(spark, tmp_path, monkeypatch):
+    """10,000 files are no more calls than ten; hidden ones are found at any depth, others are not."""
+    from tellstar.sources import fs
+
+    calls = []
+    real = fs._fs
+    monkeypatch.setattr(fs, "_fs", lambda *a: calls.append(a[1]) or real(*a))
+    used = []
+    for n, root in ((10, tmp_path / "a [1]{x}"), (10_000, tmp_path / "many")):
+        for i in range(n):
+            folder = root / f"batch{i % 5}"
+            folder.mkdir(parents=True, exist_ok=True)
+            (folder / f"r{i}.jsonl").touch()
+        (root / "_logs").mkdir()
+        (root / "_logs" / "note.txt").touch()
+        calls.clear()
+        assert fs.hidden_files(spark, str(root), (".manifest.json", ".jsonl", ".json")) == []
+        used.append(len(calls))
+        deep = root / "x" / ".y" / "z"
+        deep.mkdir(parents=True)
+        for path in (root / "batch1" / "_h.jsonl", deep / "m.manifest.json", root / "_logs" / "p.json"):
+            path.touch()
+        found = fs.hidden_files(spark, str(root), (".manifest.json", ".jsonl", ".json"))
+        assert sorted(f.rsplit("/", 1)[1] for f in found) == ["_h.jsonl", "m.manifest.json", "p.json"]
+    assert used[0] == used[1] <= 20
+
+
+def test_row_positions_of_an_ordered_frame(spark):
+    from pyspark.sql import Window
+
+    from tellstar.operators.ordinality import row_positions
+
+    frame = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("k"), F.when(F.col("id") % 3 > 0, F.col("id") % 50).alias("g"))
+    ordered = frame.orderBy(F.col("g").asc_nulls_last(), "k")
+    got = row_positions(ordered)
+    assert got.columns == ["k", "g", "place"]
+    want = frame.withColumn("place", F.row_number().over(Window.orderBy(F.col("g").asc_nulls_last(), "k")))
+    assert got.exceptAll(want.select("k", "g", F.col("place").cast("bigint"))).count() == 0 and got.count() == 5000
+    assert row_positions(ordered.limit(0)).count() == 0
