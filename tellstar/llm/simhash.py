@@ -130,8 +130,8 @@ def links(fps: DataFrame, bits: int = 4) -> DataFrame:
 def _finer(crowded: DataFrame, positions: Positions, bits: int) -> DataFrame:
     """Links within the lists longer than DENSE. What is free there is 8 * bits bits, dealt
     into 2 * bits nibbles of which at least ``bits`` agree, so that at most 4 * bits bits stay
-    open: a finer list has 2 ** (4 * bits) distinct members at most (65,536 for 4 bits) and is
-    probed by flipping every set of up to ``bits`` of those bits."""
+    open: a finer list has 2 ** (4 * bits) distinct members at most (65,536 for 4 bits), which are
+    compared directly, member by member until each is reached."""
     nibbles = [[8 * p + o for p in range(8) if p not in s for o in (0, 4)] for s in positions.sets]
     finer = [[sum(0xF << n for n in c) for c in combinations(own, bits)] for own in nibbles]
     width = len(finer[0])
