@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .components import components, roots
+from .components import components, looked_up, roots
 from .folds import written
 from .text import LOWER, Chunk, each_in, map_chunks, record, texts
 
@@ -269,13 +269,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4) -> DataFra
 
 def _classified(docs: DataFrame, shingle: int, bits: int, *keep: str) -> DataFrame:
     """(doc_id, fp, root, component_id, kept columns); ``root`` is a component's own fingerprint."""
-    marks = written(fingerprints(docs, shingle, *keep), "simhash-fingerprints")
+    # a row's place in its task, written with it: neither copies nor components land in one task
+    place = F.monotonically_increasing_id().alias("place")
+    marks = written(fingerprints(docs, shingle, *keep).select("*", place), "simhash-fingerprints")
     lowest = marks.groupBy("fp").agg(F.min("doc_id").alias("lowest"))
     joined = components(links(marks, bits))
-    rooted = lowest.join(joined, lowest.fp == joined.node, "left").select("fp", "lowest", F.coalesce("root", "fp").alias("root"))
+    rooted = written(lowest.join(joined, lowest.fp == joined.node, "left").select("fp", "lowest", F.coalesce("root", "fp").alias("root")), "simhash-roots")
     smallest = rooted.groupBy("root").agg(F.min("lowest").alias("component_id"))
-    classes = rooted.join(smallest, "root").select("fp", "root", "component_id")
-    return marks.join(classes, "fp").select("doc_id", "fp", "root", "component_id", *keep)
+    classes = looked_up(rooted, "root", F.xxhash64("fp"), smallest).select("fp", "root", "component_id")
+    return looked_up(marks, "fp", F.col("place"), classes).select("doc_id", "fp", "root", "component_id", *keep)
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, bits: int = 4) -> DataFrame:
