@@ -67,3 +67,46 @@ def test_seeds_are_broadcast(spark, built):
 
     p = _plan(mt.dim_retriever_cond(enriched, seed(spark, "seed_retriever_labels")))
     assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
+
+
+def _rows_read(df) -> int:
+    """Rows that the scan of a collected frame without shuffles handed on."""
+    return df._jdf.queryExecution().executedPlan().collectLeaves().head().metrics().apply("numOutputRows").value()
+
+
+def test_serving_order_skips_rows(spark, tmp_path):
+    rows = spark.range(0, 400_000, 1, 2).selectExpr(
+        "id", f"CASE WHEN id % 5 = 0 THEN '{rp.HAIKU_FAMILY}' ELSE 'family-' || id % 5 END AS generator_model_family",
+        f"CASE WHEN id % 7 = 0 THEN '{rp.SPARQL_RETRIEVER}' WHEN id % 7 > 1 THEN 'retriever-' || id % 7 END AS retriever")
+    read, found = {}, {}
+    for name, frame in (("plain", rows), ("clustered", rp.clustered(rows))):
+        frame.write.parquet(f"{tmp_path}/{name}")
+        for slice_ in (rp.fixed_generator, rp.sparql_only):
+            hits = slice_(spark.read.parquet(f"{tmp_path}/{name}")).select("id")
+            found[name, slice_] = sorted(r.id for r in hits.collect())
+            read[name, slice_] = _rows_read(hits)
+    for slice_, every in ((rp.fixed_generator, 5), (rp.sparql_only, 35)):
+        assert found["clustered", slice_] == found["plain", slice_] == list(range(0, 400_000, every))
+        assert read["plain", slice_] == 400_000
+    assert read["clustered", rp.fixed_generator] <= 160_000 and read["clustered", rp.sparql_only] <= 90_000
+
+
+def test_serving_table_is_written_without_a_shuffle_for_its_order(spark, built):
+    _, marts = built
+    frame = rp.analysis_frame(spark, marts)
+    assert _plan(rp.clustered(frame)).count("Exchange") == _plan(frame).count("Exchange")
+
+
+def test_captions_are_joined_by_range(spark):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        rows = spark.range(30_000).selectExpr("CASE WHEN id % 3 = 0 THEN NULL ELSE 'n' || id % 4001 END AS name")
+        got = agg.distinct_sorted_list(rows, "name", sep="|")
+        assert "rangepartitioning" in _plan(got)
+        text = got.first().name_list
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert text.split("|") == sorted({f"n{i % 4001}" for i in range(30_000) if i % 3})
