@@ -2,6 +2,7 @@ import hashlib
 from collections import Counter
 
 import pytest
+import xxhash
 
 from tellstar.llm import sharding
 from tellstar.llm.queries import SHARDS, op7_sharding
@@ -54,6 +55,16 @@ def test_query_places_every_document(spark):
     assert all(r.shard_id == table[r.slot] and r.shard == SHARDS[r.shard_id] for r in rows)
 
 
+def test_query_columns_equal_plain_ones(spark):
+    slots = sharding.SLOTS
+    given = {r.doc_id: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    for r in op7_sharding(spark, SF).collect():
+        code = xxhash.xxh64_intdigest(str(r.doc_id).encode(), 42)
+        assert r.slot == (code - (code >> 63 << 64)) % slots
+        text = given[r.doc_id].text
+        assert r.source == given[r.doc_id].source and r.n_bytes == (None if text is None else len(text.encode()))
+
+
 def test_edge_cases_and_files(spark, tmp_path):
     rows = spark.createDataFrame([(None, 1, "x"), (None, 2, None), (7, 3, "y"), (7, 3, "y"), (8, 4, "")], "doc_id long, slot int, shard string")
     found = sharding.placed(rows, "doc_id", ["a", "b", "c"], 101).collect()
