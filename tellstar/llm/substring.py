@@ -27,9 +27,15 @@ from pyspark.sql import functions as F
 
 from .text import PLAIN_WORD, Chunk, Words, each_in, map_chunks, record, rolling, texts
 
-#: Least number of hash buckets; with more than twice as many input partitions, half of these
-#: (a bucket then has the hashes of two partitions' texts).
+#: Least number of hash buckets; with more than four times as many input partitions, a quarter of
+#: these (a bucket then has the hashes of four partitions' texts).
 BUCKETS = 64
+#: Hashes that a task packs together (a bucket's rows then grow with the tasks, not with the chunks).
+PACKED = 1 << 21
+#: Hashes that wait, at least, before they are sorted into those of a bucket that are held.
+WAITING = 1 << 20
+#: Rows of a batch that a task returns.
+OUT_ROWS = 10_000
 LOW = np.uint64(0xFFFFFFFF)
 
 
@@ -87,17 +93,28 @@ def anchors(docs: DataFrame, window: int, buckets: int) -> DataFrame:
     """(doc_id, hits array<struct<bucket, keys>>): hashes of a document's blocks that meet an
     index block of a smaller doc_id, or that a larger one's blocks meet."""
 
+    def packed_rows(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+        if held:
+            hashes, doc, at, ids = map(np.concatenate, zip(*held))
+            grid = at % (window // 2) == 0
+            yield _packed(hashes[grid], doc[grid], ids, buckets, 0)
+            fresh = np.ones(len(hashes), bool)  # a run of one block hash probes once
+            fresh[1:] = (hashes[1:] != hashes[:-1]) | (doc[1:] != doc[:-1])
+            yield _packed(hashes[fresh], doc[fresh], ids, buckets, 1)
+
     def send(parts: Iterator[Chunk]) -> Iterator[pa.RecordBatch]:
+        held, size, docs_held = [], 0, 0
         for part in parts:
             ids = part.column("doc_id")
             hashes, doc, at = _blocks(part.words(PLAIN_WORD), ids, window)
             if not len(hashes):
                 continue
-            grid = at % (window // 2) == 0
-            yield _packed(hashes[grid], doc[grid], _ids(ids), buckets, 0)
-            fresh = np.ones(len(hashes), bool)  # a run of one block hash probes once
-            fresh[1:] = (hashes[1:] != hashes[:-1]) | (doc[1:] != doc[:-1])
-            yield _packed(hashes[fresh], doc[fresh], _ids(ids), buckets, 1)
+            held.append((hashes, doc + docs_held, at, _ids(ids)))
+            size, docs_held = size + len(hashes), docs_held + len(part)
+            if size >= PACKED:
+                yield from packed_rows(held)
+                held, size, docs_held = [], 0, 0
+        yield from packed_rows(held)
 
     packed = map_chunks(texts(docs), send, "bucket int, kind int, ids binary, counts binary, keys binary")
     dealt = packed.repartition("bucket").sortWithinPartitions("bucket", "kind")
@@ -115,7 +132,7 @@ def _lowest(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per bucket: the index as each key's smallest doc_id, then the probes as they come."""
-    bucket, held = None, []
+    bucket, held, waiting, sorted_in = None, [], 0, 0
     keys = lowest = shared = None
 
     def ended() -> Iterator[pa.RecordBatch]:
@@ -128,13 +145,15 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             b, kind = row.column("bucket")[0].as_py(), row.column("kind")[0].as_py()
             if b != bucket:
                 yield from ended()
-                bucket, held, keys, shared = b, [], None, None
+                bucket, held, waiting, sorted_in, keys, shared = b, [], 0, 0, None, None
             own = np.frombuffer(row.column("keys")[0].as_buffer(), np.uint32)
             ids = np.repeat(np.frombuffer(row.column("ids")[0].as_buffer(), np.int64), np.frombuffer(row.column("counts")[0].as_buffer(), np.int32))
             if kind == 0:
                 held.append((own, ids))
-                if sum(len(x) for x, _ in held) > 1 << 20:
+                waiting += len(own)
+                if waiting > max(WAITING, sorted_in):  # so that all sorts together stay near linear
                     held = [_lowest(*map(np.concatenate, zip(*held)))]
+                    waiting, sorted_in = 0, len(held[0][0])
                 continue
             if keys is None:
                 keys, lowest = _lowest(*map(np.concatenate, zip(*held))) if held else (np.empty(0, np.uint32), np.empty(0, np.int64))
@@ -202,43 +221,59 @@ def candidates(joined: DataFrame, window: int, buckets: int, parts_out: int) ->
 
 
 def _seen_before(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in order of (part, doc_id): the places whose window a smaller doc_id has."""
-    now = None
-    seen = (np.empty(0, np.uint64), np.empty(0, np.uint32), np.empty(0, np.int64))
+    """Rows in order of (part, doc_id): the places whose window a smaller doc_id has.
+
+    Windows wait until they are as many as the distinct ones held of their part (WAITING at
+    least), so that what is held is sorted again only a few times, however many rows come."""
+    now, held, waiting = None, [], 0
+    none = np.empty(0, np.uint64), np.empty(0, np.uint32), np.empty(0, np.int64)
+    seen = none
     for batch in batches:
         part = batch.column("part").to_numpy()
         edge = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
         for lo, hi in zip(edge[:-1], edge[1:]):
-            rows = batch.slice(lo, hi - lo)
             if part[lo] != now:
-                now, seen = part[lo], tuple(x[:0] for x in seen)
+                if held:
+                    yield from _again(seen, held)[1]
+                now, held, waiting, seen = part[lo], [], 0, none
+            rows = batch.slice(lo, hi - lo)
             key, sizes = flat(rows.column("keys"), np.uint64)
-            check, _ = flat(rows.column("checks"), np.uint32)
-            place, _ = flat(rows.column("places"), np.int32)
-            doc = np.repeat(rows.column("doc_id").to_numpy(), sizes)
-            of = np.repeat(np.arange(len(sizes)), sizes)
-            all_key, all_check, all_doc = (np.concatenate(x) for x in zip(seen, (key, check, doc)))
-            order = np.lexsort((all_doc, all_check, all_key))
-            k, c, d = all_key[order], all_check[order], all_doc[order]
-            new = np.ones(len(k), bool)
-            new[1:] = (k[1:] != k[:-1]) | (c[1:] != c[:-1])
-            lowest = d[new][np.cumsum(new) - 1]
-            again = np.zeros(len(k), bool)
-            again[order] = d > lowest
-            again = again[len(seen[0]):]
-            seen = (k[new], c[new], d[new])
-            if again.any():
-                rest = of[again]
-                firsts = np.flatnonzero(np.diff(rest, prepend=-1))
-                yield record(doc_id=rows.column("doc_id").take(pa.array(rest[firsts])), mark=rows.column("mark").take(pa.array(rest[firsts])),
-                             places=binaries(place[again], np.diff(np.append(firsts, len(rest)))))
+            held.append((key, flat(rows.column("checks"), np.uint32)[0], flat(rows.column("places"), np.int32)[0], sizes,
+                         rows.column("doc_id").to_numpy(), rows.column("mark").to_numpy()))
+            waiting += len(key)
+            if waiting >= max(WAITING, len(seen[0])):
+                seen, found = _again(seen, held)
+                yield from found
+                held, waiting = [], 0
+    if held:
+        yield from _again(seen, held)[1]
+
+
+def _again(seen: tuple[np.ndarray, ...], held: list[tuple[np.ndarray, ...]]) -> tuple[tuple[np.ndarray, ...], list[pa.RecordBatch]]:
+    """``seen`` (windows with their smallest doc_id) with the windows of ``held`` (in order of doc_id,
+    none smaller than those seen) in it, and the places of ``held`` whose window a smaller doc_id has."""
+    key, check, place, sizes, doc_id, mark = map(np.concatenate, zip(*held))
+    all_key, all_check, all_doc = (np.concatenate(x) for x in zip(seen, (key, check, np.repeat(doc_id, sizes))))
+    order = np.lexsort((all_check, all_key))  # stable: equal windows stay in order of doc_id
+    k, c, d = all_key[order], all_check[order], all_doc[order]
+    new = np.ones(len(k), bool)
+    new[1:] = (k[1:] != k[:-1]) | (c[1:] != c[:-1])
+    again = np.zeros(len(k), bool)
+    again[order] = d > d[new][np.cumsum(new) - 1]
+    again = again[len(seen[0]):]
+    rest = np.repeat(np.arange(len(sizes)), sizes)[again]
+    if not len(rest):
+        return (k[new], c[new], d[new]), []
+    firsts = np.flatnonzero(np.diff(rest, prepend=-1))
+    found = record(doc_id=doc_id[rest[firsts]], mark=mark[rest[firsts]], places=binaries(place[again], np.diff(np.append(firsts, len(rest)))))
+    return (k[new], c[new], d[new]), [found.slice(at, OUT_ROWS) for at in range(0, found.num_rows, OUT_ROWS)]
 
 
 def removals(docs: DataFrame, window: int = 50) -> DataFrame:
     """(doc_id, text binary, found array<struct<mark, places>>): the first words of the windows
     to remove from each row with a doc_id, null where there are none. ``mark`` is the crc32 of
     the text that the places belong to (rows may repeat a doc_id with another text)."""
-    buckets = parts = max(BUCKETS, docs.rdd.getNumPartitions() // 2)
+    buckets = parts = max(BUCKETS, docs.rdd.getNumPartitions() // 4)
     # the texts by doc_id are joined twice; with a name of its own for the key (which the optimiser
     # keeps as it is on both sides) the two joins share one exchange of the texts
     whole = texts(docs).where("doc_id is not null").select(F.col("doc_id").alias("text_id"), "text")

@@ -1,6 +1,9 @@
 import hashlib
 import random
 
+import numpy as np
+import pyarrow as pa
+
 from tellstar.llm import substring
 from tellstar.llm.queries import op1_substring_dedup
 
@@ -61,3 +64,46 @@ def test_planted_passages_and_edge_cases(spark):
             assert hashlib.sha256(b" ".join(kept[i].text.encode().split())).hexdigest() == w[3]
     assert substring.report(frame.limit(0)).count() == 0
     assert substring.without_repeats(frame.limit(0)).count() == 0
+
+
+def _windows(rows):
+    """Rows (part, doc_id, keys) in the form that ``_seen_before`` takes, a batch of 20 each."""
+    for lo in range(0, len(rows), 20):
+        some = rows[lo:lo + 20]
+        yield substring.record(
+            part=pa.array([p for p, _, _ in some], pa.int32()), doc_id=np.array([d for _, d, _ in some]), mark=np.array([d for _, d, _ in some]),
+            keys=pa.array([np.array(k, np.uint64).tobytes() for _, _, k in some]), checks=pa.array([np.array(k, np.uint32).tobytes() for _, _, k in some]),
+            places=pa.array([np.arange(len(k), dtype=np.int32).tobytes() for _, _, k in some]))
+
+
+def test_held_windows_are_sorted_few_times(monkeypatch):
+    """The windows of a part were sorted again for every batch of it: at 6 GB that took most of the time."""
+    rng = random.Random(3)
+    rows = [(p, d, [rng.randrange(4000) for _ in range(30)]) for p in (0, 1) for d in range(1000)]
+    first, want = {}, {}
+    for p, d, keys in rows:
+        for at, k in enumerate(keys):
+            if first.setdefault((p, k), d) < d:
+                want.setdefault((p, d), []).append(at)
+    work = []
+    lexsort = np.lexsort
+    monkeypatch.setattr(substring, "WAITING", 2000)
+    monkeypatch.setattr(np, "lexsort", lambda keys: work.append(len(keys[0])) or lexsort(keys))
+    got = [tuple(r.values()) for b in substring._seen_before(_windows(rows)) for r in b.to_pylist()]
+    assert [(d, d, np.array(x, np.int32).tobytes()) for (p, d), x in want.items()] == got
+    assert sum(work) < 4 * 30 * len(rows)
+
+
+def test_a_task_packs_its_chunks_together(spark):
+    """A row for each bucket and task: one for each chunk of text made the rows grow with buckets x chunks."""
+    rng = random.Random(4)
+    docs = [(i, " ".join(f"w{rng.randrange(9999)}" for _ in range(60_000))) for i in range(8)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    rows = []
+    meet = substring._meet
+    try:
+        substring._meet = lambda batches: (substring.record(doc_id=np.array([1]), bucket=pa.array([b.num_rows], pa.int32()), keys=pa.array([b""])) for b in batches)
+        rows = [h.bucket for r in substring.anchors(frame, 50, 64).collect() for h in r.hits]
+    finally:
+        substring._meet = meet
+    assert 0 < sum(rows) <= 2 * 64
