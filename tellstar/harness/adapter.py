@@ -27,7 +27,7 @@ from ..operators.landing import land_all
 from ..plans.marts import build_star
 from ..session import workspace_dir
 from ..sources import fs
-from ..sources.sinks import write_named_text
+from ..sources.sinks import write_named_documents, write_named_text
 from . import formulas as fm
 
 
@@ -54,6 +54,10 @@ def _write_named(df, parts, staging, dest_for):
     return write_named_text(df, parts, staging, dest_for, order="_order")
 
 
+def _write_documents(df, parts, staging, dest_for):
+    return write_named_documents(df, parts, staging, dest_for, order="_order")
+
+
 def write_landing(spark: SparkSession, sf_dir: str, root: str, replicas: int = 1) -> None:
     root = root.rstrip("/")
     ev = events_base(spark, sf_dir, replicas)
@@ -74,7 +78,7 @@ def write_landing(spark: SparkSession, sf_dir: str, root: str, replicas: int = 1
         F.to_json(_struct(old_cols)).alias("value"),
         F.lit(0).alias("_order"),
     )
-    _write_named(
+    _write_documents(
         new.unionByName(old), ["batch", "run_id"], f"{root}/_staging_manifests",
         lambda v: f"{root}/{v['batch']}/{v['run_id']}.manifest.json",
     )
@@ -160,7 +164,7 @@ def write_landing(spark: SparkSession, sf_dir: str, root: str, replicas: int = 1
         ).alias("value"),
         F.lit(0).alias("_order"),
     )
-    _write_named(prof, ["cid"], f"{root}/_staging_profiles", lambda v: f"{root}/reference/{v['cid']}.json")
+    _write_documents(prof, ["cid"], f"{root}/_staging_profiles", lambda v: f"{root}/reference/{v['cid']}.json")
 
     # ---- price catalogs: parts grouped into bounded provider documents
     pr = dict(fm.price_fields("spark"))
@@ -201,8 +205,8 @@ def write_landing(spark: SparkSession, sf_dir: str, root: str, replicas: int = 1
         F.concat(F.lit('{"meta":'), meta, F.lit(',"models":{'), F.col("models"), F.lit("}}")).alias("value"),
         F.lit(0).alias("_order"),
     )
-    _write_named(doc, ["provider"], f"{root}/_staging_pricing",
-                 lambda v: f"{root}/reference/pricing/{v['provider']}.json")
+    _write_documents(doc, ["provider"], f"{root}/_staging_pricing",
+                     lambda v: f"{root}/reference/pricing/{v['provider']}.json")
 
 
 _LOCK = threading.RLock()

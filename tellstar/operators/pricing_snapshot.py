@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.jsonx import jtext
 from ..sources.landing_files import PRICING_SUBDIR, REFERENCE_SUBDIR
-from ..sources.sinks import write_named_text
+from ..sources.sinks import write_named_documents
 
 # Fixed value: the price path every usable catalog entry must carry.
 REQUEST_PRICE_PATH = "pricing_config.pay_as_you_go.request_token.price"
@@ -68,7 +68,7 @@ def build_snapshots(models: DataFrame, ref: str, fetched_at: str, source_url_pre
 def write_snapshots(snapshots: DataFrame, root: str) -> int:
     """Write each snapshot to ``<root>/reference/pricing/<provider>.json``."""
     root = root.rstrip("/")
-    return write_named_text(
+    return write_named_documents(
         snapshots.select("provider", F.col("snapshot").alias("value")),
         ["provider"],
         f"{root}/_staging_snapshots",

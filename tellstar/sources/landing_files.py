@@ -91,9 +91,9 @@ def _whole_files(spark: SparkSession, path: str, glob: str, recursive: bool) ->
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     # ``wholetext`` must be the keyword: the text() default would override an option()
-    return reader.text(path, wholetext=True).select(
+    return fs.few_tasks(reader.text(path, wholetext=True).select(
         file_uri().alias("source_uri"), F.col("value").alias("payload")
-    )
+    ))
 
 
 def _empty(spark: SparkSession, schema: str) -> DataFrame:

@@ -196,3 +196,40 @@ def test_row_positions_of_an_ordered_frame(spark):
     want = frame.withColumn("place", F.row_number().over(Window.orderBy(F.col("g").asc_nulls_last(), "k")))
     assert got.exceptAll(want.select("k", "g", F.col("place").cast("bigint"))).count() == 0 and got.count() == 5000
     assert row_positions(ordered.limit(0)).count() == 0
+
+
+def test_small_documents_are_written_by_the_tasks(spark, tmp_path, monkeypatch):
+    """The same files as by partitioned writing and renames, which made several driver calls for each
+    file (60,000 profiles took most of the time at 1 GB)."""
+    from tellstar.sources import fs, sinks
+
+    keys = ["plain", "a b,c", "50%=ä", None, "", "under/neath", *[f"k{i}" for i in range(60)]]
+    rows = [(k, n, None if (i, n) == (0, 1) else f"line {n} of {i} ü\n  ") for i, k in enumerate(keys) for n in range(3) if k != ""]
+    df = spark.createDataFrame(rows, "cid string, _order int, value string").repartition(3)
+    found = {}
+    for kind in ("text", "documents"):
+        root = f"file://{tmp_path}/{kind}"
+        if kind == "documents":
+            monkeypatch.setattr(fs, "renames", None)
+        written = getattr(sinks, f"write_named_{kind}")(df, ["cid"], f"{root}/_staging", lambda v, root=root: f"{root}/{v['cid']}.json", order="_order")
+        there = {str(f.relative_to(tmp_path / kind)): f.read_bytes() for f in (tmp_path / kind).rglob("*.json")}
+        assert written == len(there) == len(keys) - 1
+        assert not list((tmp_path / kind).rglob(".draft-*"))
+        found[kind] = there
+    assert found["text"] == found["documents"]
+
+
+def test_scans_of_many_small_files_have_few_tasks(spark, tmp_path):
+    from tellstar.sources import landing_files as lf
+
+    (tmp_path / "reference").mkdir()
+    for i in range(200):
+        (tmp_path / "reference" / f"c-{i}.json").write_text('{"a": 1}')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")
+    try:
+        scan = lf.scan_corpus_profiles(spark, str(tmp_path))
+        assert scan.rdd.getNumPartitions() <= 8 * spark.sparkContext.defaultParallelism
+        assert scan.select("corpus_build_id").distinct().count() == 200
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
