@@ -233,3 +233,21 @@ def test_scans_of_many_small_files_have_few_tasks(spark, tmp_path):
         assert scan.select("corpus_build_id").distinct().count() == 200
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_paths_of_answer_lines_need_no_patterns(spark):
+    """Parts of a path as the patterns gave them, for every form of the root."""
+    from pyspark.sql import functions as F
+
+    from tellstar.sources import landing_files as lf
+
+    rels = ["20240101T000000Z/r-1.jsonl", "r.jsonl", "a/reference/b c/x.y.jsonl", "reference/q.jsonl", "ä/50%+1.jsonl", "a.jsonl/b.txt"]
+    cases = [(f"{base}{top}/{rel}", rel) for base in ("file://", "file:", "") for top in ("/data/in",) for rel in rels]
+    cases += [("hdfs://n:9/data/in/b/r.jsonl", "b/r.jsonl"), ("file:///other/b/r.jsonl", "/other/b/r.jsonl"), (None, None)]
+    df = spark.createDataFrame(cases, "uri string, rel string")
+    for root in ("/data/in", "/data/in/", "file:///data/in", "file:/data/in", "hdfs://n:9/data/in", "s3a://bucket/data/in"):
+        got = df.select("rel", lf._rel(F.col("uri"), root).alias("got"), lf._stem(F.col("uri"), ".jsonl").alias("stem"), lf.folder_of(F.col("rel")).alias("folder"),
+                        F.regexp_extract("uri", r"([^/]+)\.jsonl$", 1).alias("s"), F.regexp_extract("rel", r"^(.*)/[^/]+$", 1).alias("f")).collect()
+        assert [r for r in got if (r.rel, r.s, r.f) != (r.got, r.stem, r.folder)] == []
+    plan = df.select(lf.folder_of(lf._rel(F.col("uri"), "/data/in")).alias("b"), lf._stem(F.col("uri"), ".jsonl").alias("r"))
+    assert "regexp_extract" not in plan._jdf.queryExecution().optimizedPlan().toString().lower()
