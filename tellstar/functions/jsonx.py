@@ -140,8 +140,9 @@ def strict_struct(payload: Column | str, fields: str) -> Column:
     syntax: no single quotes, nothing behind it. Else the job fails. The text is parsed as the
     only element of an array, which anything behind it would break or add to."""
     text = _col(payload)
-    one = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<struct<{fields}>>", {"mode": "FAILFAST", "allowSingleQuotes": "false"})
-    return F.when(F.size(one) == 1, one[0]).otherwise(F.raise_error(F.concat(F.lit("not one JSON document: "), F.substring(text, 1, 80))))
+    one = F.from_json(F.concat(F.lit("["), F.coalesce(text, F.lit("")), F.lit("]")), f"array<struct<{fields}>>", {"mode": "FAILFAST", "allowSingleQuotes": "false"})
+    # both uses of the array are unconditional, so the text is parsed once (the branch of a CASE would parse it again)
+    return one[F.when(F.size(one) == 1, F.lit(0)).otherwise(F.raise_error(F.concat(F.lit("not one JSON document: "), F.substring(text, 1, 80))).cast("int"))]
 
 
 def stext(j: Column, path: str) -> Column:

@@ -19,13 +19,16 @@ from __future__ import annotations
 import hashlib
 import threading
 import time
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.landing import land_all
 from ..plans.marts import build_star
-from ..session import workspace_dir
+from ..session import compiled_methods, workspace_dir
 from ..sources import fs
 from ..sources.sinks import write_named_documents, write_named_text
 from . import formulas as fm
@@ -60,7 +63,10 @@ def _write_documents(df, parts, staging, dest_for):
 
 def write_landing(spark: SparkSession, sf_dir: str, root: str, replicas: int = 1) -> None:
     root = root.rstrip("/")
+    compiled_methods(spark)
     ev = events_base(spark, sf_dir, replicas)
+    # the five parts are independent jobs, submitted together below
+    jobs: list[Callable[[], object]] = []
 
     # ---- manifests (run = event type x day)
     runs = ev.select("et", "d", "ymd", "ymd_dash").distinct()
@@ -78,10 +84,10 @@ def write_landing(spark: SparkSession, sf_dir: str, root: str, replicas: int = 1
         F.to_json(_struct(old_cols)).alias("value"),
         F.lit(0).alias("_order"),
     )
-    _write_documents(
+    jobs.append(lambda: _write_documents(
         new.unionByName(old), ["batch", "run_id"], f"{root}/_staging_manifests",
         lambda v: f"{root}/{v['batch']}/{v['run_id']}.manifest.json",
-    )
+    ))
 
     # ---- scored answers, one file per run, lines in event order
     trav = F.when(F.expr(fm.TRAVERSAL_PRESENT), _struct(fm.traversal_fields("spark")))
@@ -100,10 +106,10 @@ def write_landing(spark: SparkSession, sf_dir: str, root: str, replicas: int = 1
         padded.alias("value"),
         F.col("eid").alias("_order"),
     )
-    _write_named(
+    jobs.append(lambda: _write_named(
         records, ["batch", "run_id"], f"{root}/_staging_records",
         lambda v: f"{root}/{v['batch']}/{v['run_id']}.jsonl",
-    )
+    ))
 
     # ---- question bank (folder of parts; a question bank is not run-scoped)
     base = F.to_json(_struct(fm.question_fields("spark")))
@@ -124,7 +130,7 @@ def write_landing(spark: SparkSession, sf_dir: str, root: str, replicas: int = 1
             "value"
         )
     )
-    qb.write.mode("overwrite").text(f"{root}/reference/questions.jsonl")
+    jobs.append(lambda: qb.write.mode("overwrite").text(f"{root}/reference/questions.jsonl"))
 
     # ---- corpus profiles, one per supplier
     sup = table(spark, sf_dir, "supplier")
@@ -164,7 +170,8 @@ def write_landing(spark: SparkSession, sf_dir: str, root: str, replicas: int = 1
         ).alias("value"),
         F.lit(0).alias("_order"),
     )
-    _write_documents(prof, ["cid"], f"{root}/_staging_profiles", lambda v: f"{root}/reference/{v['cid']}.json")
+    jobs.append(lambda: _write_documents(
+        prof, ["cid"], f"{root}/_staging_profiles", lambda v: f"{root}/reference/{v['cid']}.json"))
 
     # ---- price catalogs: parts grouped into bounded provider documents
     pr = dict(fm.price_fields("spark"))
@@ -205,8 +212,11 @@ def write_landing(spark: SparkSession, sf_dir: str, root: str, replicas: int = 1
         F.concat(F.lit('{"meta":'), meta, F.lit(',"models":{'), F.col("models"), F.lit("}}")).alias("value"),
         F.lit(0).alias("_order"),
     )
-    _write_documents(doc, ["provider"], f"{root}/_staging_pricing",
-                     lambda v: f"{root}/reference/pricing/{v['provider']}.json")
+    jobs.append(lambda: _write_documents(doc, ["provider"], f"{root}/_staging_pricing",
+                                         lambda v: f"{root}/reference/pricing/{v['provider']}.json"))
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        for done in [pool.submit(job) for job in jobs]:
+            done.result()
 
 
 _LOCK = threading.RLock()

@@ -35,7 +35,7 @@ from ..functions.jsonx import stext, strict_struct
 from ..sources import fs
 from ..sources import landing_files as lf
 from ..sources.tables import KEEP_SECONDS, CommitUnknown, best_effort, read_table, snapshot_path, table_exists, update_snapshot, versions
-from ..session import workspace_dir
+from ..session import compiled_methods, workspace_dir
 from .joins import broadcast_if_small
 from .ordinality import LINE_ID, range_offsets, with_line_id, with_line_number
 
@@ -188,7 +188,8 @@ def missing_records(spark: SparkSession, root: str, manifests: DataFrame | None
     if manifests is None:
         manifests = lf.dedupe_run_batches(valid_json(lf.scan_manifests(spark, root)))
     reader = spark.read.format("binaryFile").option("pathGlobFilter", "*" + lf.RECORDS_SUFFIX)
-    files = reader.option("recursiveFileLookup", "true").load(root).select("path")
+    runs = lf.run_folders(spark, root)
+    files = reader.option("recursiveFileLookup", "true").load(runs).select("path") if runs else spark.createDataFrame([], "path string")
     gone = manifests.join(_present(files, root), ["run_id", "batch"], "left_anti").select("run_id", "batch", "source_uri")
     folders = [r.batch for r in gone.select("batch").distinct().collect()]
     if not folders:
@@ -242,6 +243,7 @@ def land_runs(
     on_missing_records: str = "raise",
     manifests: DataFrame | None = None,
     buckets: int | None = None,
+    incoming: tuple[DataFrame, DataFrame] | None = None,
 ) -> dict[str, int]:
     """K1: replace every incoming run (manifest + all answers) keyed by run_id.
 
@@ -258,9 +260,11 @@ def land_runs(
 
     ``buckets`` deals the rows to that many files by run (lines of a very long run to several),
     for many runs that are read one by one; by default each task writes what it has read.
+    ``incoming`` is what ``incoming_runs`` has found, for a caller that has looked already.
     Returns the runs and answers that the pass has landed."""
     mpath, answers_dir = raw_path(raw_dir, "run_manifest"), raw_path(raw_dir, "scored_answer")
-    manifests, records = incoming_runs(spark, root, manifests)
+    compiled_methods(spark)
+    manifests, records = incoming or incoming_runs(spark, root, manifests)
     if table_exists(spark, mpath):
         manifests = _not_older(manifests, read_table(spark, mpath), root).checkpoint(eager=True)
         records = records.join(manifests.select("run_id"), "run_id", "left_semi")
@@ -373,11 +377,15 @@ def land_all(spark: SparkSession, root: str, raw_dir: str, on_missing_records: s
              buckets: int | None = None) -> dict[str, int]:
     """K5: shared inputs first, then every discovered run; returns the pass counts."""
     counts = {"runs": 0, "records": 0, "questions": 0, "corpus_profiles": 0, "pricing_snapshots": 0}
-    # the three shared inputs are independent small jobs: submit them together
-    with ThreadPoolExecutor(max_workers=3) as pool:
+    workspace_dir(spark)
+    compiled_methods(spark)
+    # the three shared inputs are independent small jobs: submit them together; meanwhile the driver
+    # lists the runs, which lands nothing
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        runs = pool.submit(incoming_runs, spark, root)
         q = pool.submit(land_questions, spark, root, raw_dir)
         c = pool.submit(land_corpus_profiles, spark, root, raw_dir)
         p = pool.submit(land_pricing, spark, root, raw_dir)
         counts["questions"], counts["corpus_profiles"], counts["pricing_snapshots"] = q.result(), c.result(), p.result()
-    counts.update(land_runs(spark, root, raw_dir, on_missing_records=on_missing_records, buckets=buckets))
+    counts.update(land_runs(spark, root, raw_dir, on_missing_records=on_missing_records, buckets=buckets, incoming=runs.result()))
     return counts

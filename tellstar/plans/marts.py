@@ -288,9 +288,10 @@ def build_star(spark: SparkSession, raw_dir: str, marts_dir: str, parallelism: i
     # the price relation is small and used three times (guard, cost join, dimension):
     # parse the catalogs once and cut its lineage
     from ..operators.landing import key_violations
-    from ..session import workspace_dir
+    from ..session import compiled_methods, workspace_dir
 
     workspace_dir(spark)
+    compiled_methods(spark)
     pricing = p.pricing().checkpoint(eager=True)
     # the cost joins match on model_resolved alone: a repeated model would fan fact rows out
     repeated = key_violations(pricing, ["model_resolved"])

@@ -27,6 +27,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+#: HotSpot compiles no method of more bytes.
+COMPILED_BYTES = 8000
+
+
+def compiled_methods(spark: SparkSession) -> None:
+    """Lets no stage run as one generated method that the JVM would only interpret.
+
+    A projection of some dozen JSON fields is fused into a method far above HotSpot's limit; by
+    default Spark keeps it up to 64 KB. Beyond the limit set here the operators of the stage run one
+    by one, each in small methods. A limit that the session's owner has set stays."""
+    if spark.sparkContext.getConf().get(METHOD_LIMIT, None) is None:
+        spark.conf.set(METHOD_LIMIT, COMPILED_BYTES)
+
+
 def workspace_dir(spark: SparkSession) -> str:
     """Shared scratch folder of the cluster.
 

@@ -95,7 +95,18 @@ def _not_reference(rel: Column) -> Column:
     return ~(rel.startswith(REFERENCE_SUBDIR + "/") | rel.contains("/" + REFERENCE_SUBDIR + "/"))
 
 
-def _whole_files(spark: SparkSession, path: str, glob: str, recursive: bool) -> DataFrame:
+def run_folders(spark: SparkSession, root: str) -> list[str]:
+    """What stands in the root, as patterns that match it alone, but the ``reference/`` subtree (it
+    holds a file for each profile and provider, which no scan of runs has to list) and what Spark's
+    readers skip. A root that does not exist is left to them."""
+    if not fs.exists(spark, root):
+        return [root]
+    names = {c: c.rstrip("/").rsplit("/", 1)[-1] for c in fs.list_dir(spark, root)}
+    hidden = {c for c, n in names.items() if n.startswith(".") or (n.startswith("_") and "=" not in n) or n.endswith("._COPYING_")}
+    return [fs.glob_escaped(c) for c, n in names.items() if n != REFERENCE_SUBDIR and c not in hidden]
+
+
+def _whole_files(spark: SparkSession, path: str | list[str], glob: str, recursive: bool) -> DataFrame:
     reader = spark.read.option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
@@ -116,7 +127,10 @@ def scan_manifests(spark: SparkSession, root: str) -> DataFrame:
     if not fs.exists(spark, root):
         raise FileNotFoundError(f"landing root does not exist: {root}")
     refuse_hidden(spark, root)
-    df = _whole_files(spark, root, "*" + MANIFEST_SUFFIX, recursive=True)
+    folders = run_folders(spark, root)
+    if not folders:
+        return _empty(spark, "run_id string, batch string, source_uri string, payload string")
+    df = _whole_files(spark, folders, "*" + MANIFEST_SUFFIX, recursive=True)
     rel = _rel(F.col("source_uri"), root)
     return (
         df.withColumn("_rel", rel)
@@ -146,12 +160,13 @@ def record_lines(spark: SparkSession, root: str, paths: list[str] | None = None)
     folders only), with the byte range of their file that they were read in.
 
     Columns: run_id, batch, records_uri, split_start, payload (whitespace-stripped line)."""
-    if paths is not None and not paths:
+    folders = run_folders(spark, root) if paths is None else paths
+    if not folders:
         return _empty(spark, "run_id string, batch string, records_uri string, split_start bigint, payload string")
     reader = spark.read.option("pathGlobFilter", "*" + RECORDS_SUFFIX)
     if paths is None:
         reader = reader.option("recursiveFileLookup", "true")
-    df = (reader.text(root) if paths is None else reader.text(paths)).select(
+    df = reader.text(folders).select(
         strip_line("value").alias("payload"),
         file_uri().alias("records_uri"),
         F.col("_metadata.file_block_start").alias("split_start"),

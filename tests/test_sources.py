@@ -251,3 +251,63 @@ def test_paths_of_answer_lines_need_no_patterns(spark):
         assert [r for r in got if (r.rel, r.s, r.f) != (r.got, r.stem, r.folder)] == []
     plan = df.select(lf.folder_of(lf._rel(F.col("uri"), "/data/in")).alias("b"), lf._stem(F.col("uri"), ".jsonl").alias("r"))
     assert "regexp_extract" not in plan._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_scans_of_runs_do_not_list_the_reference_files(spark, tree, tmp_path):
+    from pathlib import Path
+
+    before = sorted(tuple(r) for r in lf.scan_manifests(spark, tree).select("run_id", "batch").collect())
+    odd = Path(tree) / "batch [1]"  # a folder whose name is a pattern, and a run in the root itself
+    odd.mkdir()
+    for folder, run in ((odd, "r-odd"), (Path(tree), "r-root")):
+        (folder / f"{run}.manifest.json").write_text('{"run_id": "x"}')
+        (folder / f"{run}.jsonl").write_text('{"question_id": "q1"}\n')
+    (Path(tree) / "notes.txt").write_text("no run")
+    (Path(tree) / "_SUCCESS").write_text("")
+    (Path(tree) / "reference" / "not-a-run.jsonl").write_text('{"question_id": "q1"}\n')
+    folders = lf.run_folders(spark, tree)
+    assert not [f for f in folders if f.rstrip("/").endswith(("/reference", "/_SUCCESS"))]
+
+    got = sorted(tuple(r) for r in lf.scan_manifests(spark, tree).select("run_id", "batch").collect())
+    assert got == sorted([*before, ("r-odd", "batch [1]"), ("r-root", "")])
+    lines = lf.record_lines(spark, tree)
+    assert not [f for f in lines.inputFiles() if "/reference/" in f]
+    runs = {(r.run_id, r.batch) for r in lines.collect()}
+    assert {("r-odd", "batch [1]"), ("r-root", "")} <= runs and "not-a-run" not in {r for r, _ in runs}
+
+    only = tmp_path / "only"
+    (only / "reference").mkdir(parents=True)
+    assert lf.scan_manifests(spark, str(only)).count() == lf.record_lines(spark, str(only)).count() == 0
+
+
+def test_large_projections_run_in_compiled_methods(spark, tree, raw_dir, tmp_path):
+    from tellstar import session
+    from tellstar.plans import marts
+    from tellstar.plans.staging import explode_answers
+
+    for run in (lambda: ld.land_all(spark, tree, raw_dir), lambda: marts.build_star(spark, raw_dir, str(tmp_path / "marts"))):
+        spark.conf.unset(session.METHOD_LIMIT)
+        run()
+        assert int(spark.conf.get(session.METHOD_LIMIT)) == session.COMPILED_BYTES
+    rows = explode_answers(ld.read_raw(spark, raw_dir, "scored_answer"))
+    with_limit = sorted(map(str, rows.collect()))
+    spark.conf.unset(session.METHOD_LIMIT)
+    assert sorted(map(str, explode_answers(ld.read_raw(spark, raw_dir, "scored_answer")).collect())) == with_limit
+
+
+def test_a_line_is_parsed_once(spark):
+    import pytest
+
+    from tellstar.functions.jsonx import strict_struct, stext
+
+    def ids(*texts):
+        df = spark.createDataFrame([(t,) for t in texts], "payload string")
+        return df.select(stext(strict_struct("payload", "question_id: string"), "question_id").alias("q"))
+
+    good = ids('{"question_id": 3}', '{"x": 1}', "null", ' {"question_id": "a"} ')
+    assert [r.q for r in good.collect()] == ["3", None, None, "a"]
+    # a use of the parsed array in the branch of a CASE would be a second parse
+    assert "THEN from_json" not in good._jdf.queryExecution().analyzed().toString()
+    for bad in ("{} {}", "{},{}", "", "{'a': 1}", None):
+        with pytest.raises(Exception):
+            ids(bad).collect()
