@@ -6,6 +6,9 @@ JVM's FileSystem of the session, never through the driver's local disk.
 
 from __future__ import annotations
 
+import heapq
+import os
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +26,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def mounted(spark: SparkSession, path: str) -> str | None:
+    """The path of a ``file:`` folder, which every machine of the session has mounted; None for
+    what only Hadoop's file systems reach."""
+    fs, p, _ = _fs(spark, path)
+    uri = fs.makeQualified(p).toUri()
+    return str(uri.getPath()) if uri.getScheme() == "file" and not uri.getAuthority() else None
 
 
 def list_dir(spark: SparkSession, path: str) -> list[str]:
@@ -116,8 +125,12 @@ def hidden_files(spark: SparkSession, path: str, suffixes: tuple[str, ...], most
     or a folder above it (below ``path``) begins with ``_`` or ``.``.
 
     The file system lists and matches inside the JVM, by a pattern for each depth and each place of
-    the hidden name; the number of calls does not depend on the number of files."""
+    the hidden name; the number of calls does not depend on the number of files. A folder that is
+    mounted is walked instead, name by name: a pattern holds every file's status at once."""
     fs, p, _ = _fs(spark, path)
+    top = fs.makeQualified(p).toUri()
+    if top.getScheme() == "file" and not top.getAuthority():
+        return _hidden_mounted(str(top.getPath()).rstrip("/"), suffixes, most)
     base = glob_escaped(str(fs.makeQualified(p).toString()).rstrip("/"))
     ends = "{" + ",".join(suffixes) + "}"
     found: list[str] = []
@@ -132,6 +145,34 @@ def hidden_files(spark: SparkSession, path: str, suffixes: tuple[str, ...], most
     return sorted(found)[:most]
 
 
+def _hidden_mounted(path: str, suffixes: tuple[str, ...], most: int) -> list[str]:
+    """``hidden_files`` of a mounted folder. A depth at a time; only its folders are held, and the
+    first ``most`` names."""
+    found: list[str] = []
+    folders = [(path, False)]
+    while folders and len(found) < most:
+        below: list[tuple[str, bool]] = []
+        found = heapq.nsmallest(most, [*found, *heapq.nsmallest(most, _hidden_in(folders, suffixes, below))])
+        folders = below
+    return found
+
+
+def _hidden_in(folders: list[tuple[str, bool]], suffixes: tuple[str, ...], below: list[tuple[str, bool]]) -> Iterator[str]:
+    """What the folders (and whether they are hidden) have of hidden files; ``below`` gets their folders."""
+    for folder, hidden in folders:
+        try:
+            entries = os.scandir(folder or "/")
+        except (FileNotFoundError, NotADirectoryError):  # gone meanwhile
+            continue
+        with entries:
+            for e in entries:
+                skipped = hidden or e.name.startswith(("_", "."))
+                if e.is_dir():
+                    below.append((f"{folder}/{e.name}", skipped))
+                if skipped and e.name.endswith(suffixes) and os.path.exists(e.path):
+                    yield f"file:{folder}/{e.name}"
+
+
 def delete(spark: SparkSession, path: str, recursive: bool = True) -> bool:
     fs, p, _ = _fs(spark, path)
     return bool(fs.delete(p, recursive))

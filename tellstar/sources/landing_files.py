@@ -9,7 +9,8 @@ Layout contract of the producer::
     <root>/reference/pricing/<provider>.json  price catalog snapshots
 
 Every scan is one distributed read with the file path from ``_metadata``; keys come from
-file names, nothing is listed or looped over on the driver.
+file names, nothing is looped over on the driver. The reference folder holds a small file for each
+profile and provider; where it is mounted, tasks list and read it (``sources/documents.py``).
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..operators.ordinality import line_numbers
 from . import fs
+from .documents import read_documents
 
 log = logging.getLogger(__name__)
 
@@ -106,6 +108,12 @@ def run_folders(spark: SparkSession, root: str) -> list[str]:
     return [fs.glob_escaped(c) for c, n in names.items() if n != REFERENCE_SUBDIR and c not in hidden]
 
 
+def _reference_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The ``*.json`` files that stand in the folder itself."""
+    at = fs.mounted(spark, folder)
+    return _whole_files(spark, folder, "*" + JSON_SUFFIX, recursive=False) if at is None else read_documents(spark, at, JSON_SUFFIX)
+
+
 def _whole_files(spark: SparkSession, path: str | list[str], glob: str, recursive: bool) -> DataFrame:
     reader = spark.read.option("pathGlobFilter", glob)
     if recursive:
@@ -215,7 +223,7 @@ def scan_corpus_profiles(spark: SparkSession, root: str) -> DataFrame:
     ref = f"{root.rstrip('/')}/{REFERENCE_SUBDIR}"
     if not fs.exists(spark, ref):
         return _empty(spark, "corpus_build_id string, source_uri string, payload string")
-    df = _whole_files(spark, ref, "*" + JSON_SUFFIX, recursive=False)
+    df = _reference_documents(spark, ref)
     return df.select(_stem(F.col("source_uri"), JSON_SUFFIX).alias("corpus_build_id"), "source_uri", "payload")
 
 
@@ -224,7 +232,7 @@ def scan_pricing(spark: SparkSession, root: str) -> DataFrame:
     ref = f"{root.rstrip('/')}/{REFERENCE_SUBDIR}/{PRICING_SUBDIR}"
     if not fs.exists(spark, ref):
         return _empty(spark, "provider string, source_uri string, payload string")
-    df = _whole_files(spark, ref, "*" + JSON_SUFFIX, recursive=False)
+    df = _reference_documents(spark, ref)
     return df.select(_stem(F.col("source_uri"), JSON_SUFFIX).alias("provider"), "source_uri", "payload")
 
 

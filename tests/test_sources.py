@@ -311,3 +311,75 @@ def test_a_line_is_parsed_once(spark):
     for bad in ("{} {}", "{},{}", "", "{'a': 1}", None):
         with pytest.raises(Exception):
             ids(bad).collect()
+
+
+def _odd_documents(folder):
+    """Documents whose names or bytes a reader may stumble on, and what no reader takes."""
+    import os
+
+    folder.mkdir(parents=True)
+    for name in ("plain.json", "a b,c.json", "50%=ä+1.json", "%41.json", "{x}[1]*?.json", "x.y.json", "_p=1.json"):
+        (folder / name).write_text(f'{{"name": "{name}"}}\n')
+    for name, content in (("bom.json", b"\xef\xbb\xbf{}"), ("bytes.json", b'{"a": "\xff\xfe"}\r\n\x00'), ("blank.json", b" \n"), ("empty.json", b""),
+                          ("_hidden.json", b"{}"), (".hidden.json", b"{}"), ("_metadata.json", b"{}"), ("other.jsonl", b"{}"), ("pricing/deep.json", b"{}"), ("folder.json/deep.json", b"{}")):
+        (folder / name).parent.mkdir(exist_ok=True)
+        (folder / name).write_bytes(content)
+    os.symlink(folder / "plain.json", folder / "link.json")
+    os.symlink(folder / "nowhere", folder / "broken.json")
+
+
+def test_documents_are_listed_and_read_by_tasks_as_by_the_reader(spark, tmp_path):
+    """The reader's listing kept over 1 KB a file on the driver (360,000 profiles filled its memory)."""
+    from tellstar.sources.documents import read_documents
+
+    folder = tmp_path / "a [1]{x} %25" / "reference"
+    _odd_documents(folder)
+    columns = ["source_uri", F.hex("payload")]
+    want = sorted(tuple(r) for r in lf._whole_files(spark, lf.fs.glob_escaped(str(folder)), "*.json", recursive=False).select(*columns).collect())
+    assert len(want) == 11
+    for root in (str(folder.parent), f"file://{folder.parent}/", f"file:{folder.parent}"):
+        scan = lf.scan_corpus_profiles(spark, root)
+        assert sorted(tuple(r) for r in scan.select(*columns).collect()) == want
+        assert "Scan text" not in scan._jdf.queryExecution().executedPlan().toString()
+    assert read_documents(spark, str(folder), ".nothing").count() == 0
+
+
+def test_large_documents_are_handed_on_one_by_one(spark, tmp_path, monkeypatch):
+    from tellstar.sources import documents
+
+    monkeypatch.setattr(documents, "NAMES", 7)
+    for i in range(40):
+        (tmp_path / f"d{i}.json").write_text(f"{i}" * (2_000_000 if i % 10 == 0 else 1))
+    got = documents.read_documents(spark, str(tmp_path), ".json").select("source_uri", "payload").collect()
+    assert {r.source_uri.rsplit("/", 1)[1]: r.payload for r in got} == {p.name: p.read_text() for p in tmp_path.iterdir()} and len(got) == 40
+
+
+def test_hidden_names_are_found_without_every_files_status(spark, tmp_path, monkeypatch):
+    """The walk of a mounted folder finds what the patterns found, which held the status of every file."""
+    from tellstar.sources import fs
+
+    _odd_documents(tmp_path / "land" / "reference")
+    for name in ("b1/_r.jsonl", "b1/r.jsonl", "_logs/note.txt", "_logs/p.json", "x/.y/z/m.manifest.json", "_draft.jsonl/part", "_k=1/a.jsonl"):
+        (tmp_path / "land" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "land" / name).touch()
+    (tmp_path / "many").mkdir()
+    for i in range(40):
+        (tmp_path / "many" / f"_h{i}.jsonl").touch()
+    calls = []
+    real = fs._glob
+    monkeypatch.setattr(fs, "_glob", lambda *a: calls.append(a) or real(*a))
+    suffixes = (".manifest.json", ".jsonl", ".json")
+    for root, most in (("land", 10), ("land", 100), ("land", 3), ("many", 10), ("nowhere", 10), ("land/b1/r.jsonl", 10)):
+        got = fs.hidden_files(spark, f"{tmp_path}/{root}", suffixes, most)
+        assert not calls
+        with monkeypatch.context() as m:
+            m.setattr(fs, "_hidden_mounted", lambda *a: None)
+            base = fs.glob_escaped(f"file:{tmp_path}/{root}")
+            want, depth = [], 1
+            while len(want) < most and fs._any(spark, base + "/*" * depth):
+                for at in range(depth):
+                    names = ["*"] * (depth - 1) + ["*{" + ",".join(suffixes) + "}"]
+                    names[at] = "[_.]" + names[at]
+                    want += [f for f in real(spark, f"{base}/{'/'.join(names)}") if f not in want]
+                depth += 1
+        assert got == sorted(want)[:most]
