@@ -53,8 +53,8 @@ def _struct(fields: list[tuple[str, str]], rename: dict[str, str] | None = None)
     return F.struct(*[F.expr(expr).alias(rename.get(name, name)) for name, expr in fields])
 
 
-def _write_named(df, parts, staging, dest_for):
-    return write_named_text(df, parts, staging, dest_for, order="_order")
+def _write_named(df, parts, staging, dest_for, value=None):
+    return write_named_text(df, parts, staging, dest_for, order="_order", value=value)
 
 
 def _write_documents(df, parts, staging, dest_for):
@@ -100,15 +100,16 @@ def write_landing(spark: SparkSession, sf_dir: str, root: str, replicas: int = 1
     )
     payload = F.to_json(answer)
     padded = F.when(F.col("eid") % 17 == 0, F.concat(F.lit("  "), payload, F.lit("\n   "))).otherwise(payload)
+    # the lines are made of the dealt rows: they are ten times as long as these
     records = ev.select(
+        "*",
         F.expr("et || '-' || ymd").alias("run_id"),
         F.lit(fm.NEW_BATCH).alias("batch"),
-        padded.alias("value"),
         F.col("eid").alias("_order"),
     )
     jobs.append(lambda: _write_named(
         records, ["batch", "run_id"], f"{root}/_staging_records",
-        lambda v: f"{root}/{v['batch']}/{v['run_id']}.jsonl",
+        lambda v: f"{root}/{v['batch']}/{v['run_id']}.jsonl", value=padded,
     ))
 
     # ---- question bank (folder of parts; a question bank is not run-scoped)

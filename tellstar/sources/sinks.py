@@ -14,7 +14,8 @@ from collections.abc import Callable, Iterator
 from urllib.parse import unquote, urlparse
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from . import fs
 
@@ -23,11 +24,14 @@ NO_NAME = "__HIVE_DEFAULT_PARTITION__"
 Named = Callable[[dict[str, str]], str]
 
 
-def write_named_text(df: DataFrame, parts: list[str], staging: str, dest_for: Named, order: str | None = None) -> int:
-    """``df`` has the key columns ``parts``, a ``value`` column and optionally ``order``."""
+def write_named_text(df: DataFrame, parts: list[str], staging: str, dest_for: Named, order: str | None = None,
+                     value: Column | None = None) -> int:
+    """``df`` has the key columns ``parts``, a ``value`` column and optionally ``order``. A ``value``
+    that is given is made of the other columns once the rows are dealt: long texts made of a few
+    numbers are not shuffled and sorted."""
     spark = df.sparkSession
     (
-        _dealt(df, parts, order)
+        _dealt(df, parts, order, value)
         .write.mode("overwrite")
         .partitionBy(*parts)
         .text(staging)
@@ -77,9 +81,10 @@ def write_named_documents(df: DataFrame, parts: list[str], staging: str, dest_fo
     return sum(r.n for r in _dealt(df, parts, order).mapInArrow(run, "n long").collect())
 
 
-def _dealt(df: DataFrame, parts: list[str], order: str | None) -> DataFrame:
+def _dealt(df: DataFrame, parts: list[str], order: str | None, value: Column | None = None) -> DataFrame:
     sort_cols = [*parts, order] if order else list(parts)
-    return df.repartition(*parts).sortWithinPartitions(*sort_cols).select(*parts, "value")
+    text = F.col("value") if value is None else value.alias("value")
+    return df.repartition(*parts).sortWithinPartitions(*sort_cols).select(*parts, text)
 
 
 class _File:
